@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+Every input of the analytics this library rebuilds is a file or table read once; there is no stream,
+watermark or stateful operator to express, so nothing is registered here.
+"""
