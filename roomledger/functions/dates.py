@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 
 def parse_month_name_date(year: Column | str, month_name: Column | str, day: Column | str) -> Column:
-    """Date from a year, a full English month name and a day of month (``2016``, ``July``, ``3``)."""
-    text = F.concat_ws(" ", F.col(year) if isinstance(year, str) else year,
-                       F.col(month_name) if isinstance(month_name, str) else month_name,
-                       F.col(day) if isinstance(day, str) else day)
-    return F.to_date(text, "yyyy MMMM d")
+    """Date from a year, a full English month name and a day of month (``2016``, ``July``, ``3``).
+
+    ``concat`` (not ``concat_ws``) so that a missing part gives a null date instead of a parse error.
+    """
+    parts = [(F.col(p) if isinstance(p, str) else p).cast("string") for p in (year, month_name, day)]
+    return F.to_date(F.concat(parts[0], F.lit(" "), parts[1], F.lit(" "), parts[2]), "yyyy MMMM d")
 
 
 def month_floor(d: Column | str) -> Column:

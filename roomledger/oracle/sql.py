@@ -247,8 +247,8 @@ def with_ctes(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
 
 
-def warehouse(faulty: bool = False, upto: str = "fct") -> str:
-    """``WITH`` prefix defining raw -> stg -> fct (-> nights -> occupancy, monthly, drivers)."""
+def warehouse(faulty: bool = False, upto: str = "fct", extra: tuple[str, ...] = ()) -> str:
+    """``WITH`` prefix defining raw -> stg -> fct (-> nights -> occupancy, monthly, drivers) + ``extra``."""
     ctes = [raw_cte(faulty), stg_cte()]
     order = ["fct", "nights", "occupancy", "monthly", "drivers"]
     makers = {"fct": fct_cte, "nights": nights_cte, "occupancy": occupancy_cte, "monthly": monthly_cte,
@@ -259,4 +259,94 @@ def warehouse(faulty: bool = False, upto: str = "fct") -> str:
         ctes += [makers[n]() for n in needed]
     elif upto == "all":
         ctes += [makers[n]() for n in order]
-    return with_ctes(*ctes)
+    return with_ctes(*ctes, *extra)
+
+
+# ---- data-quality rules ------------------------------------------------------------------------------
+
+def _in_list(values) -> str:
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+
+
+def rule_sql(first_arrival: str, last_arrival: str) -> list[tuple[str, str, str]]:
+    """(test, severity, SQL returning failing rows) for the 28 tests of a run."""
+    from roomledger.operators.quality import (
+        DEPOSIT_TYPES, HOTELS, LEAD_TIME_BAND_LABELS, MEAL_PLANS, RESERVATION_STATUSES)
+
+    def uniq(t, c):
+        return f"SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1"
+
+    def nn(t, c):
+        return f"SELECT * FROM {t} WHERE {c} IS NULL"
+
+    def acc(t, c, vals):
+        return f"SELECT {c} AS value, count(*) AS n FROM {t} WHERE {c} IS NOT NULL AND {c} NOT IN ({_in_list(vals)}) GROUP BY {c}"
+
+    def ucomb(t, cols):
+        return f"SELECT {cols}, count(*) AS n FROM {t} GROUP BY {cols} HAVING count(*) > 1"
+
+    def unit(t, c):
+        return f"SELECT * FROM {t} WHERE {c} NOT BETWEEN 0 AND 1"
+
+    return [
+        ("unique_stg_bookings_booking_id", "error", uniq("stg", "booking_id")),
+        ("not_null_stg_bookings_booking_id", "error", nn("stg", "booking_id")),
+        ("accepted_values_stg_bookings_hotel", "error", acc("stg", "hotel", HOTELS)),
+        ("not_null_stg_bookings_arrival_date", "error", nn("stg", "arrival_date")),
+        ("accepted_values_stg_bookings_deposit_type", "error", acc("stg", "deposit_type", DEPOSIT_TYPES)),
+        ("accepted_values_stg_bookings_reservation_status", "error",
+         acc("stg", "reservation_status", RESERVATION_STATUSES)),
+        ("accepted_values_stg_bookings_meal_plan", "error", acc("stg", "meal_plan", MEAL_PLANS)),
+        ("unique_fct_bookings_booking_id", "error", uniq("fct", "booking_id")),
+        ("not_null_fct_bookings_booking_id", "error", nn("fct", "booking_id")),
+        ("not_null_fct_bookings_arrival_date", "error", nn("fct", "arrival_date")),
+        ("non_negative_fct_bookings_nights", "error", "SELECT * FROM fct WHERE nights < 0"),
+        ("non_negative_fct_bookings_adr_eur", "error", "SELECT * FROM fct WHERE adr_eur < 0"),
+        ("accepted_values_fct_bookings_lead_time_band", "error", acc("fct", "lead_time_band", LEAD_TIME_BAND_LABELS)),
+        ("relationships_fct_room_nights_booking_id", "error",
+         "SELECT n.* FROM nights n WHERE n.booking_id IS NOT NULL AND NOT EXISTS "
+         "(SELECT 1 FROM fct f WHERE f.booking_id = n.booking_id)"),
+        ("unique_combination_mart_daily_occupancy", "error", ucomb("occupancy", "hotel, stay_date")),
+        ("unique_combination_mart_monthly_kpis", "error", ucomb("monthly", "hotel, arrival_month")),
+        ("between_zero_and_one_mart_monthly_kpis_cancellation_rate", "error", unit("monthly", "cancellation_rate")),
+        ("unique_combination_mart_cancellation_drivers", "error", ucomb("drivers", "dimension, value")),
+        ("between_zero_and_one_mart_cancellation_drivers_cancellation_rate", "error",
+         unit("drivers", "cancellation_rate")),
+        ("assert_arrivals_inside_published_window", "error",
+         f"SELECT booking_id, arrival_date FROM stg WHERE arrival_date NOT BETWEEN DATE '{first_arrival}' "
+         f"AND DATE '{last_arrival}'"),
+        ("assert_cancellations_happen_before_arrival", "error",
+         "SELECT booking_id FROM stg WHERE reservation_status = 'Canceled' AND cancellation_date > arrival_date"),
+        ("assert_checkout_matches_stay_length", "warn",
+         "SELECT booking_id FROM stg WHERE reservation_status = 'Check-Out' "
+         "AND reservation_status_date <> arrival_date + nights"),
+        ("assert_driver_slices_cover_every_booking", "error",
+         "SELECT d.dimension FROM (SELECT dimension, sum(bookings) AS bookings FROM drivers GROUP BY 1) d, "
+         "(SELECT count(*) AS bookings FROM fct) f WHERE d.bookings <> f.bookings"),
+        ("assert_exclusions_account_for_every_row", "error",
+         "SELECT * FROM (SELECT (SELECT count(*) FROM stg) AS staged, (SELECT count(*) FROM fct) AS kept, "
+         "(SELECT count(*) FROM stg WHERE dq_negative_adr OR dq_adr_outlier OR dq_zero_guests) AS excluded) "
+         "WHERE staged <> kept + excluded"),
+        ("assert_monthly_kpis_reconcile", "error",
+         "SELECT * FROM (SELECT count(*) AS b, sum(is_canceled::INTEGER) AS c, sum(realized_revenue_eur) AS r FROM fct) f, "
+         "(SELECT sum(bookings) AS b, sum(cancellations) AS c, sum(realized_revenue_eur) AS r FROM monthly) m "
+         "WHERE f.b <> m.b OR f.c <> m.c OR abs(f.r - m.r) > 0.01"),
+        ("assert_room_night_revenue_reconciles", "error",
+         "SELECT * FROM (SELECT sum(realized_revenue_eur) AS r, sum(cancelled_revenue_eur) AS c FROM fct) b, "
+         "(SELECT sum(realized_revenue_eur) AS r, sum(cancelled_revenue_eur) AS c FROM occupancy) n "
+         "WHERE abs(b.r - n.r) > 0.01 OR abs(b.c - n.c) > 0.01"),
+        ("assert_room_nights_match_stay_lengths", "error",
+         "SELECT * FROM (SELECT sum(nights) AS e FROM fct) e, (SELECT count(*) AS a FROM nights) a WHERE e.e <> a.a"),
+        ("assert_staging_keeps_every_source_row", "error",
+         "SELECT * FROM (SELECT count(*) AS n FROM raw) s, (SELECT count(*) AS n FROM stg) g WHERE s.n <> g.n"),
+    ]
+
+
+def rule_results_sql(first_arrival: str, last_arrival: str) -> str:
+    parts = [f"SELECT '{name}' AS test, '{sev}' AS severity, count(*) AS failures FROM ({q}) AS t_{i}"
+             for i, (name, sev, q) in enumerate(rule_sql(first_arrival, last_arrival))]
+    return (
+        "results AS (SELECT test, severity, failures, CASE WHEN failures = 0 THEN 'pass' "
+        "WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status FROM (\n    "
+        + "\n    UNION ALL\n    ".join(parts) + "\n))"
+    )

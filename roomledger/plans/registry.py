@@ -62,3 +62,205 @@ def q_cancellation_drivers(spark, sf_dir):
 @register("cancellation_drivers_union", osql.warehouse(upto="drivers") + "SELECT * FROM drivers")
 def q_cancellation_drivers_union(spark, sf_dir):
     return marts.cancellation_drivers_union(facts(spark, sf_dir))
+
+
+# ---- data-quality rules -----------------------------------------------------------------------------
+# Column rules run on the fixture with planted faults (FIXTURES.md §3), so their result is not empty.
+
+from roomledger.operators import quality as dq  # noqa: E402
+from roomledger.operators import summaries  # noqa: E402
+from roomledger.operators.staging import TWIN_KEY  # noqa: E402
+from roomledger.plans.warehouse import build_warehouse, warehouse_views  # noqa: E402
+from roomledger.sources.fixtures import FIRST_ARRIVAL, LAST_ARRIVAL, load_raw_bookings  # noqa: E402
+
+NARROW_WINDOW = ("1996-01-01", "2000-12-31")  # narrower than the fixture's arrivals, so rows fall outside
+STG = osql.warehouse(upto="stg")
+STG_FAULTY = osql.warehouse(faulty=True, upto="stg")
+FCT = osql.warehouse(upto="fct")
+ALL = osql.warehouse(upto="all")
+
+
+@register("dq_unique", STG_FAULTY + "SELECT booking_id, count(*) AS n FROM stg WHERE booking_id IS NOT NULL "
+                                    "GROUP BY booking_id HAVING count(*) > 1")
+def q_dq_unique(spark, sf_dir):
+    return dq.unique(staging(spark, sf_dir, faulty=True), "booking_id")
+
+
+@register("dq_not_null", STG_FAULTY + "SELECT * FROM stg WHERE arrival_date IS NULL")
+def q_dq_not_null(spark, sf_dir):
+    return dq.not_null(staging(spark, sf_dir, faulty=True), "arrival_date")
+
+
+@register("dq_accepted_values", STG_FAULTY + "SELECT hotel AS value, count(*) AS n_records FROM stg "
+                                             "WHERE hotel IS NOT NULL AND hotel NOT IN ('City Hotel', 'Resort Hotel') "
+                                             "GROUP BY hotel")
+def q_dq_accepted_values(spark, sf_dir):
+    return dq.accepted_values(staging(spark, sf_dir, faulty=True), "hotel", dq.HOTELS)
+
+
+@register("dq_relationships", osql.warehouse(upto="fct", extra=(osql.nights_cte(src="stg", name="stg_nights"),))
+          + "SELECT n.* FROM stg_nights n WHERE n.booking_id IS NOT NULL AND NOT EXISTS "
+            "(SELECT 1 FROM fct f WHERE f.booking_id = n.booking_id)")
+def q_dq_relationships(spark, sf_dir):
+    """Nights expanded from *staging* against ``fct_bookings``: nights of excluded bookings are orphans."""
+    stg = staging(spark, sf_dir)
+    return dq.relationships(marts.room_nights(stg), "booking_id", marts.fct_bookings(stg), "booking_id")
+
+
+@register("dq_non_negative", STG + "SELECT * FROM stg WHERE adr_eur < 0")
+def q_dq_non_negative(spark, sf_dir):
+    return dq.non_negative(staging(spark, sf_dir), "adr_eur")
+
+
+@register("dq_unit_interval", osql.warehouse(upto="monthly") + "SELECT * FROM monthly WHERE cancellation_rate NOT BETWEEN 0 AND 1")
+def q_dq_unit_interval(spark, sf_dir):
+    return dq.between_zero_and_one(marts.monthly_kpis(facts(spark, sf_dir)), "cancellation_rate")
+
+
+@register("dq_unique_combination", STG + f"SELECT {osql.TWIN_COLS}, count(*) AS n FROM stg "
+                                         f"GROUP BY {osql.TWIN_COLS} HAVING count(*) > 1")
+def q_dq_unique_combination(spark, sf_dir):
+    """Groups of identical staged rows (the twin key), with their size."""
+    return dq.unique_combination(staging(spark, sf_dir), TWIN_KEY)
+
+
+@register("dq_arrival_window", STG + f"SELECT booking_id, arrival_date FROM stg WHERE arrival_date NOT BETWEEN "
+                                     f"DATE '{NARROW_WINDOW[0]}' AND DATE '{NARROW_WINDOW[1]}'")
+def q_dq_arrival_window(spark, sf_dir):
+    return dq.arrivals_outside_window(staging(spark, sf_dir), *NARROW_WINDOW)
+
+
+@register("dq_cancel_before_arrival", STG_FAULTY + "SELECT booking_id, arrival_date, cancellation_date FROM stg "
+                                                   "WHERE reservation_status = 'Canceled' AND cancellation_date > arrival_date")
+def q_dq_cancel_before_arrival(spark, sf_dir):
+    return dq.cancellations_after_arrival(staging(spark, sf_dir, faulty=True))
+
+
+@register("dq_checkout_matches_stay", STG + "SELECT booking_id, arrival_date, nights, reservation_status_date FROM stg "
+                                            "WHERE reservation_status = 'Check-Out' "
+                                            "AND reservation_status_date <> arrival_date + nights")
+def q_dq_checkout_matches_stay(spark, sf_dir):
+    return dq.checkout_mismatch(staging(spark, sf_dir))
+
+
+@register("dq_row_conservation", STG + "SELECT s.n AS source_rows, g.n AS staging_rows, s.n = g.n AS ok "
+                                       "FROM (SELECT count(*) AS n FROM raw) s, (SELECT count(*) AS n FROM stg) g")
+def q_dq_row_conservation(spark, sf_dir):
+    raw = load_raw_bookings(spark, sf_dir)
+    return dq.row_conservation_check(raw, dq_stage(raw))
+
+
+def dq_stage(raw):
+    from roomledger.operators.staging import stage_bookings
+    return stage_bookings(raw)
+
+
+@register("dq_exclusions", FCT + "SELECT staged, kept, excluded, staged = kept + excluded AS ok FROM (SELECT "
+                                 "(SELECT count(*) FROM stg) AS staged, (SELECT count(*) FROM fct) AS kept, "
+                                 "(SELECT count(*) FROM stg WHERE dq_negative_adr OR dq_adr_outlier OR dq_zero_guests) "
+                                 "AS excluded)")
+def q_dq_exclusions(spark, sf_dir):
+    stg = staging(spark, sf_dir)
+    return dq.exclusions_check(stg, marts.fct_bookings(stg))
+
+
+@register("dq_driver_slices", osql.warehouse(upto="drivers")
+          + "SELECT d.dimension, d.bookings, f.bookings AS expected, d.bookings = f.bookings AS ok "
+            "FROM (SELECT dimension, sum(bookings) AS bookings FROM drivers GROUP BY 1) d, "
+            "(SELECT count(*) AS bookings FROM fct) f")
+def q_dq_driver_slices(spark, sf_dir):
+    fct = facts(spark, sf_dir)
+    return dq.driver_slices_check(marts.cancellation_drivers(fct), fct)
+
+
+@register("dq_monthly_reconcile", osql.warehouse(upto="monthly")
+          + "SELECT f.b AS fct_bookings, f.c AS fct_cancellations, f.r AS fct_revenue, m.b AS mart_bookings, "
+            "m.c AS mart_cancellations, m.r AS mart_revenue, "
+            "(f.b = m.b AND f.c = m.c AND abs(f.r - m.r) <= 0.01) AS ok "
+            "FROM (SELECT count(*) AS b, sum(is_canceled::INTEGER) AS c, sum(realized_revenue_eur) AS r FROM fct) f, "
+            "(SELECT sum(bookings) AS b, sum(cancellations) AS c, sum(realized_revenue_eur) AS r FROM monthly) m")
+def q_dq_monthly_reconcile(spark, sf_dir):
+    fct = facts(spark, sf_dir)
+    return dq.monthly_reconcile_check(fct, marts.monthly_kpis(fct))
+
+
+@register("dq_night_revenue", osql.warehouse(upto="occupancy")
+          + "SELECT b.r AS booking_realized, b.c AS booking_cancelled, n.r AS night_realized, n.c AS night_cancelled, "
+            "(abs(b.r - n.r) <= 0.01 AND abs(b.c - n.c) <= 0.01) AS ok "
+            "FROM (SELECT sum(realized_revenue_eur) AS r, sum(cancelled_revenue_eur) AS c FROM fct) b, "
+            "(SELECT sum(realized_revenue_eur) AS r, sum(cancelled_revenue_eur) AS c FROM occupancy) n")
+def q_dq_night_revenue(spark, sf_dir):
+    fct = facts(spark, sf_dir)
+    return dq.night_revenue_check(fct, marts.daily_occupancy(marts.room_nights(fct)))
+
+
+@register("dq_night_count", osql.warehouse(upto="nights")
+          + "SELECT e.e AS expected, a.a AS actual, e.e = a.a AS ok "
+            "FROM (SELECT sum(nights) AS e FROM fct) e, (SELECT count(*) AS a FROM nights) a")
+def q_dq_night_count(spark, sf_dir):
+    fct = facts(spark, sf_dir)
+    return dq.night_count_check(fct, marts.room_nights(fct))
+
+
+WAREHOUSE_MODELS = 6  # stg_bookings, fct_bookings, fct_room_nights and the three marts
+
+
+def _rule_results(spark, sf_dir, faulty=False):
+    wh = build_warehouse(spark, load_raw_bookings(spark, sf_dir, faulty=faulty))
+    return dq.rule_results(dq.warehouse_rules(wh, FIRST_ARRIVAL, LAST_ARRIVAL))
+
+
+@register("dq_rule_results", osql.warehouse(upto="all", extra=(osql.rule_results_sql(FIRST_ARRIVAL, LAST_ARRIVAL),))
+          + "SELECT * FROM results")
+def q_dq_rule_results(spark, sf_dir):
+    """All 28 tests of a warehouse run over the clean fixture, one row each."""
+    return _rule_results(spark, sf_dir)
+
+
+@register("dq_rule_results_faulty",
+          osql.warehouse(faulty=True, upto="all", extra=(osql.rule_results_sql(FIRST_ARRIVAL, LAST_ARRIVAL),))
+          + "SELECT * FROM results")
+def q_dq_rule_results_faulty(spark, sf_dir):
+    """The same 28 tests over the fixture with planted faults: the planted rules fail."""
+    return _rule_results(spark, sf_dir, faulty=True)
+
+
+@register("dq_run_summary", osql.warehouse(upto="all", extra=(osql.rule_results_sql(FIRST_ARRIVAL, LAST_ARRIVAL),))
+          + "SELECT count(*) AS tests, count(*) FILTER (WHERE status = 'pass') AS passed, "
+            "count(*) FILTER (WHERE status = 'warn') AS warned, "
+            f"count(*) FILTER (WHERE status IN ('fail', 'error')) AS failed, CAST({WAREHOUSE_MODELS} AS BIGINT) AS models "
+            "FROM results")
+def q_dq_run_summary(spark, sf_dir):
+    return dq.run_summary(_rule_results(spark, sf_dir), WAREHOUSE_MODELS)
+
+
+@register("dq_run_warnings", osql.warehouse(upto="all", extra=(osql.rule_results_sql(FIRST_ARRIVAL, LAST_ARRIVAL),))
+          + "SELECT test, failures FROM results WHERE status = 'warn'")
+def q_dq_run_warnings(spark, sf_dir):
+    return dq.run_warnings(_rule_results(spark, sf_dir))
+
+
+# ---- dashboard summaries ------------------------------------------------------------------------------
+
+@register("booking_totals", FCT + "SELECT count(*) AS bookings, avg(is_canceled::INTEGER) AS cancellation_rate, "
+                                  "sum(cancelled_revenue_eur) AS cancelled_revenue, "
+                                  "sum(realized_revenue_eur) AS realized_revenue, min(arrival_date) AS first_arrival, "
+                                  "max(arrival_date) AS last_arrival FROM fct")
+def q_booking_totals(spark, sf_dir):
+    return summaries.booking_totals(facts(spark, sf_dir))
+
+
+@register("quality_counters", STG + "SELECT count(*) AS source_rows, sum(dq_negative_adr::INTEGER) AS negative_adr, "
+                                    "sum(dq_adr_outlier::INTEGER) AS adr_outlier, sum(dq_zero_guests::INTEGER) AS zero_guests, "
+                                    "sum((dq_negative_adr OR dq_adr_outlier OR dq_zero_guests)::INTEGER) AS excluded, "
+                                    "sum(dq_identical_to_another_row::INTEGER) AS identical_rows, "
+                                    "sum((country_code = 'UNK')::INTEGER) AS unknown_country FROM stg")
+def q_quality_counters(spark, sf_dir):
+    return summaries.quality_counters(staging(spark, sf_dir))
+
+
+@register("cancel_timing", FCT + "SELECT hotel, quantile_cont(cancelled_days_before_arrival, 0.5) AS median_days, "
+                                 "avg((cancelled_days_before_arrival <= 7)::INTEGER) AS share_last_week "
+                                 "FROM fct WHERE reservation_status = 'Canceled' GROUP BY hotel")
+def q_cancel_timing(spark, sf_dir):
+    return summaries.cancel_timing(facts(spark, sf_dir))
