@@ -350,3 +350,103 @@ def rule_results_sql(first_arrival: str, last_arrival: str) -> str:
         "WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status FROM (\n    "
         + "\n    UNION ALL\n    ".join(parts) + "\n))"
     )
+
+
+# ---- scored rows, metrics and the decision rule --------------------------------------------------------
+
+def scored_cte(valid_start: str, test_start: str, name: str = "scored") -> str:
+    return f"""
+seg AS (
+    SELECT market_segment, arrival_month, count(*) AS n, count(*) FILTER (WHERE is_canceled) AS c
+    FROM fct GROUP BY 1, 2
+),
+prior AS (
+    SELECT market_segment, arrival_month,
+        CAST(coalesce(sum(c) OVER w, 0) + 1 AS DOUBLE) / CAST(coalesce(sum(n) OVER w, 0) + 2 AS DOUBLE) AS p_cancel
+    FROM seg
+    WINDOW w AS (PARTITION BY market_segment ORDER BY arrival_month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+{name} AS (
+    SELECT f.booking_id,
+        CASE WHEN f.arrival_date >= DATE '{test_start}' THEN 'test'
+             WHEN f.arrival_date >= DATE '{valid_start}' THEN 'valid' END AS split,
+        f.hotel, f.arrival_date, f.deposit_type, f.nights, f.adr_eur, f.room_revenue_eur, f.is_canceled, p.p_cancel
+    FROM fct f JOIN prior p ON f.market_segment = p.market_segment AND f.arrival_month = p.arrival_month
+    WHERE f.arrival_date >= DATE '{valid_start}'
+)"""
+
+
+def scores_sql(src: str) -> str:
+    """The score record over ``src`` (columns is_canceled, p_cancel), rounded to 4."""
+    eps = "2.220446049250313e-16"
+    pc = f"least(greatest(p, {eps}), 1 - {eps})"
+    return f"""
+t AS (SELECT CAST(is_canceled AS INTEGER) AS y, p_cancel AS p FROM {src}),
+v AS (SELECT p, count(*) AS cnt, sum(y) AS pos FROM t GROUP BY p),
+r AS (SELECT p, cnt, pos,
+        coalesce(sum(cnt) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM v),
+auc AS (
+    SELECT CAST(sum(pos * (2 * below + cnt + 1)) - sum(pos) * (sum(pos) + 1) AS DOUBLE)
+           / CAST(2 * sum(pos) * (sum(cnt) - sum(pos)) AS DOUBLE) AS roc_auc FROM r
+),
+m AS (
+    SELECT avg(CAST(CAST(p >= 0.5 AS INTEGER) = y AS INTEGER)) AS accuracy,
+        coalesce(CAST(count(*) FILTER (WHERE p >= 0.5 AND y = 1) AS DOUBLE)
+                 / nullif(count(*) FILTER (WHERE p >= 0.5), 0), 0) AS precision,
+        coalesce(CAST(count(*) FILTER (WHERE p >= 0.5 AND y = 1) AS DOUBLE)
+                 / nullif(count(*) FILTER (WHERE y = 1), 0), 0) AS recall,
+        avg((p - y) * (p - y)) AS brier,
+        avg(-(y * ln({pc}) + (1 - y) * ln(1 - {pc}))) AS log_loss,
+        avg(y) AS base_rate,
+        count(*) AS n
+    FROM t
+)
+SELECT round(auc.roc_auc, 4) AS roc_auc, round(accuracy, 4) AS accuracy, round(precision, 4) AS precision,
+       round(recall, 4) AS recall, round(brier, 4) AS brier, round(log_loss, 4) AS log_loss,
+       round(base_rate, 4) AS base_rate, round(greatest(base_rate, 1 - base_rate), 4) AS majority_class_accuracy, n
+FROM m, auc"""
+
+
+def calibration_sql(src: str, edges: list[float], labels: list[str]) -> str:
+    lit = [f"CAST('{e!r}' AS DOUBLE)" for e in edges]
+    case = "CASE WHEN p_cancel < " + lit[0] + " THEN NULL " + " ".join(
+        f"WHEN p_cancel <= {lit[i + 1]} THEN {i}" for i in range(len(edges) - 1)) + " END"
+    label = "CASE bin_index " + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(labels)) + " END"
+    return f"""
+b AS (SELECT {case} AS bin_index, p_cancel, CAST(is_canceled AS INTEGER) AS y FROM {src})
+SELECT {label} AS bin, bin_index, count(*) AS n, round(avg(p_cancel), 4) AS predicted, round(avg(y), 4) AS actual
+FROM b WHERE bin_index IS NOT NULL GROUP BY bin_index"""
+
+
+def weekly_cte(src: str, name: str = "weekly") -> str:
+    return f"""
+{name} AS (
+    SELECT hotel, CAST(date_trunc('week', arrival_date) AS DATE) AS week, count(*) AS bookings,
+           round(sum(p_cancel), 6) AS predicted, CAST(sum(CAST(is_canceled AS INTEGER)) AS BIGINT) AS actual
+    FROM {src} GROUP BY 1, 2
+)"""
+
+
+def curve_cte(src: str, name: str, walkaway: float, resale: float, keys: str = "") -> str:
+    """Direct evaluation at each of the 101 thresholds (a threshold x row scan), optionally per keys."""
+    kc = f"{keys}, " if keys else ""
+    f = "e.p_cancel >= th.threshold"
+    w, r = f"CAST({walkaway!r} AS DECIMAL(9,6))", f"CAST({resale!r} AS DECIMAL(9,6))"
+    fn = "CAST(e.adr_eur AS DECIMAL(18,6)) * least(e.nights, 1)"
+    rev = "CAST(e.room_revenue_eur AS DECIMAL(18,6))"
+    gain = f"coalesce(sum((1 - {w}) * {fn}) FILTER (WHERE {f} AND e.is_canceled), 0)"
+    loss = f"coalesce(sum({w} * (1 - {r}) * {rev}) FILTER (WHERE {f} AND NOT e.is_canceled), 0)"
+    return f"""
+{name} AS (
+    SELECT {kc}th.threshold,
+        count(*) FILTER (WHERE {f}) AS flagged,
+        round(avg(CAST({f} AS INTEGER)), 4) AS flagged_share,
+        count(*) FILTER (WHERE {f} AND e.is_canceled) AS cancellations_caught,
+        round(CAST(count(*) FILTER (WHERE {f} AND e.is_canceled) AS DOUBLE)
+              / greatest(count(*) FILTER (WHERE e.is_canceled), 1), 4) AS catch_rate,
+        CAST(round({gain}, 2) AS DOUBLE) AS gain_eur,
+        CAST(round({loss}, 2) AS DOUBLE) AS loss_eur,
+        CAST(round({gain} - {loss}, 2) AS DOUBLE) AS net_eur
+    FROM (SELECT CAST(k AS DOUBLE) / 100 AS threshold FROM range(101) AS g(k)) th, {src} e
+    GROUP BY {kc}th.threshold
+)"""

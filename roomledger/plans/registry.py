@@ -264,3 +264,179 @@ def q_quality_counters(spark, sf_dir):
                                  "FROM fct WHERE reservation_status = 'Canceled' GROUP BY hotel")
 def q_cancel_timing(spark, sf_dir):
     return summaries.cancel_timing(facts(spark, sf_dir))
+
+
+# ---- splits, scores, evaluation ----------------------------------------------------------------------
+
+from roomledger.operators import metrics, policy, scoring, splits  # noqa: E402
+from roomledger.sources.fixtures import TEST_START, VALID_START  # noqa: E402
+
+SCORED = osql.warehouse(upto="fct", extra=(osql.scored_cte(VALID_START, TEST_START),))
+
+
+def scored(spark, sf_dir):
+    return scoring.scored_bookings(facts(spark, sf_dir), VALID_START, TEST_START)
+
+
+def _split(df, name):
+    from pyspark.sql import functions as F
+    return df.filter(F.col("split") == name)
+
+
+@register("time_split_sizes", FCT + f"SELECT count(*) FILTER (WHERE arrival_date < DATE '{VALID_START}') AS fit, "
+          f"count(*) FILTER (WHERE arrival_date >= DATE '{VALID_START}' AND arrival_date < DATE '{TEST_START}') AS valid, "
+          f"count(*) FILTER (WHERE arrival_date < DATE '{TEST_START}') AS train, "
+          f"count(*) FILTER (WHERE arrival_date >= DATE '{TEST_START}') AS test FROM fct")
+def q_time_split_sizes(spark, sf_dir):
+    return splits.split_sizes(facts(spark, sf_dir), VALID_START, TEST_START)
+
+
+@register("walk_forward_prior_rate", SCORED + "SELECT * FROM scored")
+def q_walk_forward_prior_rate(spark, sf_dir):
+    """Valid + test bookings scored month by month from strictly earlier arrivals (scored-table layout)."""
+    return scored(spark, sf_dir)
+
+
+@register("classification_scores", SCORED[:-1] + "," + osql.scores_sql("(SELECT * FROM scored WHERE split = 'test')"))
+def q_classification_scores(spark, sf_dir):
+    return metrics.classification_scores(_split(scored(spark, sf_dir), "test"))
+
+
+@register("classification_scores_valid",
+          SCORED[:-1] + "," + osql.scores_sql("(SELECT * FROM scored WHERE split = 'valid')"))
+def q_classification_scores_valid(spark, sf_dir):
+    return metrics.classification_scores(_split(scored(spark, sf_dir), "valid"))
+
+
+@register("calibration_table", SCORED[:-1] + "," + osql.calibration_sql(
+    "(SELECT * FROM scored WHERE split = 'test')", metrics.calibration_edges(), metrics.calibration_labels()))
+def q_calibration_table(spark, sf_dir):
+    return metrics.calibration_table(_split(scored(spark, sf_dir), "test"))
+
+
+WEEKLY = osql.warehouse(upto="fct", extra=(osql.scored_cte(VALID_START, TEST_START),
+                                           osql.weekly_cte("(SELECT * FROM scored WHERE split = 'test')")))
+
+
+@register("weekly_forecast", WEEKLY + "SELECT * FROM weekly")
+def q_weekly_forecast(spark, sf_dir):
+    return metrics.weekly_forecast(_split(scored(spark, sf_dir), "test"))
+
+
+@register("forecast_error", WEEKLY + "SELECT count(*) AS weeks, "
+          "round(sum(abs(predicted - actual)) / sum(actual), 4) AS weighted_abs_error, "
+          "round(sum(predicted), 1) AS total_predicted, sum(actual) AS total_actual, "
+          "round((sum(predicted) - sum(actual)) / sum(actual), 4) AS total_error FROM weekly")
+def q_forecast_error(spark, sf_dir):
+    return metrics.forecast_error(metrics.weekly_forecast(_split(scored(spark, sf_dir), "test")))
+
+
+_TWIN_FCT = [c for c in TWIN_KEY if c != "reservation_status_date"]
+_HOLD = f"((booking_id * {splits.HASH_MULTIPLIER}) % {splits.HASH_MODULUS}) % 4 = 0"
+
+
+@register("twin_leak_count", FCT + f", h AS (SELECT *, {_HOLD} AS hold FROM fct) "
+          "SELECT (SELECT count(*) FROM h WHERE hold) AS holdout_rows, "
+          "(SELECT count(*) FROM h a WHERE a.hold AND EXISTS (SELECT 1 FROM h b WHERE NOT b.hold AND "
+          + " AND ".join(f"a.{c} IS NOT DISTINCT FROM b.{c}" for c in _TWIN_FCT)
+          + ")) AS holdout_rows_with_train_twin")
+def q_twin_leak_count(spark, sf_dir):
+    """Shuffled 75/25 split of the fact table: hold-out rows that have an identical twin in training."""
+    return splits.twin_leak_count(facts(spark, sf_dir), _TWIN_FCT, splits.shuffled_holdout())
+
+
+# ---- decision-rule backtest ----------------------------------------------------------------------------
+
+def _eligible(spark, sf_dir, split):
+    return policy.eligible(_split(scored(spark, sf_dir), split))
+
+
+_E = ("e_valid AS (SELECT * FROM scored WHERE split = 'valid' AND deposit_type = 'No Deposit'), "
+      "e_test AS (SELECT * FROM scored WHERE split = 'test' AND deposit_type = 'No Deposit')")
+_BW, _BR = policy.BASE_WALKAWAY, policy.BASE_RESALE
+
+
+def _policy_sql(*ctes):
+    return osql.warehouse(upto="fct", extra=(osql.scored_cte(VALID_START, TEST_START), _E, *ctes))
+
+
+@register("policy_outcome", _policy_sql(osql.curve_cte("e_test", "c_test", _BW, _BR))
+          + "SELECT * FROM c_test WHERE threshold = 0.5")
+def q_policy_outcome(spark, sf_dir):
+    """The rule at one threshold (0.5) under the base assumptions, on the test period."""
+    return policy.evaluate(_eligible(spark, sf_dir, "test"), 0.5, _BW, _BR)
+
+
+@register("policy_curve", _policy_sql(osql.curve_cte("e_test", "c_test", _BW, _BR)) + "SELECT * FROM c_test")
+def q_policy_curve(spark, sf_dir):
+    return policy.threshold_curve(_eligible(spark, sf_dir, "test"))
+
+
+_BEST = "best AS (SELECT threshold, net_eur FROM c_valid ORDER BY net_eur DESC, threshold ASC LIMIT 1)"
+
+
+@register("policy_best_threshold", _policy_sql(osql.curve_cte("e_valid", "c_valid", _BW, _BR), _BEST)
+          + "SELECT * FROM best")
+def q_policy_best_threshold(spark, sf_dir):
+    return policy.best_threshold(policy.threshold_curve(_eligible(spark, sf_dir, "valid")))
+
+
+def _base_threshold(spark, sf_dir):
+    return policy.best_threshold(policy.threshold_curve(_eligible(spark, sf_dir, "valid"))).select("threshold").scalar()
+
+
+@register("policy_base_case", _policy_sql(osql.curve_cte("e_valid", "c_valid", _BW, _BR), _BEST,
+                                          osql.curve_cte("e_test", "c_test", _BW, _BR))
+          + "SELECT c.* FROM c_test c JOIN best b ON c.threshold = b.threshold "
+            "UNION ALL SELECT * FROM c_test WHERE threshold = 0")
+def q_policy_base_case(spark, sf_dir):
+    """Base case at the threshold chosen on valid, and the blanket deposit (threshold 0), on test."""
+    from pyspark.sql import functions as F
+    curve = policy.threshold_curve(_eligible(spark, sf_dir, "test"))
+    return curve.filter((F.col("threshold") == _base_threshold(spark, sf_dir)) | (F.col("threshold") == 0))
+
+
+@register("policy_by_hotel", _policy_sql(osql.curve_cte("e_valid", "c_valid", _BW, _BR), _BEST,
+                                         osql.curve_cte("e_test", "h_test", _BW, _BR, keys="e.hotel"))
+          + "SELECT h.* FROM h_test h JOIN best b ON h.threshold = b.threshold")
+def q_policy_by_hotel(spark, sf_dir):
+    from pyspark.sql import functions as F
+    curve = policy.threshold_curve(_eligible(spark, sf_dir, "test"), keys=["hotel"])
+    return curve.filter(F.col("threshold") == _base_threshold(spark, sf_dir))
+
+
+_CASES = "cases AS (SELECT * FROM (VALUES " + ", ".join(
+    f"(CAST({w!r} AS DOUBLE), CAST({r!r} AS DOUBLE))" for w in policy.WALKAWAY_GRID for r in policy.RESALE_GRID
+) + ") AS t(walkaway, resale))"
+
+
+def _case_curve(src, name):
+    f = "e.p_cancel >= th.threshold"
+    w, r = "CAST(cs.walkaway AS DECIMAL(9,6))", "CAST(cs.resale AS DECIMAL(9,6))"
+    gain = (f"coalesce(sum((1 - {w}) * CAST(e.adr_eur AS DECIMAL(18,6)) * least(e.nights, 1)) "
+            f"FILTER (WHERE {f} AND e.is_canceled), 0)")
+    loss = (f"coalesce(sum({w} * (1 - {r}) * CAST(e.room_revenue_eur AS DECIMAL(18,6))) "
+            f"FILTER (WHERE {f} AND NOT e.is_canceled), 0)")
+    return (f"{name} AS (SELECT cs.walkaway, cs.resale, th.threshold, CAST(round({gain} - {loss}, 2) AS DOUBLE) AS net_eur "
+            f"FROM (SELECT CAST(k AS DOUBLE) / 100 AS threshold FROM range(101) AS g(k)) th, cases cs, {src} e "
+            f"GROUP BY cs.walkaway, cs.resale, th.threshold)")
+
+
+@register("policy_sensitivity", _policy_sql(_CASES, _case_curve("e_valid", "cv"), _case_curve("e_test", "ct"))
+          + ", pick AS (SELECT walkaway, resale, arg_max(threshold, (net_eur, -threshold)) AS threshold_from_valid "
+            "FROM cv GROUP BY 1, 2) "
+            "SELECT p.walkaway, p.resale, p.threshold_from_valid, t.net_eur AS net_eur_test, "
+            "z.net_eur AS blanket_deposit_net_eur_test FROM pick p "
+            "JOIN ct t ON t.walkaway = p.walkaway AND t.resale = p.resale AND t.threshold = p.threshold_from_valid "
+            "JOIN ct z ON z.walkaway = p.walkaway AND z.resale = p.resale AND z.threshold = 0")
+def q_policy_sensitivity(spark, sf_dir):
+    return policy.sensitivity(_eligible(spark, sf_dir, "valid"), _eligible(spark, sf_dir, "test"))
+
+
+@register("policy_population", _policy_sql() + "SELECT count(*) AS eligible_bookings, "
+          "count(*) FILTER (WHERE is_canceled) AS eligible_cancellations, "
+          "CAST(round(coalesce(sum(CAST(room_revenue_eur AS DECIMAL(18,6))) FILTER (WHERE is_canceled), 0), 2) AS DOUBLE) "
+          "AS eligible_cancelled_revenue_eur "
+          "FROM e_test")
+def q_policy_population(spark, sf_dir):
+    return policy.population(_eligible(spark, sf_dir, "test"))
