@@ -440,3 +440,81 @@ def q_policy_sensitivity(spark, sf_dir):
           "FROM e_test")
 def q_policy_population(spark, sf_dir):
     return policy.population(_eligible(spark, sf_dir, "test"))
+
+
+# ---- features ---------------------------------------------------------------------------------------------
+
+from roomledger.operators import features as feat  # noqa: E402
+
+_TRAIN = f"arrival_date < DATE '{TEST_START}'"
+_VOCAB = (f"vocab AS (SELECT agent_id, count(*) AS count FROM fct WHERE agent_id IS NOT NULL AND {_TRAIN} "
+          f"GROUP BY agent_id ORDER BY count DESC, agent_id LIMIT {feat.TOP_AGENTS})")
+_POOLED = ("CASE WHEN f.agent_id IS NULL THEN 'none' WHEN v.agent_id IS NOT NULL THEN CAST(f.agent_id AS VARCHAR) "
+           "ELSE 'other' END")
+
+
+def _train_test(spark, sf_dir):
+    fct = facts(spark, sf_dir)
+    s = splits.time_split(fct, VALID_START, TEST_START)
+    return s["train"], s["test"]
+
+
+@register("top_agents", osql.warehouse(upto="fct", extra=(_VOCAB,)) + "SELECT * FROM vocab")
+def q_top_agents(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    return feat.top_agents(train)
+
+
+@register("pooled_category", osql.warehouse(upto="fct", extra=(_VOCAB,))
+          + f"SELECT f.booking_id, f.agent_id, {_POOLED} AS agent FROM fct f "
+            f"LEFT JOIN vocab v ON f.agent_id = v.agent_id WHERE f.arrival_date >= DATE '{TEST_START}'")
+def q_pooled_category(spark, sf_dir):
+    """Test rows with their agent pooled against the training vocabulary."""
+    train, test = _train_test(spark, sf_dir)
+    return feat.pooled_agent(test, feat.top_agents(train)).select("booking_id", "agent_id", "agent")
+
+
+_FRAME_NUMERIC = {
+    "arrival_weekday_num": "CAST(isodow(f.arrival_date) - 1 AS INTEGER)",
+    "is_repeated_guest": "CAST(f.is_repeated_guest AS INTEGER)",
+    "has_company": "CAST(f.company_id IS NOT NULL AS INTEGER)",
+    "agent": _POOLED,
+}
+
+
+@register("feature_frame", osql.warehouse(upto="fct", extra=(_VOCAB,))
+          + "SELECT f.booking_id, f.is_canceled, "
+          + ", ".join(f"{_FRAME_NUMERIC.get(c, 'f.' + c)} AS {c}" for c in feat.FEATURES)
+          + f" FROM fct f LEFT JOIN vocab v ON f.agent_id = v.agent_id WHERE f.arrival_date >= DATE '{TEST_START}'")
+def q_feature_frame(spark, sf_dir):
+    """Model frame of the test rows (22 allowed features) with the training vocabulary."""
+    train, test = _train_test(spark, sf_dir)
+    return feat.feature_frame(test, feat.top_agents(train), keep=["booking_id", "is_canceled"])
+
+
+def _indexed_sql() -> str:
+    ctes = [_VOCAB,
+            "tr AS (SELECT " + ", ".join(f"{_FRAME_NUMERIC.get(c, 'f.' + c)} AS {c}" for c in feat.CATEGORICAL)
+            + f" FROM fct f LEFT JOIN vocab v ON f.agent_id = v.agent_id WHERE f.{_TRAIN})",
+            "te AS (SELECT f.booking_id, " + ", ".join(f"{_FRAME_NUMERIC.get(c, 'f.' + c)} AS {c}"
+                                                      for c in feat.CATEGORICAL)
+            + f" FROM fct f LEFT JOIN vocab v ON f.agent_id = v.agent_id WHERE f.arrival_date >= DATE '{TEST_START}')"]
+    for c in feat.CATEGORICAL:
+        ctes.append(f"lv_{c} AS (SELECT {c} AS level, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS DOUBLE) "
+                    f"AS idx FROM tr WHERE {c} IS NOT NULL GROUP BY {c})")
+    sel = ", ".join(f"coalesce(l_{c}.idx, CAST((SELECT count(*) FROM lv_{c}) AS DOUBLE)) AS {c}_idx"
+                    for c in feat.CATEGORICAL)
+    joins = " ".join(f"LEFT JOIN lv_{c} l_{c} ON te.{c} = l_{c}.level" for c in feat.CATEGORICAL)
+    return osql.warehouse(upto="fct", extra=tuple(ctes)) + f"SELECT te.booking_id, {sel} FROM te {joins}"
+
+
+@register("indexed_categories", _indexed_sql())
+def q_indexed_categories(spark, sf_dir):
+    """Category codes of the test rows with levels fitted on training rows; unseen -> one extra code."""
+    from pyspark.ml import Pipeline
+    train, test = _train_test(spark, sf_dir)
+    vocab = feat.top_agents(train)
+    tr = feat.feature_frame(train, vocab)
+    te = feat.feature_frame(test, vocab, keep=["booking_id"])
+    model = Pipeline(stages=feat.category_indexers(feat.CATEGORICAL)).fit(tr)
+    return model.transform(te).select("booking_id", *[f"{c}_idx" for c in feat.CATEGORICAL])
