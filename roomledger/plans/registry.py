@@ -518,3 +518,84 @@ def q_indexed_categories(spark, sf_dir):
     te = feat.feature_frame(test, vocab, keep=["booking_id"])
     model = Pipeline(stages=feat.category_indexers(feat.CATEGORICAL)).fit(tr)
     return model.transform(te).select("booking_id", *[f"{c}_idx" for c in feat.CATEGORICAL])
+
+
+# ---- boosted-tree walk-forward (rows-only checks: no SQL oracle for a trained model) --------------------
+
+from roomledger.operators import gbt  # noqa: E402
+
+
+def _test_end(fct):
+    from pyspark.sql import functions as F
+    last = fct.agg(F.max("arrival_date")).first()[0]  # one scalar: the last arrival
+    return (last + __import__("datetime").timedelta(days=1)).isoformat()
+
+
+# Fitted results are reused across the GBT queries of one session: the rounds (an int) and the
+# checkpointed walk-forward scores, keyed by session, data folder and variant.
+_FITS: dict = {}
+
+
+def _rounds(spark, sf_dir, variant=gbt.Variant()):
+    key = ("rounds", spark.sparkContext.applicationId, sf_dir, repr(variant))
+    if key not in _FITS:
+        _FITS[key] = gbt.choose_rounds(facts(spark, sf_dir), VALID_START, TEST_START, variant)
+    return _FITS[key]
+
+
+def _gbt_test(spark, sf_dir, variant=gbt.Variant()):
+    key = ("walk", spark.sparkContext.applicationId, sf_dir, repr(variant))
+    if key not in _FITS:
+        fct = facts(spark, sf_dir)
+        rounds = _rounds(spark, sf_dir, variant)
+        scored_rows, model, names = gbt.walk_forward(fct, TEST_START, _test_end(fct), rounds, variant)
+        _FITS[key] = (scored_rows, model, names, rounds)
+    return _FITS[key]
+
+
+@register("gbt_rounds")
+def q_gbt_rounds(spark, sf_dir):
+    """Rounds picked once by early stopping on fit -> valid."""
+    from pyspark.sql import functions as F
+    fct = facts(spark, sf_dir)
+    return fct.agg(F.lit(_rounds(spark, sf_dir)).alias("boosting_rounds"), F.count(F.lit(1)).alias("rows_seen"))
+
+
+@register("gbt_walk_forward")
+def q_gbt_walk_forward(spark, sf_dir):
+    """Test arrivals scored month by month by a model trained on all earlier arrivals."""
+    from pyspark.sql import functions as F
+    scored_rows, _, _, _ = _gbt_test(spark, sf_dir)
+    return scored_rows.withColumn("split", F.lit("test"))
+
+
+@register("gbt_scores")
+def q_gbt_scores(spark, sf_dir):
+    scored_rows, _, _, _ = _gbt_test(spark, sf_dir)
+    return metrics.classification_scores(scored_rows)
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    """Top-15 gain-style importances of the last month's model."""
+    _, model, names, _ = _gbt_test(spark, sf_dir)
+    return gbt.feature_importance(model, names)
+
+
+@register("ablation_scores")
+def q_ablation_scores(spark, sf_dir):
+    """Walk-forward test scores without special requests and with the leaky columns (one row each)."""
+    from pyspark.sql import functions as F
+    rows = []
+    for v in (gbt.Variant("without_special_requests", drop=["special_requests"]),
+              gbt.Variant("with_leaky_columns", extra=list(feat.LEAKY_DEMO_COLUMNS))):
+        scored_rows, _, _, _ = _gbt_test(spark, sf_dir, v)
+        rows.append(metrics.classification_scores(scored_rows).select(F.lit(v.name).alias("variant"), "*"))
+    return rows[0].unionByName(rows[1])
+
+
+@register("random_split_scores")
+def q_random_split_scores(spark, sf_dir):
+    """Shuffled 75/25 split (hash of the booking id): the inflated comparison score."""
+    fct = facts(spark, sf_dir)
+    return metrics.classification_scores(gbt.holdout_scores(fct, splits.shuffled_holdout(), _rounds(spark, sf_dir)))
