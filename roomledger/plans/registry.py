@@ -599,3 +599,75 @@ def q_random_split_scores(spark, sf_dir):
     """Shuffled 75/25 split (hash of the booking id): the inflated comparison score."""
     fct = facts(spark, sf_dir)
     return metrics.classification_scores(gbt.holdout_scores(fct, splits.shuffled_holdout(), _rounds(spark, sf_dir)))
+
+
+# ---- sources and sinks (round trips through files in the shared scratch folder) ----------------------
+
+from roomledger.session import scratch_path, table_path  # noqa: E402
+from roomledger.sources import files  # noqa: E402
+
+
+@register("surrogate_row_id", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS row_id FROM orders")
+def q_surrogate_row_id(spark, sf_dir):
+    """Dense 1..n ids in file order on a parquet scan (orders are stored in key order)."""
+    from roomledger.operators.rowid import with_row_id
+    orders = spark.read.parquet(table_path(sf_dir, "orders")).select("o_orderkey")
+    return with_row_id(orders, "row_id")
+
+
+@register("csv_null_tokens", osql.with_ctes(
+    osql.raw_cte(name="raw0"),
+    "raw AS (SELECT * EXCLUDE (booking_id), row_number() OVER (ORDER BY booking_id) AS booking_id FROM raw0)",
+    osql.stg_cte()) + "SELECT * FROM stg")
+def q_csv_null_tokens(spark, sf_dir):
+    """Raw rows written as CSV (missing agent / company spelled ``NULL``, other gaps ``NA``), read back
+    with both tokens as null and no key, numbered in file order, staged."""
+    from roomledger.operators.staging import stage_bookings
+    path = scratch_path(spark, "raw-csv")
+    files.write_raw_csv(load_raw_bookings(spark, sf_dir), path, order_by="booking_id",
+                        null_token_by_column={"agent": "NULL", "company": "NULL"})
+    return stage_bookings(files.read_csv_with_null_tokens(spark, path, row_id="booking_id"))
+
+
+@register("source_fingerprint")
+def q_source_fingerprint(spark, sf_dir):
+    """SHA-256 of the input files the warehouse is built from."""
+    return files.file_fingerprints(spark, [table_path(sf_dir, "orders"), table_path(sf_dir, "customer")])
+
+
+@register("scored_parquet_round_trip", SCORED + "SELECT * FROM scored WHERE split = 'test'")
+def q_scored_parquet_round_trip(spark, sf_dir):
+    """Scored table written partitioned by split, read back with a partition filter."""
+    from pyspark.sql import functions as F
+    path = scratch_path(spark, "scored")
+    files.write_table(scored(spark, sf_dir), path, partition_by=["split"])
+    return spark.read.parquet(path).filter(F.col("split") == "test")
+
+
+@register("weekly_csv_round_trip", WEEKLY + "SELECT * FROM weekly")
+def q_weekly_csv_round_trip(spark, sf_dir):
+    path = scratch_path(spark, "weekly")
+    files.write_csv(metrics.weekly_forecast(_split(scored(spark, sf_dir), "test")), path)
+    return files.read_csv(spark, path, "hotel STRING, week DATE, bookings LONG, predicted DOUBLE, actual LONG")
+
+
+@register("policy_report_round_trip", _policy_sql(osql.curve_cte("e_test", "c_test", _BW, _BR)) + "SELECT * FROM c_test")
+def q_policy_report_round_trip(spark, sf_dir):
+    """Decision-rule report written as JSON and read back; returns its threshold curve."""
+    from pyspark.sql import functions as F
+    from roomledger.plans.reports import policy_report
+    path = scratch_path(spark, "policy-report")
+    files.write_report(policy_report(_eligible(spark, sf_dir, "valid"), _eligible(spark, sf_dir, "test")), path)
+    doc = files.read_report(spark, path)
+    curve = doc.select(F.explode("threshold_curve_base_case").alias("c")).select("c.*")
+    return curve.select(*policy.OUTCOME_COLUMNS)
+
+
+@register("monthly_records", osql.warehouse(upto="monthly")
+          + "SELECT hotel, strftime(arrival_month, '%Y-%m-%d') AS arrival_month, bookings, cancellations, no_shows, "
+            "round(cancellation_rate, 4) AS cancellation_rate, room_nights_sold, "
+            "round(realized_revenue_eur, 4) AS realized_revenue_eur, round(cancelled_revenue_eur, 4) AS cancelled_revenue_eur, "
+            "round(realized_adr_eur, 4) AS realized_adr_eur FROM monthly")
+def q_monthly_records(spark, sf_dir):
+    """Monthly KPIs as presentation records: dates as text, doubles to 4 digits."""
+    return files.records(marts.monthly_kpis(facts(spark, sf_dir)))
