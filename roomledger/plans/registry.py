@@ -31,7 +31,9 @@ def register(name: str, oracle: str | None = None):
 
 @register("stg_bookings", osql.warehouse(upto="stg") + "SELECT * FROM stg")
 def q_stg_bookings(spark, sf_dir):
-    return staging(spark, sf_dir)
+    """Staging computed from the raw rows (not the session's stored copy)."""
+    from roomledger.operators.staging import stage_bookings
+    return stage_bookings(load_raw_bookings(spark, sf_dir))
 
 
 @register("fct_bookings", osql.warehouse(upto="fct") + "SELECT * FROM fct")
@@ -70,7 +72,7 @@ def q_cancellation_drivers_union(spark, sf_dir):
 from roomledger.operators import quality as dq  # noqa: E402
 from roomledger.operators import summaries  # noqa: E402
 from roomledger.operators.staging import TWIN_KEY  # noqa: E402
-from roomledger.plans.warehouse import build_warehouse, warehouse_views  # noqa: E402
+from roomledger.plans.warehouse import materialized  # noqa: E402
 from roomledger.sources.fixtures import FIRST_ARRIVAL, LAST_ARRIVAL, load_raw_bookings  # noqa: E402
 
 NARROW_WINDOW = ("1996-01-01", "2000-12-31")  # narrower than the fixture's arrivals, so rows fall outside
@@ -146,13 +148,7 @@ def q_dq_checkout_matches_stay(spark, sf_dir):
 @register("dq_row_conservation", STG + "SELECT s.n AS source_rows, g.n AS staging_rows, s.n = g.n AS ok "
                                        "FROM (SELECT count(*) AS n FROM raw) s, (SELECT count(*) AS n FROM stg) g")
 def q_dq_row_conservation(spark, sf_dir):
-    raw = load_raw_bookings(spark, sf_dir)
-    return dq.row_conservation_check(raw, dq_stage(raw))
-
-
-def dq_stage(raw):
-    from roomledger.operators.staging import stage_bookings
-    return stage_bookings(raw)
+    return dq.row_conservation_check(load_raw_bookings(spark, sf_dir), staging(spark, sf_dir))
 
 
 @register("dq_exclusions", FCT + "SELECT staged, kept, excluded, staged = kept + excluded AS ok FROM (SELECT "
@@ -206,7 +202,7 @@ WAREHOUSE_MODELS = 6  # stg_bookings, fct_bookings, fct_room_nights and the thre
 
 
 def _rule_results(spark, sf_dir, faulty=False):
-    wh = build_warehouse(spark, load_raw_bookings(spark, sf_dir, faulty=faulty))
+    wh = materialized(spark, sf_dir, faulty=faulty)
     return dq.rule_results(dq.warehouse_rules(wh, FIRST_ARRIVAL, LAST_ARRIVAL))
 
 

@@ -8,6 +8,7 @@ and the lineage is cut at a table in the shared folder rather than in executor m
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,13 +19,14 @@ from roomledger.session import scratch_path
 from roomledger.sources.fixtures import load_raw_bookings
 
 
-def staging(spark: SparkSession, sf_dir: str, faulty: bool = False,
-            adr_ceiling: float = DEFAULT_ADR_CEILING) -> DataFrame:
-    return stage_bookings(load_raw_bookings(spark, sf_dir, faulty=faulty), adr_ceiling=adr_ceiling)
+def staging(spark: SparkSession, sf_dir: str, faulty: bool = False) -> DataFrame:
+    """``stg_bookings`` of the fixture under ``sf_dir`` (read from the session's materialised warehouse)."""
+    return materialized(spark, sf_dir, faulty).stg
 
 
 def facts(spark: SparkSession, sf_dir: str, faulty: bool = False) -> DataFrame:
-    return fct_bookings(staging(spark, sf_dir, faulty=faulty))
+    """``fct_bookings`` of the fixture under ``sf_dir`` (read from the session's materialised warehouse)."""
+    return materialized(spark, sf_dir, faulty).fct
 
 
 @dataclass
@@ -49,21 +51,41 @@ def warehouse_views(raw: DataFrame, adr_ceiling: float = DEFAULT_ADR_CEILING) ->
 def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None,
                     adr_ceiling: float = DEFAULT_ADR_CEILING) -> Warehouse:
     """Materialise every model as a parquet table under ``root`` (default: a new folder in the shared
-    checkpoint dir) and return DataFrames that read the written tables."""
+    checkpoint dir) and return DataFrames that read the written tables.
+
+    ``fct_bookings`` is stored by ``arrival_month`` so the time filters of scoring prune partitions.
+    Before that write the rows are range-partitioned on (arrival_month, booking_id): every task then
+    writes one or two month folders, and a month far larger than the others is still cut into many
+    tasks by the booking id, instead of one task per month.
+    """
     root = root or scratch_path(spark, "warehouse")
     stg = stage_bookings(raw, adr_ceiling=adr_ceiling)
     stg.write.mode("overwrite").parquet(f"{root}/stg_bookings")
-    stg = spark.read.parquet(f"{root}/stg_bookings")
+    stg = spark.read.schema(stg.schema).parquet(f"{root}/stg_bookings")
     fct = fct_bookings(stg)
-    fct.write.mode("overwrite").partitionBy("arrival_month").parquet(f"{root}/fct_bookings")
-    fct = spark.read.parquet(f"{root}/fct_bookings").select(*fct.columns)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (fct.repartitionByRange(parts, "arrival_month", "booking_id")
+     .write.mode("overwrite").partitionBy("arrival_month").parquet(f"{root}/fct_bookings"))
+    fct = spark.read.schema(fct.schema).parquet(f"{root}/fct_bookings").select(*fct.columns)
     nights = room_nights(fct)
     nights.write.mode("overwrite").parquet(f"{root}/fct_room_nights")
-    nights = spark.read.parquet(f"{root}/fct_room_nights")
+    nights = spark.read.schema(nights.schema).parquet(f"{root}/fct_room_nights")
     out = {}
     for name, df in (("mart_daily_occupancy", daily_occupancy(nights)), ("mart_monthly_kpis", monthly_kpis(fct)),
                      ("mart_cancellation_drivers", cancellation_drivers(fct))):
         df.write.mode("overwrite").parquet(f"{root}/{name}")
-        out[name] = spark.read.parquet(f"{root}/{name}")
+        out[name] = spark.read.schema(df.schema).parquet(f"{root}/{name}")
     return Warehouse(raw, stg, fct, nights, out["mart_daily_occupancy"], out["mart_monthly_kpis"],
                      out["mart_cancellation_drivers"])
+
+
+# One materialised warehouse per (session, input folder, fixture variant): the models are built once and
+# every query of the session reads the written tables, as a warehouse run would.
+_BUILT: dict = {}
+
+
+def materialized(spark: SparkSession, sf_dir: str, faulty: bool = False) -> Warehouse:
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), faulty)
+    if key not in _BUILT:
+        _BUILT[key] = build_warehouse(spark, load_raw_bookings(spark, sf_dir, faulty=faulty))
+    return _BUILT[key]
