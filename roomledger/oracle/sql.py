@@ -376,20 +376,20 @@ prior AS (
 )"""
 
 
-def scores_sql(src: str) -> str:
-    """The score record over ``src`` (columns is_canceled, p_cancel), rounded to 4."""
+def scores_ctes(src: str, p: str = "") -> str:
+    """CTEs ``{p}t .. {p}rec`` computing the score record over ``src`` (columns is_canceled, p_cancel)."""
     eps = "2.220446049250313e-16"
     pc = f"least(greatest(p, {eps}), 1 - {eps})"
     return f"""
-t AS (SELECT CAST(is_canceled AS INTEGER) AS y, p_cancel AS p FROM {src}),
-v AS (SELECT p, count(*) AS cnt, sum(y) AS pos FROM t GROUP BY p),
-r AS (SELECT p, cnt, pos,
-        coalesce(sum(cnt) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM v),
-auc AS (
+{p}t AS (SELECT CAST(is_canceled AS INTEGER) AS y, p_cancel AS p FROM {src}),
+{p}v AS (SELECT p, count(*) AS cnt, sum(y) AS pos FROM {p}t GROUP BY p),
+{p}r AS (SELECT p, cnt, pos,
+        coalesce(sum(cnt) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM {p}v),
+{p}auc AS (
     SELECT CAST(sum(pos * (2 * below + cnt + 1)) - sum(pos) * (sum(pos) + 1) AS DOUBLE)
-           / CAST(2 * sum(pos) * (sum(cnt) - sum(pos)) AS DOUBLE) AS roc_auc FROM r
+           / CAST(2 * sum(pos) * (sum(cnt) - sum(pos)) AS DOUBLE) AS roc_auc FROM {p}r
 ),
-m AS (
+{p}m AS (
     SELECT avg(CAST(CAST(p >= 0.5 AS INTEGER) = y AS INTEGER)) AS accuracy,
         coalesce(CAST(count(*) FILTER (WHERE p >= 0.5 AND y = 1) AS DOUBLE)
                  / nullif(count(*) FILTER (WHERE p >= 0.5), 0), 0) AS precision,
@@ -399,12 +399,19 @@ m AS (
         avg(-(y * ln({pc}) + (1 - y) * ln(1 - {pc}))) AS log_loss,
         avg(y) AS base_rate,
         count(*) AS n
-    FROM t
-)
-SELECT round(auc.roc_auc, 4) AS roc_auc, round(accuracy, 4) AS accuracy, round(precision, 4) AS precision,
-       round(recall, 4) AS recall, round(brier, 4) AS brier, round(log_loss, 4) AS log_loss,
-       round(base_rate, 4) AS base_rate, round(greatest(base_rate, 1 - base_rate), 4) AS majority_class_accuracy, n
-FROM m, auc"""
+    FROM {p}t
+),
+{p}rec AS (
+    SELECT round(a.roc_auc, 4) AS roc_auc, round(accuracy, 4) AS accuracy, round(precision, 4) AS precision,
+           round(recall, 4) AS recall, round(brier, 4) AS brier, round(log_loss, 4) AS log_loss,
+           round(base_rate, 4) AS base_rate, round(greatest(base_rate, 1 - base_rate), 4) AS majority_class_accuracy, n
+    FROM {p}m, {p}auc AS a
+)"""
+
+
+def scores_sql(src: str) -> str:
+    """The score record over ``src``, rounded to 4 (continues a ``WITH`` list)."""
+    return scores_ctes(src) + "\nSELECT * FROM rec"
 
 
 def calibration_sql(src: str, edges: list[float], labels: list[str]) -> str:

@@ -667,3 +667,35 @@ def q_policy_report_round_trip(spark, sf_dir):
 def q_monthly_records(spark, sf_dir):
     """Monthly KPIs as presentation records: dates as text, doubles to 4 digits."""
     return files.records(marts.monthly_kpis(facts(spark, sf_dir)))
+
+
+# ---- documents --------------------------------------------------------------------------------------------
+
+def _metrics_long_sql() -> str:
+    fields = ["roc_auc", "accuracy", "precision", "recall", "brier", "log_loss", "base_rate",
+              "majority_class_accuracy", "n"]
+    ctes = [osql.scores_ctes(f"(SELECT * FROM scored WHERE split = '{s}')", f"{s}_") for s in ("test", "valid")]
+    body = [f"SELECT '{s}' AS section, '{f}' AS metric, CAST({f} AS DOUBLE) AS value FROM {s}_rec"
+            for s in ("test", "valid") for f in fields]
+    sizes = ("sizes AS (SELECT count(*) FILTER (WHERE arrival_date < DATE '{v}') AS fit, "
+             "count(*) FILTER (WHERE arrival_date >= DATE '{v}' AND arrival_date < DATE '{t}') AS valid, "
+             "count(*) FILTER (WHERE arrival_date < DATE '{t}') AS train, "
+             "count(*) FILTER (WHERE arrival_date >= DATE '{t}') AS test FROM fct)").format(v=VALID_START, t=TEST_START)
+    body += [f"SELECT 'split' AS section, '{f}' AS metric, CAST({f} AS DOUBLE) AS value FROM sizes"
+             for f in ("fit", "valid", "train", "test")]
+    err = ("werr AS (SELECT count(*) AS weeks, round(sum(abs(predicted - actual)) / sum(actual), 4) AS weighted_abs_error, "
+           "round(sum(predicted), 1) AS total_predicted, sum(actual) AS total_actual, "
+           "round((sum(predicted) - sum(actual)) / sum(actual), 4) AS total_error FROM weekly)")
+    body += [f"SELECT 'weekly_forecast' AS section, '{f}' AS metric, CAST({f} AS DOUBLE) AS value FROM werr"
+             for f in ("weeks", "weighted_abs_error", "total_predicted", "total_actual", "total_error")]
+    return (osql.warehouse(upto="fct", extra=(osql.scored_cte(VALID_START, TEST_START),
+                                              osql.weekly_cte("(SELECT * FROM scored WHERE split = 'test')"),
+                                              *ctes, sizes, err))
+            + "\nUNION ALL\n".join(body))
+
+
+@register("model_metrics_long", _metrics_long_sql())
+def q_model_metrics_long(spark, sf_dir):
+    """The metrics document of a scored run as (section, metric, value) rows."""
+    from roomledger.plans.model_run import metrics_document
+    return metrics_document(facts(spark, sf_dir), scored(spark, sf_dir), VALID_START, TEST_START)
