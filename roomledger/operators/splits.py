@@ -57,10 +57,14 @@ def twin_leak_count(df: DataFrame, twin_key: list[str], holdout) -> DataFrame:
     """Hold-out rows with an identical row (on ``twin_key``, null-safe) in the training part.
 
     ``left_semi`` join on every key column with ``<=>``; Spark plans it as a hash/sort-merge join on the
-    key, so no pairs are emitted. Returns one row: holdout rows, how many of them have a twin in train.
+    key, so no pairs are emitted. The training keys are de-duplicated first (a partial aggregate folds a
+    hot key to one row per task), so a key shared by many rows is one row on the build side and only
+    the probe side can be skewed, which AQE splits. Returns one row: hold-out rows, and how many of them
+    have a twin in train.
     """
     test = df.filter(holdout)
-    train = df.filter(~holdout).select(*[F.col(c).alias(f"__t_{n}") for n, c in enumerate(twin_key)])
+    train = (df.filter(~holdout).select(*[F.col(c).alias(f"__t_{n}") for n, c in enumerate(twin_key)])
+             .dropDuplicates())
     cond = [test[c].eqNullSafe(train[f"__t_{n}"]) for n, c in enumerate(twin_key)]
     leaked = test.join(train, cond, "left_semi")
     return test.agg(F.count(F.lit(1)).alias("holdout_rows")).withColumn(
