@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roomledger.operators.joins import lookup_join
-from roomledger.operators.splits import split_label
+from roomledger.operators.splits import arrival_window, split_label
 
 SCORED_COLUMNS = ["booking_id", "split", "hotel", "arrival_date", "deposit_type", "nights", "adr_eur",
                   "room_revenue_eur", "is_canceled", "p_cancel"]
@@ -38,6 +38,6 @@ def prior_rate_scores(fct: DataFrame, key: str = "market_segment", prior_weight:
 
 def scored_bookings(fct: DataFrame, valid_start: str, test_start: str) -> DataFrame:
     """Valid and test rows with their score, in the scored-table layout."""
-    scored = prior_rate_scores(fct).filter(F.col("arrival_date") >= F.lit(valid_start).cast("date"))
+    scored = arrival_window(prior_rate_scores(fct), start=valid_start)
     return scored.select(*[split_label(valid_start, test_start).alias("split") if c == "split" else F.col(c)
                            for c in SCORED_COLUMNS])

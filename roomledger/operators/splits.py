@@ -8,18 +8,37 @@ from pyspark.sql import functions as F
 SPLITS = ("fit", "valid", "train", "test")
 
 
+def arrival_window(df: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Rows with ``start <= arrival_date < end`` (either bound optional).
+
+    When the table carries ``arrival_month`` (the partition column of the stored facts) the implied
+    month bounds are added too, so the scan reads only the month folders in the window.
+    """
+    d = F.col("arrival_date")
+    has_month = "arrival_month" in df.columns
+    if start is not None:
+        lo = F.lit(start).cast("date")
+        df = df.filter(d >= lo)
+        if has_month:
+            df = df.filter(F.col("arrival_month") >= F.trunc(lo, "month"))
+    if end is not None:
+        hi = F.lit(end).cast("date")
+        df = df.filter(d < hi)
+        if has_month:
+            df = df.filter(F.col("arrival_month") <= F.trunc(hi, "month"))
+    return df
+
+
 def time_split(df: DataFrame, valid_start: str, test_start: str) -> dict[str, DataFrame]:
     """Named, overlapping subsets by arrival date: fit < V <= valid < T, train = fit + valid, test >= T.
 
     Plain filters on one table; when the table is stored by arrival month they prune partitions.
     """
-    d = F.col("arrival_date")
-    v, t = F.lit(valid_start).cast("date"), F.lit(test_start).cast("date")
     return {
-        "fit": df.filter(d < v),
-        "valid": df.filter((d >= v) & (d < t)),
-        "train": df.filter(d < t),
-        "test": df.filter(d >= t),
+        "fit": arrival_window(df, end=valid_start),
+        "valid": arrival_window(df, valid_start, test_start),
+        "train": arrival_window(df, end=test_start),
+        "test": arrival_window(df, start=test_start),
     }
 
 
