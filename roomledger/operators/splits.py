@@ -61,15 +61,21 @@ def split_sizes(df: DataFrame, valid_start: str, test_start: str) -> DataFrame:
     )
 
 
-# Multiplier and modulus of the deterministic row hash (a Lehmer generator); a fixed rule, so the
-# hold-out is the same in every engine and on every re-run.
-HASH_MULTIPLIER = 48271
-HASH_MODULUS = 2147483647
+# Deterministic row hash for the shuffled split: the top two bits of a 32-bit multiplicative hash
+# (Knuth's constant) of the key's low 31 bits. Integer arithmetic that cannot overflow BIGINT, spreads
+# consecutive ids evenly, and gives the same hold-out in every engine and on every re-run.
+HASH_MULTIPLIER = 2654435761
+HASH_KEY_MOD = 2 ** 31
+HASH_WORD = 2 ** 32
+
+
+def row_hash32(key: str = "booking_id"):
+    return F.pmod(F.pmod(F.col(key), F.lit(HASH_KEY_MOD)) * F.lit(HASH_MULTIPLIER), F.lit(HASH_WORD))
 
 
 def shuffled_holdout(key: str = "booking_id", buckets: int = 4):
-    """True for the 1-in-``buckets`` hold-out of a shuffled split, from a hash of the key."""
-    return F.pmod(F.col(key) * HASH_MULTIPLIER, F.lit(HASH_MODULUS)) % buckets == 0
+    """True for the 1-in-``buckets`` hold-out of a shuffled split (highest hash range)."""
+    return row_hash32(key) >= F.lit(HASH_WORD - HASH_WORD // buckets)
 
 
 def twin_leak_count(df: DataFrame, twin_key: list[str], holdout) -> DataFrame:

@@ -328,7 +328,8 @@ def q_forecast_error(spark, sf_dir):
 
 
 _TWIN_FCT = [c for c in TWIN_KEY if c != "reservation_status_date"]
-_HOLD = f"((booking_id * {splits.HASH_MULTIPLIER}) % {splits.HASH_MODULUS}) % 4 = 0"
+_HOLD = (f"((booking_id % {splits.HASH_KEY_MOD}) * {splits.HASH_MULTIPLIER}) % {splits.HASH_WORD} "
+         f">= {splits.HASH_WORD - splits.HASH_WORD // 4}")
 
 
 @register("twin_leak_count", FCT + f", h AS (SELECT *, {_HOLD} AS hold FROM fct) "
