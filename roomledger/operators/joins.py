@@ -12,6 +12,14 @@ from roomledger.session import checkpoint_root
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``small`` checkpointed to the shared folder (computed once, lineage cut, survives executor loss),
+    marked for broadcast only when its measured row count is within ``max_rows``."""
+    checkpoint_root(small.sparkSession)
+    small = small.checkpoint(eager=True)
+    return F.broadcast(small) if small.count() <= max_rows else small
+
+
 def lookup_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "left",
                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Join ``big`` to an aggregate-derived ``small`` table, broadcasting it only when it is measured small.
@@ -20,8 +28,4 @@ def lookup_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "lef
     its lineage so it is computed once), then counted; the count decides between a broadcast hash join
     and a shuffle join.
     """
-    checkpoint_root(small.sparkSession)
-    small = small.checkpoint(eager=True)
-    if small.count() <= max_rows:
-        small = F.broadcast(small)
-    return big.join(small, on, how)
+    return big.join(checked_broadcast(small, max_rows), on, how)

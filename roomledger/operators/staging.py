@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from roomledger.functions import as_int, parse_month_name_date
 from roomledger.operators.rowid import with_row_id
