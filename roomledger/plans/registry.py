@@ -700,3 +700,19 @@ def q_model_metrics_long(spark, sf_dir):
     """The metrics document of a scored run as (section, metric, value) rows."""
     from roomledger.plans.model_run import metrics_document
     return metrics_document(facts(spark, sf_dir), scored(spark, sf_dir), VALID_START, TEST_START)
+
+
+@register("gbt_scored_bookings")
+def q_gbt_scored_bookings(spark, sf_dir):
+    """Valid + test bookings scored by the monthly retrained boosted trees (input of the backtest)."""
+    from roomledger.plans.model_run import gbt_scored_table
+    key = ("scored", spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITS:
+        _FITS[key] = gbt_scored_table(facts(spark, sf_dir), VALID_START, TEST_START)
+    return _FITS[key]
+
+
+@register("gbt_policy_curve")
+def q_gbt_policy_curve(spark, sf_dir):
+    """The decision-rule curve on the test period with the boosted-tree scores."""
+    return policy.threshold_curve(policy.eligible(_split(q_gbt_scored_bookings(spark, sf_dir), "test")))

@@ -103,3 +103,9 @@ def records_json(df: DataFrame, digits: int = 4) -> DataFrame:
     """Each record as one JSON object (``to_json(struct(*))``)."""
     rec = records(df, digits)
     return rec.select(F.to_json(F.struct(*rec.columns)).alias("record"))
+
+
+def read_table(spark: SparkSession, path: str, order_by: list[str] | None = None) -> DataFrame:
+    """Parquet table scan (A04); ordered only when a caller asks for it (``orderBy`` is a global sort)."""
+    df = spark.read.parquet(path)
+    return df.orderBy(*order_by) if order_by else df

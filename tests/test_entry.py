@@ -4,6 +4,7 @@ reads file bytes."""
 import __spark_entry__ as entry
 
 ROWS_ONLY = {"gbt_rounds", "gbt_walk_forward", "gbt_scores", "feature_importance", "ablation_scores",
+             "gbt_scored_bookings", "gbt_policy_curve",
              "random_split_scores", "source_fingerprint"}
 
 
@@ -17,3 +18,17 @@ def test_oracle_coverage():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
     assert set(q) - set(o) == ROWS_ONLY
+
+
+def test_dashboard_sections_are_ordered(spark):
+    from roomledger.operators import quality
+    from roomledger.plans.dashboard import dashboard_sections
+    from roomledger.plans.warehouse import materialized
+    from roomledger.sources.fixtures import FIRST_ARRIVAL, LAST_ARRIVAL
+
+    wh = materialized(spark, "/root/testdata/sf0.001")
+    res = quality.rule_results(quality.warehouse_rules(wh, FIRST_ARRIVAL, LAST_ARRIVAL))
+    secs = dashboard_sections(wh, res, 6)
+    monthly = [(r.hotel, r.arrival_month) for r in secs["monthly"].collect()]
+    assert monthly == sorted(monthly)
+    assert secs["tests"].first().tests == 28
