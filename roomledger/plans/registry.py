@@ -270,8 +270,20 @@ from roomledger.sources.fixtures import TEST_START, VALID_START  # noqa: E402
 SCORED = osql.warehouse(upto="fct", extra=(osql.scored_cte(VALID_START, TEST_START),))
 
 
+_SCORED: dict = {}
+
+
 def scored(spark, sf_dir):
-    return scoring.scored_bookings(facts(spark, sf_dir), VALID_START, TEST_START)
+    """The scored table of the session: written once (partitioned by split, A05) and read back (A06), as
+    the scoring run hands it to the backtest."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SCORED:
+        from roomledger.session import scratch_path
+        path = scratch_path(spark, "scored-bookings")
+        table = scoring.scored_bookings(facts(spark, sf_dir), VALID_START, TEST_START)
+        table.write.mode("overwrite").partitionBy("split").parquet(path)
+        _SCORED[key] = spark.read.schema(table.schema).parquet(path).select(*table.columns)
+    return _SCORED[key]
 
 
 def _split(df, name):

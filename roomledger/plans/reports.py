@@ -22,10 +22,22 @@ def _one(df: DataFrame) -> DataFrame:
 def policy_report(valid: DataFrame, test: DataFrame, walkaway: float = policy.BASE_WALKAWAY,
                   resale: float = policy.BASE_RESALE) -> DataFrame:
     """Eligible population, chosen threshold, base / blanket / per-hotel outcomes, sensitivity grid and the
-    threshold curve; ``valid`` and ``test`` are eligible rows. Every list holds at most 101 entries."""
-    curve = policy.threshold_curve(test, walkaway, resale)
-    chosen = policy.best_threshold(policy.threshold_curve(valid, walkaway, resale)).select("threshold").scalar()
-    per_hotel = policy.threshold_curve(test, walkaway, resale, keys=["hotel"]).filter(F.col("threshold") == chosen)
+    threshold curve; ``valid`` and ``test`` are eligible rows.
+
+    The rows of each period are read once: their bucket sums (per hotel, at most 102 rows per hotel)
+    are checkpointed to the shared folder, and every curve, the chosen threshold and the 12-case grid
+    are derived from those small tables. Every list in the document holds at most 101 entries.
+    """
+    from roomledger.session import checkpoint_root
+
+    checkpoint_root(test.sparkSession)
+    vb = policy.bucket_sums(valid, ["hotel"]).checkpoint(eager=True)
+    tb = policy.bucket_sums(test, ["hotel"]).checkpoint(eager=True)
+    curve = policy.curve_from_buckets(tb).select(*policy.outcomes(walkaway, resale))
+    valid_curve = policy.curve_from_buckets(vb).select(*policy.outcomes(walkaway, resale))
+    chosen = policy.best_threshold(valid_curve).select("threshold").scalar()
+    per_hotel = (policy.curve_from_buckets(tb, ["hotel"]).select("hotel", *policy.outcomes(walkaway, resale))
+                 .filter(F.col("threshold") == chosen))
     return policy.population(test).select(
         F.struct(F.lit(walkaway).alias("walkaway"), F.lit(resale).alias("resale")).alias("assumptions_base"),
         "eligible_bookings", "eligible_cancellations", "eligible_cancelled_revenue_eur",
@@ -33,6 +45,6 @@ def policy_report(valid: DataFrame, test: DataFrame, walkaway: float = policy.BA
         _one(curve.filter(F.col("threshold") == chosen)).scalar().alias("base_case"),
         _one(curve.filter(F.col("threshold") == 0)).scalar().alias("blanket_deposit_base_case"),
         _rows(per_hotel, "hotel").scalar().alias("per_hotel_base_case"),
-        _rows(policy.sensitivity(valid, test), "walkaway").scalar().alias("sensitivity"),
+        _rows(policy.sensitivity_from_buckets(vb, tb), "walkaway").scalar().alias("sensitivity"),
         _rows(curve, "threshold").scalar().alias("threshold_curve_base_case"),
     )
