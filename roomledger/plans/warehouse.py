@@ -54,17 +54,16 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None
     checkpoint dir) and return DataFrames that read the written tables.
 
     ``fct_bookings`` is stored by ``arrival_month`` so the time filters of scoring prune partitions.
-    Before that write the rows are range-partitioned on (arrival_month, booking_id): every task then
-    writes one or two month folders, and a month far larger than the others is still cut into many
-    tasks by the booking id, instead of one task per month.
+    The write is preceded by a ``rebalance`` on the month: each task writes into one month folder, and
+    AQE splits a month far larger than the advisory partition size into several tasks (and merges
+    small ones), so file sizes follow the data rather than a fixed partition count.
     """
     root = root or scratch_path(spark, "warehouse")
     stg = stage_bookings(raw, adr_ceiling=adr_ceiling)
     stg.write.mode("overwrite").parquet(f"{root}/stg_bookings")
     stg = spark.read.schema(stg.schema).parquet(f"{root}/stg_bookings")
     fct = fct_bookings(stg)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (fct.repartitionByRange(parts, "arrival_month", "booking_id")
+    (fct.hint("rebalance", "arrival_month")
      .write.mode("overwrite").partitionBy("arrival_month").parquet(f"{root}/fct_bookings"))
     fct = spark.read.schema(fct.schema).parquet(f"{root}/fct_bookings").select(*fct.columns)
     nights = room_nights(fct)
