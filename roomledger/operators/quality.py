@@ -219,3 +219,44 @@ def run_summary(results: DataFrame, models: int) -> DataFrame:
 def run_warnings(results: DataFrame) -> DataFrame:
     """The warnings list of the summary: test name and failure count."""
     return results.filter(F.col("status") == "warn").select("test", "failures")
+
+
+# ---- run log (the runner's JSON record of a run) and its summary ------------------------------------
+
+WAREHOUSE_MODEL_NAMES = ["stg_bookings", "fct_bookings", "fct_room_nights", "mart_daily_occupancy",
+                         "mart_monthly_kpis", "mart_cancellation_drivers"]
+
+
+def run_log(results: DataFrame, project: str = "warehouse", models: list[str] | None = None) -> DataFrame:
+    """One-row run-log document: ``results`` = array of (unique_id, status, failures) for every test
+    (``test.<project>.<name>``) and every built model (``model.<project>.<name>``, status ``success``).
+    The array holds one entry per rule and model of the run (a few dozen)."""
+    models = WAREHOUSE_MODEL_NAMES if models is None else models
+    entry = "struct<unique_id:string,status:string,failures:bigint>"
+    tests = results.select(F.struct(
+        F.concat(F.lit(f"test.{project}."), F.col("test")).alias("unique_id"),
+        F.col("status"), F.col("failures").cast("long").alias("failures")).alias("r"))
+    built = F.array(*[F.struct(F.lit(f"model.{project}.{m}").alias("unique_id"), F.lit("success").alias("status"),
+                               F.lit(None).cast("long").alias("failures")) for m in models]).cast(f"array<{entry}>")
+    return tests.agg(F.concat(F.sort_array(F.collect_list("r")), built).alias("results"))
+
+
+def summary_from_run_log(log: DataFrame) -> DataFrame:
+    """J17 from a run log: tests, passed, warned, failed (fail + error), models."""
+    r = log.select(F.explode("results").alias("r")).select("r.*")
+    is_test = F.col("unique_id").startswith("test.")
+    s = F.col("status")
+    return r.agg(
+        F.count_if(is_test).alias("tests"),
+        F.count_if(is_test & (s == "pass")).alias("passed"),
+        F.count_if(is_test & (s == "warn")).alias("warned"),
+        F.count_if(is_test & s.isin("fail", "error")).alias("failed"),
+        F.count_if(F.col("unique_id").startswith("model.")).alias("models"),
+    )
+
+
+def warnings_from_run_log(log: DataFrame) -> DataFrame:
+    """The warning entries of a run log: test name (third dotted part) and failure count."""
+    r = log.select(F.explode("results").alias("r")).select("r.*")
+    return (r.filter(F.col("unique_id").startswith("test.") & (F.col("status") == "warn"))
+            .select(F.element_at(F.split("unique_id", r"\."), 3).alias("test"), "failures"))

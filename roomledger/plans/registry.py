@@ -728,3 +728,23 @@ def q_gbt_scored_bookings(spark, sf_dir):
 def q_gbt_policy_curve(spark, sf_dir):
     """The decision-rule curve on the test period with the boosted-tree scores."""
     return policy.threshold_curve(policy.eligible(_split(q_gbt_scored_bookings(spark, sf_dir), "test")))
+
+
+@register("dq_run_log_summary", osql.warehouse(upto="all", extra=(osql.rule_results_sql(FIRST_ARRIVAL, LAST_ARRIVAL),))
+          + "SELECT count(*) AS tests, count(*) FILTER (WHERE status = 'pass') AS passed, "
+            "count(*) FILTER (WHERE status = 'warn') AS warned, "
+            f"count(*) FILTER (WHERE status IN ('fail', 'error')) AS failed, CAST({WAREHOUSE_MODELS} AS BIGINT) AS models "
+            "FROM results")
+def q_dq_run_log_summary(spark, sf_dir):
+    """The run written as a JSON run log, read back (multiLine JSON scan) and summarised from the log."""
+    path = scratch_path(spark, "run-log")
+    files.write_report(dq.run_log(_rule_results(spark, sf_dir)), path)
+    return dq.summary_from_run_log(files.read_report(spark, path, multiline=True))
+
+
+@register("dq_run_log_warnings", osql.warehouse(upto="all", extra=(osql.rule_results_sql(FIRST_ARRIVAL, LAST_ARRIVAL),))
+          + "SELECT test, failures FROM results WHERE status = 'warn'")
+def q_dq_run_log_warnings(spark, sf_dir):
+    path = scratch_path(spark, "run-log")
+    files.write_report(dq.run_log(_rule_results(spark, sf_dir)), path)
+    return dq.warnings_from_run_log(files.read_report(spark, path, multiline=True))
