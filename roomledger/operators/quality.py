@@ -260,3 +260,97 @@ def warnings_from_run_log(log: DataFrame) -> DataFrame:
     r = log.select(F.explode("results").alias("r")).select("r.*")
     return (r.filter(F.col("unique_id").startswith("test.") & (F.col("status") == "warn"))
             .select(F.element_at(F.split("unique_id", r"\."), 3).alias("test"), "failures"))
+
+
+# ---- the same 28 tests with fewer passes over the big tables ------------------------------------------
+
+def _unpivot(one_row: DataFrame, names: list[str]) -> DataFrame:
+    """One-row frame of counts -> (test, failures) rows."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("test"), F.col(n).cast("long").alias("failures"))
+                                for n in names]))
+    return one_row.select(pairs.alias("p")).select("p.test", "p.failures")
+
+
+def _offending_values(col: str, values: list) -> Column:
+    c = F.col(col)
+    return F.count_distinct(F.when(c.isNotNull() & ~c.isin(values), c))
+
+
+def fused_rule_results(wh, first_arrival: str, last_arrival: str) -> DataFrame:
+    """``rule_results(warehouse_rules(...))`` computed with one conditional aggregate per large table.
+
+    Staging and facts are each read by one aggregate (counts of offending rows, distinct offending
+    values, and the sums the reconciliations need) plus one group-by for key uniqueness; the nights by
+    the anti join and a count. The marts are small and keep the per-rule form. Same rows as the
+    per-rule run (``tests/test_quality.py``).
+    """
+    stg, fct, nights, raw = wh.stg, wh.fct, wh.nights, wh.raw
+    d = F.col("arrival_date")
+    excluded = F.col("dq_negative_adr") | F.col("dq_adr_outlier") | F.col("dq_zero_guests")
+    s = stg.agg(
+        F.count_if(F.col("booking_id").isNull()).alias("not_null_stg_bookings_booking_id"),
+        _offending_values("hotel", HOTELS).alias("accepted_values_stg_bookings_hotel"),
+        F.count_if(d.isNull()).alias("not_null_stg_bookings_arrival_date"),
+        _offending_values("deposit_type", DEPOSIT_TYPES).alias("accepted_values_stg_bookings_deposit_type"),
+        _offending_values("reservation_status", RESERVATION_STATUSES)
+        .alias("accepted_values_stg_bookings_reservation_status"),
+        _offending_values("meal_plan", MEAL_PLANS).alias("accepted_values_stg_bookings_meal_plan"),
+        F.count_if(~d.between(F.lit(first_arrival).cast("date"), F.lit(last_arrival).cast("date")))
+        .alias("assert_arrivals_inside_published_window"),
+        F.count_if((F.col("reservation_status") == "Canceled") & (F.col("cancellation_date") > d))
+        .alias("assert_cancellations_happen_before_arrival"),
+        F.count_if((F.col("reservation_status") == "Check-Out")
+                   & (F.col("reservation_status_date") != F.date_add(d, F.col("nights"))))
+        .alias("assert_checkout_matches_stay_length"),
+        F.count(F.lit(1)).alias("__staged"), F.count_if(excluded).alias("__excluded"),
+    )
+    f = fct.agg(
+        F.count_if(F.col("booking_id").isNull()).alias("not_null_fct_bookings_booking_id"),
+        F.count_if(d.isNull()).alias("not_null_fct_bookings_arrival_date"),
+        F.count_if(F.col("nights") < 0).alias("non_negative_fct_bookings_nights"),
+        F.count_if(F.col("adr_eur") < 0).alias("non_negative_fct_bookings_adr_eur"),
+        _offending_values("lead_time_band", LEAD_TIME_BAND_LABELS).alias("accepted_values_fct_bookings_lead_time_band"),
+        F.count(F.lit(1)).alias("__kept"), F.sum(bool_to_int("is_canceled")).alias("__cancellations"),
+        F.sum("realized_revenue_eur").alias("__realized"), F.sum("cancelled_revenue_eur").alias("__cancelled"),
+        F.sum("nights").alias("__nights"),
+    )
+    kept = f.select("__kept").scalar()
+    m = wh.monthly.agg(F.sum("bookings").alias("b"), F.sum("cancellations").alias("c"),
+                       F.sum("realized_revenue_eur").alias("r"))
+    o = wh.occupancy.agg(F.sum("realized_revenue_eur").alias("r"), F.sum("cancelled_revenue_eur").alias("c"))
+    recon = f.select(
+        F.when((F.col("__kept") != m.select("b").scalar()) | (F.col("__cancellations") != m.select("c").scalar())
+               | (F.abs(F.col("__realized") - m.select("r").scalar()) > 0.01), 1).otherwise(0)
+        .alias("assert_monthly_kpis_reconcile"),
+        F.when((F.abs(F.col("__realized") - o.select("r").scalar()) > 0.01)
+               | (F.abs(F.col("__cancelled") - o.select("c").scalar()) > 0.01), 1).otherwise(0)
+        .alias("assert_room_night_revenue_reconciles"),
+        F.when(F.col("__nights") != nights.select(F.count(F.lit(1))).scalar(), 1).otherwise(0)
+        .alias("assert_room_nights_match_stay_lengths"),
+    )
+    s_recon = s.select(
+        F.when(F.col("__staged") != kept + F.col("__excluded"), 1).otherwise(0)
+        .alias("assert_exclusions_account_for_every_row"),
+        F.when(F.col("__staged") != raw.select(F.count(F.lit(1))).scalar(), 1).otherwise(0)
+        .alias("assert_staging_keeps_every_source_row"),
+    )
+    per_rule = {r.name: r for r in warehouse_rules(wh, first_arrival, last_arrival)}
+    counted = [
+        _unpivot(s, [c for c in s.columns if not c.startswith("__")]),
+        _unpivot(f, [c for c in f.columns if not c.startswith("__")]),
+        _unpivot(recon, recon.columns),
+        _unpivot(s_recon, s_recon.columns),
+    ]
+    separate = ["unique_stg_bookings_booking_id", "unique_fct_bookings_booking_id",
+                "relationships_fct_room_nights_booking_id", "unique_combination_mart_daily_occupancy",
+                "unique_combination_mart_monthly_kpis", "between_zero_and_one_mart_monthly_kpis_cancellation_rate",
+                "unique_combination_mart_cancellation_drivers",
+                "between_zero_and_one_mart_cancellation_drivers_cancellation_rate",
+                "assert_driver_slices_cover_every_booking"]
+    counted += [per_rule[n].failures.agg(F.count(F.lit(1)).cast("long").alias("failures"))
+                .select(F.lit(n).alias("test"), "failures") for n in separate]
+    severity = F.create_map(*[x for r in per_rule.values() for x in (F.lit(r.name), F.lit(r.severity))])
+    res = reduce(DataFrame.unionByName, counted).select("test", severity[F.col("test")].alias("severity"), "failures")
+    status = (F.when(F.col("failures") == 0, F.lit("pass"))
+              .when(F.col("severity") == "warn", F.lit("warn")).otherwise(F.lit("fail")))
+    return res.withColumn("status", status)

@@ -202,8 +202,9 @@ WAREHOUSE_MODELS = 6  # stg_bookings, fct_bookings, fct_room_nights and the thre
 
 
 def _rule_results(spark, sf_dir, faulty=False):
+    """The 28 tests of a run over the session's stored warehouse, one pass per large table."""
     wh = materialized(spark, sf_dir, faulty=faulty)
-    return dq.rule_results(dq.warehouse_rules(wh, FIRST_ARRIVAL, LAST_ARRIVAL))
+    return dq.fused_rule_results(wh, FIRST_ARRIVAL, LAST_ARRIVAL)
 
 
 @register("dq_rule_results", osql.warehouse(upto="all", extra=(osql.rule_results_sql(FIRST_ARRIVAL, LAST_ARRIVAL),))

@@ -54,3 +54,14 @@ def test_relationships_and_unique_combination(spark):
     df = spark.createDataFrame([("a", None), ("a", None), ("b", 1)], "x string, y int")
     got = dq.unique_combination(df, ["x", "y"]).collect()
     assert len(got) == 1 and got[0].x == "a" and got[0].n == 2
+
+
+def test_fused_run_equals_per_rule_run(spark):
+    from roomledger.plans.warehouse import materialized
+    for faulty in (False, True):
+        wh = materialized(spark, SF_SMALL, faulty=faulty)
+        a = dq.rule_results(dq.warehouse_rules(wh, FIRST_ARRIVAL, LAST_ARRIVAL))
+        b = dq.fused_rule_results(wh, FIRST_ARRIVAL, LAST_ARRIVAL)
+        ra = sorted(tuple(r) for r in a.select("test", "severity", "failures", "status").collect())
+        rb = sorted(tuple(r) for r in b.select("test", "severity", "failures", "status").collect())
+        assert ra == rb and len(ra) == 28
