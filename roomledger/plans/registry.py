@@ -79,7 +79,6 @@ NARROW_WINDOW = ("1996-01-01", "2000-12-31")  # narrower than the fixture's arri
 STG = osql.warehouse(upto="stg")
 STG_FAULTY = osql.warehouse(faulty=True, upto="stg")
 FCT = osql.warehouse(upto="fct")
-ALL = osql.warehouse(upto="all")
 
 
 @register("dq_unique", STG_FAULTY + "SELECT booking_id, count(*) AS n FROM stg WHERE booking_id IS NOT NULL "
@@ -162,7 +161,7 @@ def q_dq_exclusions(spark, sf_dir):
 
 @register("dq_driver_slices", osql.warehouse(upto="drivers")
           + "SELECT d.dimension, d.bookings, f.bookings AS expected, d.bookings = f.bookings AS ok "
-            "FROM (SELECT dimension, sum(bookings) AS bookings FROM drivers GROUP BY 1) d, "
+            "FROM (SELECT dimension, CAST(sum(bookings) AS BIGINT) AS bookings FROM drivers GROUP BY 1) d, "
             "(SELECT count(*) AS bookings FROM fct) f")
 def q_dq_driver_slices(spark, sf_dir):
     fct = facts(spark, sf_dir)
@@ -173,8 +172,8 @@ def q_dq_driver_slices(spark, sf_dir):
           + "SELECT f.b AS fct_bookings, f.c AS fct_cancellations, f.r AS fct_revenue, m.b AS mart_bookings, "
             "m.c AS mart_cancellations, m.r AS mart_revenue, "
             "(f.b = m.b AND f.c = m.c AND abs(f.r - m.r) <= 0.01) AS ok "
-            "FROM (SELECT count(*) AS b, sum(is_canceled::INTEGER) AS c, sum(realized_revenue_eur) AS r FROM fct) f, "
-            "(SELECT sum(bookings) AS b, sum(cancellations) AS c, sum(realized_revenue_eur) AS r FROM monthly) m")
+            "FROM (SELECT count(*) AS b, CAST(sum(is_canceled::INTEGER) AS BIGINT) AS c, sum(realized_revenue_eur) AS r FROM fct) f, "
+            "(SELECT CAST(sum(bookings) AS BIGINT) AS b, CAST(sum(cancellations) AS BIGINT) AS c, sum(realized_revenue_eur) AS r FROM monthly) m")
 def q_dq_monthly_reconcile(spark, sf_dir):
     fct = facts(spark, sf_dir)
     return dq.monthly_reconcile_check(fct, marts.monthly_kpis(fct))
@@ -192,7 +191,7 @@ def q_dq_night_revenue(spark, sf_dir):
 
 @register("dq_night_count", osql.warehouse(upto="nights")
           + "SELECT e.e AS expected, a.a AS actual, e.e = a.a AS ok "
-            "FROM (SELECT sum(nights) AS e FROM fct) e, (SELECT count(*) AS a FROM nights) a")
+            "FROM (SELECT CAST(sum(nights) AS BIGINT) AS e FROM fct) e, (SELECT count(*) AS a FROM nights) a")
 def q_dq_night_count(spark, sf_dir):
     fct = facts(spark, sf_dir)
     return dq.night_count_check(fct, marts.room_nights(fct))
@@ -247,11 +246,11 @@ def q_booking_totals(spark, sf_dir):
     return summaries.booking_totals(facts(spark, sf_dir))
 
 
-@register("quality_counters", STG + "SELECT count(*) AS source_rows, sum(dq_negative_adr::INTEGER) AS negative_adr, "
-                                    "sum(dq_adr_outlier::INTEGER) AS adr_outlier, sum(dq_zero_guests::INTEGER) AS zero_guests, "
-                                    "sum((dq_negative_adr OR dq_adr_outlier OR dq_zero_guests)::INTEGER) AS excluded, "
-                                    "sum(dq_identical_to_another_row::INTEGER) AS identical_rows, "
-                                    "sum((country_code = 'UNK')::INTEGER) AS unknown_country FROM stg")
+@register("quality_counters", STG + "SELECT count(*) AS source_rows, CAST(sum(dq_negative_adr::INTEGER) AS BIGINT) AS negative_adr, "
+                                    "CAST(sum(dq_adr_outlier::INTEGER) AS BIGINT) AS adr_outlier, CAST(sum(dq_zero_guests::INTEGER) AS BIGINT) AS zero_guests, "
+                                    "CAST(sum((dq_negative_adr OR dq_adr_outlier OR dq_zero_guests)::INTEGER) AS BIGINT) AS excluded, "
+                                    "CAST(sum(dq_identical_to_another_row::INTEGER) AS BIGINT) AS identical_rows, "
+                                    "CAST(sum((country_code = 'UNK')::INTEGER) AS BIGINT) AS unknown_country FROM stg")
 def q_quality_counters(spark, sf_dir):
     return summaries.quality_counters(staging(spark, sf_dir))
 
@@ -334,7 +333,7 @@ def q_weekly_forecast(spark, sf_dir):
 
 @register("forecast_error", WEEKLY + "SELECT count(*) AS weeks, "
           "round(sum(abs(predicted - actual)) / sum(actual), 4) AS weighted_abs_error, "
-          "round(sum(predicted), 1) AS total_predicted, sum(actual) AS total_actual, "
+          "round(sum(predicted), 1) AS total_predicted, CAST(sum(actual) AS BIGINT) AS total_actual, "
           "round((sum(predicted) - sum(actual)) / sum(actual), 4) AS total_error FROM weekly")
 def q_forecast_error(spark, sf_dir):
     return metrics.forecast_error(metrics.weekly_forecast(_split(scored(spark, sf_dir), "test")))
