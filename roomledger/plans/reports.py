@@ -25,8 +25,9 @@ def policy_report(valid: DataFrame, test: DataFrame, walkaway: float = policy.BA
     threshold curve; ``valid`` and ``test`` are eligible rows.
 
     The rows of each period are read once: their bucket sums (per hotel, at most 102 rows per hotel)
-    are checkpointed to the shared folder, and every curve, the chosen threshold and the 12-case grid
-    are derived from those small tables. Every list in the document holds at most 101 entries.
+    are checkpointed to the shared folder, and the population, every curve, the chosen threshold and
+    the 12-case grid are derived from those small tables. Every list in the document holds at most 101
+    entries.
     """
     from roomledger.session import checkpoint_root
 
@@ -38,7 +39,7 @@ def policy_report(valid: DataFrame, test: DataFrame, walkaway: float = policy.BA
     chosen = policy.best_threshold(valid_curve).select("threshold").scalar()
     per_hotel = (policy.curve_from_buckets(tb, ["hotel"]).select("hotel", *policy.outcomes(walkaway, resale))
                  .filter(F.col("threshold") == chosen))
-    return policy.population(test).select(
+    return policy.population_from_buckets(tb).select(
         F.struct(F.lit(walkaway).alias("walkaway"), F.lit(resale).alias("resale")).alias("assumptions_base"),
         "eligible_bookings", "eligible_cancellations", "eligible_cancelled_revenue_eur",
         chosen.alias("chosen_threshold"),
