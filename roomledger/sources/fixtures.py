@@ -45,20 +45,24 @@ def raw_bookings(orders: DataFrame, customer: DataFrame, faulty: bool = False) -
     k = F.col("o_orderkey")
     u = F.col("o_custkey")
     copy = F.explode(F.when(k % 100 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    j = j.select("*", copy.alias("copy_no"))
-
+    # Quantities used by several columns are computed once, as named columns, so the final projection
+    # refers to them instead of repeating their expressions.
     lead_time = (k * 37) % 400
     deposit = (F.when(k % 8 == 0, F.lit("Non Refund"))
                .when(k % 50 == 1, F.lit("Refundable"))
                .otherwise(F.lit("No Deposit")))
-    canceled = (F.col("o_orderstatus") == "F") | ((lead_time > 250) & (deposit == "Non Refund"))
-    arrival = F.col("o_orderdate").cast("date")
+    j = j.select("*", copy.alias("copy_no"), lead_time.alias("__lead"), deposit.alias("__deposit"),
+                 F.col("o_orderdate").cast("date").alias("__arrival"))
+    j = j.select("*", ((F.col("o_orderstatus") == "F")
+                       | ((F.col("__lead") > 250) & (F.col("__deposit") == "Non Refund"))).alias("__canceled"))
+    j = j.select("*", F.when(~F.col("__canceled"), F.lit("Check-Out"))
+                 .when(k % 20 == 1, F.lit("No-Show")).otherwise(F.lit("Canceled")).alias("__status"))
+
+    lead_time, deposit, canceled = F.col("__lead"), F.col("__deposit"), F.col("__canceled")
+    arrival, status = F.col("__arrival"), F.col("__status")
     weekend = k % 3
     week = (k * 7) % 5
     nights = weekend + week
-    status = (F.when(~canceled, F.lit("Check-Out"))
-              .when(k % 20 == 1, F.lit("No-Show"))
-              .otherwise(F.lit("Canceled")))
     status_date = (F.when(status == "Check-Out",
                           F.date_add(arrival, (nights + F.when(k % 499 == 0, 1).otherwise(0)).cast("int")))
                    .when(status == "No-Show", arrival)
