@@ -40,3 +40,18 @@ def test_row_ids_on_parquet_follow_the_stored_order(spark):
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey")
     rows = with_row_id(orders, "rid").collect()
     assert all(r.rid == r.o_orderkey + 1 for r in rows)
+
+
+def test_records_format_dates_and_round_doubles(spark):
+    import datetime as dt
+    import json
+    df = spark.createDataFrame([("a", dt.date(2017, 1, 2), 0.123456, 3)], "k string, d date, x double, n int")
+    rec = json.loads(files.records_json(df).first().record)
+    assert rec == {"k": "a", "d": "2017-01-02", "x": 0.1235, "n": 3}
+
+
+def test_read_table_orders_only_when_asked(spark):
+    path = scratch_path(spark, "table")
+    spark.range(0, 50).selectExpr("49 - id AS k").repartition(3).write.parquet(path)
+    assert [r.k for r in files.read_table(spark, path, order_by=["k"]).collect()] == list(range(50))
+    assert files.read_table(spark, path).count() == 50
