@@ -32,3 +32,13 @@ def test_dashboard_sections_are_ordered(spark):
     monthly = [(r.hotel, r.arrival_month) for r in secs["monthly"].collect()]
     assert monthly == sorted(monthly)
     assert secs["tests"].first().tests == 28
+
+
+def test_library_uses_no_python_row_functions():
+    import pathlib
+    import re
+    root = pathlib.Path(__file__).resolve().parents[1] / "roomledger"
+    pattern = re.compile(r"\b(udf|pandas_udf|mapInPandas|applyInPandas|mapPartitions|localCheckpoint)\s*\(")
+    hits = [f"{p.name}:{i}" for p in root.rglob("*.py")
+            for i, line in enumerate(p.read_text().splitlines(), 1) if pattern.search(line)]
+    assert hits == []
