@@ -15,9 +15,10 @@ def test_entry_runs(spark):
 
 
 def test_oracle_coverage():
-    q, o = entry.queries(), entry.oracle_sql()
-    assert set(o) <= set(q)
-    assert set(q) - set(o) == ROWS_ONLY
+    from roomledger.plans import registry
+    assert set(registry.QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(registry.QUERIES) - set(registry.ORACLE) == ROWS_ONLY
 
 
 def test_dashboard_sections_are_ordered(spark):
