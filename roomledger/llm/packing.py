@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import defaultdict
 
 import numpy as np
@@ -29,10 +30,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roomledger.llm.common import BLOCK_BYTES, blocks, documents, resolved, stored
+from roomledger.llm.common import Words, blocks, documents, resolved, stored
 
 CAPACITY, END_ID = 4096, 1
-# Encoded words kept per task.
+# Text bytes tokenised at once; encoded parts of words kept per task.
+TOKEN_BLOCK_BYTES = 6 << 20
 CACHE_WORDS = 400_000
 # The word pattern of the tokenizer file, for texts of the characters in PLAIN alone, where its
 # normalisation is lower-casing; any other text is given to the tokenizer whole.
@@ -43,7 +45,8 @@ NOT_PLAIN = "[^\t\n\r\x20-\x7e¡-¬®-įı-ɏ]|<\\|"
 
 
 class Encoder:
-    """Token ids of texts. Words are encoded once per task and looked up after that."""
+    """Token ids of texts. Each distinct word of a block is looked up once; each distinct part of a word (letters,
+    digit, signs) is encoded once per task."""
 
     def __init__(self, path: str):
         import os
@@ -51,36 +54,46 @@ class Encoder:
         from tokenizers import Tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.split = self.tokenizer.model, self.tokenizer.pre_tokenizer
         self.word, self.other = re.compile(WORD), re.compile(NOT_PLAIN)
-        self.known: dict[str, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.known: dict[str, list[int]] = {}
+
+    def _part(self, part: str) -> list[int]:
+        """Ids of one part (the tokenizer's own split leaves it whole and maps its bytes)."""
+        ids = self.known.get(part)
+        if ids is None:
+            ids = [t.id for t in self.model.tokenize(part if part.isascii() else self.split.pre_tokenize_str(part)[0][0])]
+            if len(self.known) >= CACHE_WORDS:
+                self.known = {}
+            self.known[part] = ids
+        return ids
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of lower-cased words, one after the other, and their bounds."""
+        flat, size = array("I"), np.zeros(len(words) + 1, np.int64)
+        for i, word in enumerate(words):
+            if word.isalpha():
+                flat.extend(self._part(word))
+            else:
+                for part in self.word.findall(word):
+                    flat.extend(self._part(part))
+            size[i + 1] = len(flat)
+        return np.frombuffer(flat, np.uint32) if len(flat) else np.zeros(0, np.uint32), size
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
+    def __call__(self, text: pa.Array) -> list[bytes]:
         """Little-endian 32-bit ids per text."""
-        out: list[bytes | None] = [None] * len(texts)
-        odd = [i for i, t in enumerate(texts) if self.other.search(t)]
+        odd = [i for i, t in enumerate(text.to_pylist()) if self.other.search(t)]
+        plain = np.ones(len(text), bool)
+        plain[odd] = False
+        words = Words(pc.utf8_lower(pc.if_else(pa.array(plain), text, "")))
+        ids, bounds = self._words(words.vocab.to_pylist())
+        sizes = np.diff(bounds)[words.codes]
+        places = np.cumsum(sizes) - sizes
+        flat = ids[np.repeat(bounds[:-1][words.codes] - places, sizes) + np.arange(int(sizes.sum()))].astype("<u4")
+        ends = np.concatenate([[0], np.cumsum(sizes)])[words.starts]
+        out = [flat[x:y].tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)]
         for i in odd:
-            out[i] = self._whole([texts[i]])[0]
-        plain = [i for i in range(len(texts)) if out[i] is None]
-        parts = [texts[i].lower().split() for i in plain]
-        fresh = list(set().union(*parts) - self.known.keys()) if parts else []
-        if len(self.known) + len(fresh) > CACHE_WORDS:
-            self.known = {}
-            fresh = list(set().union(*parts))
-        pieces = [self.word.findall(w) for w in fresh]
-        units = list({u for p in pieces for u in p} - self.known.keys())
-        for k in range(0, len(units), 20_000):
-            some = units[k:k + 20_000]
-            self.known.update(zip(some, self._whole(some), strict=True))
-        get = self.known.__getitem__
-        for w, p in zip(fresh, pieces, strict=True):
-            if len(p) != 1 or p[0] != w:
-                self.known[w] = b"".join(map(get, p))
-        for i, p in zip(plain, parts, strict=True):
-            out[i] = b"".join(map(get, p))
+            out[i] = np.array(self.tokenizer.encode(text[i].as_py(), add_special_tokens=False).ids, "<u4").tobytes()
         return out
 
 
@@ -101,9 +114,9 @@ def piece_table(df: DataFrame, id_col: str, text_col: str, tokenizer_path: str,
         encode = Encoder(tokenizer_path)
         for batch in batches:
             text = pc.fill_null(batch.column(1), "")
-            for lo, hi in blocks(text, BLOCK_BYTES):
+            for lo, hi in blocks(text, TOKEN_BLOCK_BYTES):
                 row, piece, start, length, crc, ids = [], [], [], [], [], []
-                for i, data in enumerate(encode(text.slice(lo, hi - lo).to_pylist())):
+                for i, data in enumerate(encode(text.slice(lo, hi - lo))):
                     data += tail
                     for k in range(0, len(data), full):
                         part = data[k:k + full]
