@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from roomledger.llm.common import documents, resolved, stored
 
 MIN_WORDS = 20
+# The table of deleted line numbers is broadcast to the documents up to this measured size, beyond it joined by a shuffle.
+BROADCAST_BYTES = 32 << 20
 SPACES = "[\\x20\\x09-\\x0D]+"
 
 
@@ -198,6 +200,9 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     flat = flat.withColumn("rk", F.xxhash64(key.cast("string"), text))
     keyed = flat.where(text.isNotNull() & (F.length(text) > 0)).select(key.alias("id"), F.col("rk").alias("r"), text.alias("text"))
     gone = stored(deleted_lines(keyed, min_words), "deleted")
+    rows, numbers = gone.agg(F.count("*"), F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()
+    if 64 * rows + 4 * numbers <= BROADCAST_BYTES:
+        gone = F.broadcast(gone)
     out = flat.join(gone, key.eqNullSafe(F.col("id")) & (F.col("rk") == F.col("r")), "left")
     lines = F.split(text, "\n")
     kept = F.filter(lines, lambda x, i: ~F.array_contains(F.col("gone"), i))
