@@ -14,7 +14,9 @@ pairs of a bucket are formed:
      n' - u'. These bounds drop classes and pairs exactly.
   2. In each bucket every class is compared with two leaders: the one with the lowest share of own shingles
      and the one with the most shared shingles. Links are merged into components.
-  3. Pairs of a bucket that are still in different components and pass the bound are all compared.
+  3. Pairs of a bucket that are still in different components are all compared, unless the first bound or a
+     sharper one rules them out: shared shingles are counted in CELLS hashed cells, and two sets share at most
+     the sum of their smaller counts.
 The components are those of all links. Components come from alternating large-star and small-star steps.
 
 Defined results: null or empty text (or one without words) has the empty set and is linked with nothing; fewer than three
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +38,7 @@ from roomledger.llm.common import Words, documents, map_text, mix64, resolved, s
 SHINGLE, PERCENT = 3, 85
 ROWS, BANDS = 6, 32
 COORDINATES = ROWS * BANDS
+CELLS = 64
 MULTIPLIERS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -167,6 +171,30 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(common * 100 >= union * PERCENT).select("a", "b")
 
 
+def shared_cells(sets: DataFrame) -> DataFrame:
+    """Columns k, n, c (shingles that another candidate class holds too) and cells: these shingles counted in CELLS
+    hashed cells. The sum of two classes' smaller counts bounds what they share."""
+    schema = T.StructType([sets.schema["k"], T.StructField("n", T.LongType()), T.StructField("c", T.LongType()),
+                           T.StructField("cells", T.ArrayType(T.IntegerType()))])
+
+    def counted(column: pa.Array) -> np.ndarray:
+        size = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+        cell = column.flatten().to_numpy(zero_copy_only=False).astype(np.uint64) % np.uint64(CELLS)
+        slot = np.repeat(np.arange(len(size)), size) * CELLS + cell.astype(np.int64)
+        return np.bincount(slot, minlength=len(size) * CELLS).reshape(len(size), CELLS)
+
+    def run(batches):
+        for batch in batches:
+            total = counted(batch.column(1))
+            cells = total - counted(batch.column(2))
+            bounds = pa.array(np.arange(len(cells) + 1) * CELLS, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(total.sum(axis=1)), pa.array(cells.sum(axis=1)),
+                 pa.ListArray.from_arrays(bounds, pa.array(cells.reshape(-1), pa.int32()))], schema.names)
+
+    return sets.mapInArrow(run, schema)
+
+
 def class_links(classes: DataFrame, texts) -> DataFrame:
     """Columns k, root of the classes that are linked to others. ``classes`` (stored): k, rep, n, bands;
     ``texts(ks)``: the sets (k, s) of some classes."""
@@ -175,10 +203,10 @@ def class_links(classes: DataFrame, texts) -> DataFrame:
     members = stored(bands.join(crowded, "bucket"), "buckets")
     sets = stored(texts(members.select("k").distinct()), "sets")
     alone = (sets.select("k", F.explode("s").alias("s")).groupBy("s").agg(F.count("*").alias("df"), F.first("k").alias("k"))
-             .where("df = 1").groupBy("k").agg(F.count("*").alias("u")))
-    alive = sets.select("k", F.size("s").alias("n")).join(alone, "k", "left").select(
-        "k", (F.col("n") - F.coalesce("u", F.lit(0))).alias("c"), "n").where(F.col("c") * 100 >= F.col("n") * PERCENT).drop("n")
-    members = stored(members.join(alive, "k"), "buckets")
+             .where("df = 1").groupBy("k").agg(F.collect_list("s").alias("own")))
+    alive = stored(shared_cells(sets.join(alone, "k", "left").select("k", "s", "own")).where(
+        F.col("c") * 100 >= F.col("n") * PERCENT).drop("n"), "alive")
+    members = stored(members.join(alive.select("k", "c"), "k"), "buckets")
 
     who = F.struct("k", "n", "c")
     leaders = members.groupBy("bucket").agg(
@@ -195,9 +223,12 @@ def class_links(classes: DataFrame, texts) -> DataFrame:
     labelled = stored(members.join(roots, "k", "left").select(
         "bucket", "k", "n", "c", F.coalesce("root", "k").alias("root")), "buckets")
     mixed = labelled.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
-    open_ = labelled.join(mixed, "bucket")
-    other = open_.select("bucket", *[F.col(x).alias(x + "2") for x in ("k", "n", "c", "root")])
-    rest = open_.join(other, "bucket").where((F.col("root") < F.col("root2")) & possible("n", "c", "n2", "c2"))
+    open_ = labelled.join(mixed, "bucket").join(alive.select("k", "cells"), "k")
+    other = open_.select("bucket", *[F.col(x).alias(x + "2") for x in ("k", "n", "c", "root", "cells")])
+    at_most = F.aggregate(F.zip_with("cells", "cells2", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
+    rest = open_.join(other, "bucket").where(
+        (F.col("root") < F.col("root2")) & possible("n", "c", "n2", "c2")
+        & (at_most * (100 + PERCENT) >= (F.col("n") + F.col("n2")) * PERCENT))
     more = stored(confirmed(rest.select(F.least("k", "k2").alias("a"), F.greatest("k", "k2").alias("b")).distinct(), sets), "links")
     if more.isEmpty():
         return roots
