@@ -112,42 +112,46 @@ class Lattice:
             self.edge_at.append(len(self.cum))
         self.arrays = None
 
-    def sample(self, units: list[str], key: np.ndarray, serial: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Backward sampling of all occurrences. ``key``/``serial``: row key and number of the unit in its row.
-        Returns (occurrence, piece code, log probability) in text order."""
-        for u in dict.fromkeys(units):
+    def numbers(self, units: list[str]) -> np.ndarray:
+        """Number of each unit; new ones are filtered forward."""
+        for u in units:
             if u not in self.unit:
                 self.add(u)
+        return np.fromiter(map(self.unit.__getitem__, units), np.int64, len(units))
+
+    def sample(self, n: np.ndarray, key: np.ndarray, serial: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Backward sampling of all occurrences. ``n``: unit numbers; ``key``/``serial``: row key and number of the
+        unit in its row. Returns (occurrence, piece code, log probability) in text order."""
         if self.arrays is None:
             # an edge's position plus its cumulative probability is one increasing key over all edges
             bounds = np.array(self.edge_at, np.int64)
             where = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
             self.arrays = (np.array(self.at), np.array(self.size, np.int64), bounds,
                            where + np.minimum(np.array(self.cum), 1.0), np.array(self.back),
-                           np.array(self.piece, np.int64), np.log(np.maximum(np.array(self.prob), 1e-300)))
+                           np.array(self.piece, np.int32), np.log(np.maximum(np.array(self.prob), 1e-300)))
         at, size, bounds, cum, back, piece, logp = self.arrays
-        n = np.fromiter((self.unit[u] for u in units), np.int64, len(units))
-        pos, first = size[n].copy(), at[n]
+        pos, first = size[n], at[n]
         live = np.flatnonzero(pos > 0)
         state = mix64(key + (serial.astype(np.uint64) + np.uint64(1)) * GOLDEN)
-        who, ends, codes, logs = [], [], [], []
+        times = np.zeros(len(n), np.int64)
+        steps = []
         while len(live):
-            p = first[live] + pos[live]
-            draw = mix64(state[live] + pos[live].astype(np.uint64) * GOLDEN)
+            here = pos[live]
+            p = first[live] + here
+            draw = mix64(state[live] + here.astype(np.uint64) * GOLDEN)
             uniform = (draw >> np.uint64(11)).astype(np.float64) * 2.0 ** -53
             edge = np.searchsorted(cum, p + uniform, "right")
             edge = np.clip(edge, bounds[p], bounds[p + 1] - 1)  # rounding of the sum must not leave the position
-            who.append(live)
-            ends.append(pos[live])
-            codes.append(piece[edge])
-            logs.append(logp[edge])
-            pos[live] -= back[edge]
-            live = live[pos[live] > 0]
-        if not who:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        who, ends = np.concatenate(who), np.concatenate(ends)
-        order = np.lexsort((ends, who))
-        return who[order], np.concatenate(codes)[order], np.concatenate(logs)[order]
+            steps.append((live, edge))
+            times[live] += 1
+            here = here - back[edge]
+            pos[live] = here
+            live = live[here > 0]
+        ends = np.cumsum(times)
+        edges = np.zeros(int(ends[-1]) if len(ends) else 0, np.int64)
+        for k, (live, edge) in enumerate(steps):  # drawn from the end: step k is the k-th last piece
+            edges[ends[live] - 1 - k] = edge
+        return np.repeat(np.arange(len(n)), times), piece[edges].astype(np.int64), logp[edges]
 
 
 UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -158,6 +162,25 @@ def split_units(text: str) -> list[str]:
     return UNIT.findall(MARK + text.replace(" ", MARK)) if text else []
 
 
+def unit_table(text: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct units of texts, the unit of each occurrence, and the number of occurrences per text."""
+    single = pc.invert(pc.or_(pc.match_substring(text, "  "), pc.or_(pc.starts_with(text, " "), pc.ends_with(text, " "))))
+    if pc.all(single).as_py() is not False and not pc.any(pc.match_substring(text, MARK)).as_py():
+        parts = pc.split_pattern(text, " ")  # one unit per word
+        counts = parts.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = pc.dictionary_encode(parts.flatten())
+        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        empty = pc.equal(text, "").to_numpy(zero_copy_only=False)
+        if empty.any():
+            codes = codes[~np.repeat(empty, counts)]
+            counts = np.where(empty, 0, counts)
+        return [MARK + w for w in coded.dictionary.to_pylist()], codes, counts
+    rows = [split_units(t) for t in text.to_pylist()]
+    number: dict[str, int] = {}
+    codes = np.array([number.setdefault(u, len(number)) for r in rows for u in r], np.int64)
+    return list(number), codes, np.array([len(r) for r in rows], np.int64)
+
+
 def spread_bytes(who: np.ndarray, codes: np.ndarray, first_byte: int) -> tuple[np.ndarray, np.ndarray]:
     """Codes of characters without a piece (negative) replaced by the ids of their UTF-8 bytes."""
     odd = np.flatnonzero(codes < 0)
@@ -175,12 +198,18 @@ class Decoder:
     def __init__(self, path: str):
         import sentencepiece
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.table = [bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i) else
-                      model.id_to_piece(i).replace(MARK, " ").encode() for i in range(model.get_piece_size())]
+        table = [bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i) else
+                 model.id_to_piece(i).replace(MARK, " ").encode() for i in range(model.get_piece_size())]
+        self.bounds = np.concatenate([[0], np.cumsum([len(t) for t in table])])
+        self.data = np.frombuffer(b"".join(table), np.uint8)
 
-    def __call__(self, ids) -> str:
-        data = b"".join(map(self.table.__getitem__, ids))
-        return data[1:].decode() if data else ""
+    def __call__(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+        """UTF-8 texts of rows ids[bounds[i]:bounds[i + 1]], without the mark that opens each."""
+        size = np.diff(self.bounds)[ids]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        flat = self.data[np.repeat(self.bounds[:-1][ids] - ends[:-1], size) + np.arange(int(ends[-1]))]
+        at = ends[bounds]
+        return [flat[a + 1:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
 def sample_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str | None = None,
@@ -204,12 +233,11 @@ def sample_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for lo, hi in blocks(text, BLOCK_BYTES):
                 if len(lattice.unit) > CACHE_UNITS:
                     lattice.forget()
-                parts = [split_units(t) for t in text.slice(lo, hi - lo).to_pylist()]
-                counts = np.array([len(p) for p in parts], np.int64)
+                units, which, counts = unit_table(text.slice(lo, hi - lo))
                 doc = np.repeat(np.arange(hi - lo), counts)
                 serial = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
-                units = [u for p in parts for u in p]
-                who, codes, logs = lattice.sample(units, keys[lo:hi][doc], serial)
+                numbers = lattice.numbers(units)[which] if len(which) else which
+                who, codes, logs = lattice.sample(numbers, keys[lo:hi][doc], serial)
                 logprob = np.bincount(doc[who], logs, minlength=hi - lo)
                 who, codes = spread_bytes(who, codes, lattice.first_byte)
                 bounds = np.concatenate([[0], np.cumsum(np.bincount(doc[who], minlength=hi - lo))])
@@ -235,16 +263,12 @@ def decode_pieces(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", m
             bounds = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(batch.column(1)), 0)
                                                     .to_numpy(zero_copy_only=False))])
             flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-            texts = [decode(flat[a:b].tolist()) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            texts = [t.decode() for t in decode(flat, bounds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["id", "text"])
 
     return slim.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
-def crc32_text(text: str) -> int:
-    return zlib.crc32(text.encode())
-
-
 def op2_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sampled segmentation of every document and the CRC-32 of the text decoded from it again."""
     encoded = sample_pieces(documents(spark, sf_dir))
@@ -261,10 +285,10 @@ def op2_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
             n = pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64)
             bounds = np.concatenate([[0], np.cumsum(n)])
             flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-            texts = [decode(flat[a:b].tolist()) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            texts = decode(flat, bounds)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n), batch.column(2), batch.column(1),
-                 pa.array([crc32_text(t) for t in texts], pa.int64()), pa.array([len(t) for t in texts], pa.int64())],
+                 pa.array([zlib.crc32(t) for t in texts], pa.int64()), pc.utf8_length(pa.array(texts, pa.binary()).view(pa.string())).cast(pa.int64())],
                 schema.names)
 
     return encoded.mapInArrow(back, schema)
