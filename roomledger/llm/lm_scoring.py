@@ -34,7 +34,7 @@ from roomledger.llm.common import Words, blocks, bounded_sample, crc_fold, doc_s
 
 STATES, BUCKETS, SEGMENT = 6, 4096, 64
 ROUNDS, INIT_ROUNDS, INIT_DOCS, INIT_CHARS = 2, 15, 500, 20_000
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
 
 
 # ---- the model: start (K), transitions (K, K), emissions (BUCKETS + 1, K) ------------------------------------
@@ -194,8 +194,8 @@ def chunk_table(df: DataFrame, id_col: str, text_col: str, held: Column) -> Data
                 yield pa.RecordBatch.from_arrays(
                     [one(chunk, pa.int64()), pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), batch.column(0).slice(lo, hi - lo)),
                      pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), held),
-                     one(words.counts.astype("<i4").tobytes(), pa.binary()), one(words.codes.astype("<i4").tobytes(), pa.binary()),
-                     one(word_classes(words.vocab).astype("<i4").tobytes(), pa.binary()),
+                     one(words.counts.astype("<i4").tobytes(), pa.binary()), one(zlib.compress(words.codes.astype("<i4").tobytes(), 1), pa.binary()),
+                     one(word_classes(words.vocab).astype("<u2").tobytes(), pa.binary()),
                      pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), words.vocab),
                      pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), pa.array(counts, pa.int32()))], schema.names)
                 chunk += 1
@@ -203,6 +203,12 @@ def chunk_table(df: DataFrame, id_col: str, text_col: str, held: Column) -> Data
     return stored(slim.mapInArrow(run, schema), "lm-chunks")
 
 
+def unpacked(lens: pa.Scalar, tokens: pa.Scalar, classes: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Arrays of a chunk's packed columns."""
+    return (np.frombuffer(lens.as_buffer(), "<i4"), np.frombuffer(zlib.decompress(tokens.as_buffer()), "<i4"),
+            np.frombuffer(classes.as_buffer(), "<u2").astype(np.int32))
+
+
 def symbols_of(lens: np.ndarray, tokens: np.ndarray, classes: np.ndarray, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Class sequences, each closed by the end class, of the picked documents."""
     doc = np.repeat(np.arange(len(lens)), lens)
@@ -229,7 +235,7 @@ def train(chunks: DataFrame, sample: list[str], seed: int = 11) -> tuple[dict[st
             total = np.zeros(STATES + STATES * STATES + width * STATES + 1)
             for batch in batches:
                 for i in range(batch.num_rows):
-                    lens, tokens, classes = (np.frombuffer(batch.column(j)[i].as_buffer(), "<i4") for j in range(3))
+                    lens, tokens, classes = unpacked(*(batch.column(j)[i] for j in range(3)))
                     pick = ~batch.column(3)[i].values.to_numpy(zero_copy_only=False)
                     total += expected_counts(sent.value, *symbols_of(lens, tokens, classes, pick))
             yield pa.RecordBatch.from_arrays([pa.array([total])], ["v"])
@@ -278,7 +284,7 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         model, class_n, class_v = shared.value
         for batch in batches:
             for i in range(batch.num_rows):
-                lens, tokens, classes = (np.frombuffer(batch.column(j)[i].as_buffer(), "<i4") for j in range(2, 5))
+                lens, tokens, classes = unpacked(*(batch.column(j)[i] for j in range(2, 5)))
                 count = np.zeros(len(classes))
                 if batch.column(5)[i].is_valid:
                     known = batch.column(5)[i].values
