@@ -31,7 +31,7 @@ WINDOW, STRIDE = 32, 16
 WORD_BINS, WORD_DIM, CHAR_BINS, CHAR_DIM, HIDDEN, ATTENTION = 1 << 15, 8, 1 << 15, 6, 12, 8
 BEGINNINGS = (4, 5, 6, 7, 8, 9)  # bytes of a word's beginning, its start mark included
 MIN_DOCS, SHRINK = 4, 8.0
-SAMPLE_DOCS, SAMPLE_CHARS = 1500, 10_000
+SAMPLE_DOCS, SAMPLE_CHARS = 900, 6_000
 ROUNDS, EPOCHS, TOP, BATCH, RATE = 2, 5, 4, 128, 0.01
 THRESHOLD = 0.7
 EDGES = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -144,7 +144,7 @@ def pool(m: dict, size: np.ndarray, states_f: np.ndarray, states_b: np.ndarray)
     return logits, (inside, turn, both, t, weight, pooled)
 
 
-def window_logits(m: dict, inputs: np.ndarray, codes: np.ndarray, first: np.ndarray, size: np.ndarray, most: int = 8192) -> np.ndarray:
+def window_logits(m: dict, inputs: np.ndarray, codes: np.ndarray, first: np.ndarray, size: np.ndarray, most: int = 2048) -> np.ndarray:
     """Logit of each window."""
     gates = {s: inputs @ m["x" + s] + m["o" + s] for s in "fb"}
     out = np.empty(len(first), np.float32)
