@@ -52,18 +52,20 @@ def word_features(vocab: pa.Array) -> np.ndarray:
     raw, bounds = flat_bytes(vocab)
     size = np.diff(bounds)
     n = len(size)
-    if not n:
-        return np.zeros((0, WORD_FEATURES), np.float32)
-    shares = np.add.reduceat(CLASSES[raw], bounds[:-1], axis=0) / size[:, None]
+    if not len(raw):
+        return np.zeros((n, WORD_FEATURES), np.float32)
+    begins = np.minimum(bounds[:-1], len(raw) - 1)  # the vocabulary may list the empty word, which no text uses
+    long = np.maximum(size, 1)[:, None]
+    shares = np.add.reduceat(CLASSES[raw], begins, axis=0) / long
     last = CLASSES[raw[bounds[1:] - 1]]
-    first = raw[bounds[:-1]]
+    first = raw[begins]
     forms = np.stack([np.log1p(size), shares[:, 0] == 1, last[:, 2] + last[:, 3], (size == 1) & (first == ord("|")),
                       CLASSES[first, 0]], axis=1)
     low = raw.astype(np.int64) | 0x20
     word = np.repeat(np.arange(n), size)
     inner = word[:-1] == word[1:]
     pair = ((low[:-1] * 31 + low[1:]) * 40503 >> 7) % PAIR_BINS
-    pairs = np.bincount((word[:-1] * PAIR_BINS + pair)[inner], minlength=n * PAIR_BINS).reshape(n, PAIR_BINS) / size[:, None]
+    pairs = np.bincount((word[:-1] * PAIR_BINS + pair)[inner], minlength=n * PAIR_BINS).reshape(n, PAIR_BINS) / long
     return np.concatenate([shares, forms, pairs], axis=1).astype(np.float32)
 
 
