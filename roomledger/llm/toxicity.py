@@ -32,7 +32,7 @@ WORD_BINS, WORD_DIM, CHAR_BINS, CHAR_DIM, HIDDEN, ATTENTION = 1 << 15, 8, 1 << 1
 BEGINNINGS = (4, 5, 6, 7, 8, 9)  # bytes of a word's beginning, its start mark included
 MIN_DOCS, SHRINK = 4, 8.0
 SAMPLE_DOCS, SAMPLE_CHARS = 900, 6_000
-ROUNDS, EPOCHS, TOP, BATCH, RATE = 2, 5, 4, 128, 0.01
+ROUNDS, EPOCHS, MIN_STEPS, TOP, BATCH, RATE = 2, 5, 80, 4, 128, 0.01
 THRESHOLD = 0.7
 EDGES = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -257,11 +257,13 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 3) -> dict:
         per_doc = [[] for _ in texts]
         for w in top:
             per_doc[home[w]].append(w)
-        for epoch in range(EPOCHS):
-            rate = RATE / (1 + 2 * round_) / (1 + (epoch > EPOCHS // 2))
+        batch = int(np.clip(len(texts) // 20, 8, BATCH))
+        epochs = max(EPOCHS, -(-MIN_STEPS * batch // len(texts)))  # small samples are gone through more often
+        for epoch in range(epochs):
+            rate = RATE / (1 + 2 * round_) / (1 + (epoch > epochs // 2))
             mixed = rng.permutation(len(texts))
-            for k in range(0, len(mixed), BATCH):
-                docs = mixed[k:k + BATCH]
+            for k in range(0, len(mixed), batch):
+                docs = mixed[k:k + batch]
                 some = np.concatenate([per_doc[d] for d in docs]).astype(np.int64)
                 whose = np.repeat(np.arange(len(docs)), [len(per_doc[d]) for d in docs])
                 target = labels[docs]
