@@ -22,10 +22,11 @@ def _c(c: Column | str) -> Column:
 
 
 def as_int(c: Column | str, source_type=None) -> Column:
-    """Cast to INT. Text such as ``'40.0'`` goes through DOUBLE first: a direct ANSI cast would raise."""
+    """Cast to INT. Text such as ``'40.0'`` goes through DOUBLE first: a direct ANSI cast would raise.
+    Fractional text is rounded, halves away from zero."""
     col = _c(c)
     if isinstance(source_type, StringType):
-        return col.cast("double").cast("int")
+        return F.round(col.cast("double")).cast("int")
     return col.cast("int")
 
 

@@ -25,7 +25,7 @@ def arrival_window(df: DataFrame, start: str | None = None, end: str | None = No
         hi = F.lit(end).cast("date")
         df = df.filter(d < hi)
         if has_month:
-            df = df.filter(F.col("arrival_month") <= F.trunc(hi, "month"))
+            df = df.filter(F.col("arrival_month") < hi)  # a month that starts at the bound holds no row
     return df
 
 
@@ -61,16 +61,15 @@ def split_sizes(df: DataFrame, valid_start: str, test_start: str) -> DataFrame:
     )
 
 
-# Deterministic row hash for the shuffled split: the top two bits of a 32-bit multiplicative hash
-# (Knuth's constant) of the key's low 31 bits. Integer arithmetic that cannot overflow BIGINT, spreads
-# consecutive ids evenly, and gives the same hold-out in every engine and on every re-run.
-HASH_MULTIPLIER = 2654435761
-HASH_KEY_MOD = 2 ** 31
+# Row hash of the shuffled split: the first 32 bits of the MD5 of a seed text and the key. Neighbouring keys fall
+# independently, every engine has MD5, and the hold-out is the same on every run.
+SPLIT_SEED = "split-7:"
 HASH_WORD = 2 ** 32
 
 
 def row_hash32(key: str = "booking_id"):
-    return F.pmod(F.pmod(F.col(key), F.lit(HASH_KEY_MOD)) * F.lit(HASH_MULTIPLIER), F.lit(HASH_WORD))
+    digest = F.md5(F.concat(F.lit(SPLIT_SEED), F.col(key).cast("string")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 
 def shuffled_holdout(key: str = "booking_id", buckets: int = 4):

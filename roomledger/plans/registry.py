@@ -340,8 +340,8 @@ def q_forecast_error(spark, sf_dir):
 
 
 _TWIN_FCT = [c for c in TWIN_KEY if c != "reservation_status_date"]
-_HOLD = (f"((booking_id % {splits.HASH_KEY_MOD}) * {splits.HASH_MULTIPLIER}) % {splits.HASH_WORD} "
-         f">= {splits.HASH_WORD - splits.HASH_WORD // 4}")
+# written out here on its own: the highest quarter of the first 32 bits of md5('split-7:<id>')
+_HOLD = "('0x' || substr(md5('split-7:' || CAST(booking_id AS VARCHAR)), 1, 8))::BIGINT >= 3221225472"
 
 
 @register("twin_leak_count", FCT + f", h AS (SELECT *, {_HOLD} AS hold FROM fct) "

@@ -41,11 +41,13 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and scratch tables.
 
-    Uses ``spark.checkpoint.dir`` from the session. Only when it is unset (tests, local runs) a fresh
-    folder under the system temp dir is created and recorded in the session.
+    Uses ``spark.checkpoint.dir`` from the session. When it is unset, a local master gets a fresh folder under
+    the system temp dir, recorded in the session; any other master raises, since executors could not read it.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="roomledger-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
