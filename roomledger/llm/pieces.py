@@ -4,8 +4,8 @@ The text's segmentations into vocabulary pieces form a lattice; a segmentation h
 pieces' weights as probability. Forward filtering sums the weights of all ways to reach each position;
 backward sampling then draws the last piece in proportion, moves to its start, and so on, which draws whole
 segmentations exactly by their probability. No piece holds a space mark after another character, so the
-lattice splits exactly in front of each run of marks: units are filtered once per task and sampled for all
-their occurrences together. The random numbers are a hash of (seed, row key, position), so a row's sample
+lattice splits exactly in front of each run of marks: a block's distinct units are filtered once, side by side, and sampled
+for all their occurrences together. The random numbers are a hash of (seed, row key, position), so a row's sample
 does not depend on partitions, order or retries.
 
 Weights: the vocabulary holds no probabilities, only merge ranks; a piece of rank r weighs
@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,8 @@ from roomledger.llm.common import BLOCK_BYTES, blocks, documents, mix64, resolve
 
 MARK = "▁"  # written for a space
 ZIPF, RANK_SHIFT, BYTE_WEIGHT = 1.0, 10.0, 1e-6
-CACHE_UNITS = 100_000
+# Longer units are filtered one by one, shorter ones side by side.
+LONG_UNIT = 64
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -51,7 +51,7 @@ def load_pieces(path: str) -> tuple[dict[str, int], np.ndarray, int]:
 
 
 class Lattice:
-    """Lattices of units, filtered forward and kept as flat edge lists for backward sampling.
+    """Lattices of a block's units, filtered forward and kept as flat edge lists for backward sampling.
 
     Positions of a unit are 0..n; position p > 0 has edges (start, piece) with cumulative probabilities. All
     units' positions are numbered together: ``at[u] + p``.
@@ -60,31 +60,85 @@ class Lattice:
     def __init__(self, path: str, temperature: float = 1.0):
         self.path, self.temperature = path, temperature
         ids, logs, self.first_byte = load_pieces(path)
-        scaled = np.exp(logs / temperature).tolist()
-        self.weight = {piece: (i, scaled[i]) for piece, i in ids.items()}
+        scaled = np.exp(logs / temperature)
+        self.weight = {piece: (i, float(scaled[i])) for piece, i in ids.items()}
         self.byte_weight = BYTE_WEIGHT ** (1 / temperature)
         self.longest = max(map(len, ids))
-        self.forget()
-
-    def forget(self) -> None:
-        self.unit: dict[str, int] = {}
-        self.size = array("i")  # characters
-        self.at = array("q")  # first position of the unit
-        self.edge_at = array("q", [0])  # bounds of the edges of each position
-        self.cum = array("d")
-        self.prob = array("d")
-        self.back = array("i")  # characters the edge spans
-        self.piece = array("i")  # piece id, or -1 - code point for a character written in bytes
-        self.arrays = None
-
-    def add(self, unit: str) -> None:
-        """Forward filtering. alpha[p]: summed weight of all segmentations of the first p characters, scaled."""
+        self.power = np.cumprod(np.full(self.longest, GOLDEN)) * GOLDEN
+        self.tables = {}  # by length: which hash prefixes occur, sorted hashes, ids, weights, characters
+        for n in sorted({len(piece) for piece in ids}):
+            same = [piece for piece in ids if len(piece) == n]
+            chars = np.frombuffer("".join(same).encode("utf-32-le"), np.uint32).reshape(-1, n)
+            hashes = (chars.astype(np.uint64) * self.power[n - 1::-1][:n]).sum(axis=1, dtype=np.uint64)
+            order = np.argsort(hashes)
+            found = np.array([ids[piece] for piece in same])[order]
+            there = np.zeros(1 << 16, bool)
+            there[hashes >> np.uint64(48)] = True
+            self.tables[n] = (there, hashes[order], found, scaled[found], chars[order])
+
+    def found(self, chars: list[np.ndarray], p: int) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Pieces that end at position ``p`` of the units that reach it: (length, unit, id, weight), long ones first."""
+        m = len(chars[p - 1])
+        h, out = np.zeros(m, np.uint64), []
+        for n in range(1, min(p, self.longest) + 1):
+            h = h + chars[p - n][:m] * self.power[n - 1]
+            if n not in self.tables:
+                continue
+            there, hashes, ids, weights, letters = self.tables[n]
+            unit = np.flatnonzero(there[h >> np.uint64(48)])
+            at = np.minimum(np.searchsorted(hashes, h[unit]), len(hashes) - 1)
+            same = hashes[at] == h[unit]
+            unit, at = unit[same], at[same]
+            same = np.ones(len(unit), bool)
+            for j in range(n):
+                same &= chars[p - n + j][unit] == letters[at, j]
+            out.append((n, unit[same], ids[at[same]], weights[at[same]]))
+        return out[::-1]
+
+    def filter_short(self, size: np.ndarray, text: np.ndarray, first: np.ndarray) -> list[tuple]:
+        """Forward filtering of units side by side, position by position. ``size``: characters, falling; ``text``:
+        all characters; ``first``: number of each unit's position 0. alpha is kept as mantissa and exponent."""
+        starts = np.cumsum(size) - size
+        live = [int(np.searchsorted(-size, -p, "left")) for p in range(int(size[0]) if len(size) else 0)]
+        chars = [text[starts[:m] + p] for p, m in enumerate(live)]
+        alpha, power = [np.ones(len(size))], [np.zeros(len(size), np.int32)]
+        out = []
+        for p, m in enumerate(live, 1):
+            edges = self.found(chars, p)
+            single = np.zeros(m, bool)
+            if edges and edges[-1][0] == 1:
+                single[edges[-1][1]] = True
+            odd = np.flatnonzero(~single)
+            if len(odd):
+                c = chars[p - 1][odd].astype(np.int64)
+                width = 1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)
+                edges.append((1, odd, -1 - c, self.byte_weight ** width))
+            unit = np.concatenate([e[1] for e in edges])
+            order = np.argsort(unit, kind="stable")
+            unit = unit[order]
+            back = np.repeat([e[0] for e in edges], [len(e[1]) for e in edges])[order]
+            code = np.concatenate([e[2] for e in edges])[order]
+            share = np.concatenate([alpha[p - e[0]][e[1]] * e[3] for e in edges])[order]
+            high = np.concatenate([power[p - e[0]][e[1]] for e in edges])[order]
+            begin = np.searchsorted(unit, np.arange(m))  # each unit has an edge
+            top = np.maximum.reduceat(high, begin)
+            share = np.ldexp(share, high - top[unit])
+            serial = np.arange(len(unit)) - begin[unit]
+            run = share.copy()
+            for k in range(1, int(serial.max()) + 1):
+                here = np.flatnonzero(serial == k)
+                run[here] += run[here - 1]
+            total = run[np.append(begin[1:], len(unit)) - 1]
+            mantissa, exponent = np.frexp(total)
+            alpha.append(mantissa)
+            power.append(top + exponent)
+            out.append((first[unit] + p, serial, run / total[unit], share / total[unit], back, code))
+        return out
+
+    def filter_long(self, unit: str, first: int) -> list[tuple]:
+        """The same for a single long unit, one position after the other."""
         n, longest, weight = len(unit), self.longest, self.weight
-        alpha = [1.0]
-        self.unit[unit] = len(self.size)
-        self.size.append(n)
-        self.at.append(len(self.edge_at) - 1)
-        self.edge_at.append(len(self.cum))  # position 0 has no edges
+        alpha, rows = [1.0], []
         for p in range(1, n + 1):
             total, edges = 0.0, []
             for s in range(max(0, p - longest), p):
@@ -103,32 +157,40 @@ class Lattice:
                 for s in range(max(0, p - longest), p + 1):
                     alpha[s] *= 1e100
             run = 0.0
-            for share, span, found in edges:
+            for k, (share, span, found) in enumerate(edges):
                 run += share
-                self.cum.append(run / total)
-                self.prob.append(share / total)
-                self.back.append(span)
-                self.piece.append(found)
-            self.edge_at.append(len(self.cum))
-        self.arrays = None
+                rows.append((first + p, k, run / total, share / total, span, found))
+        return [tuple(map(np.array, zip(*rows, strict=True)))]
 
     def numbers(self, units: list[str]) -> np.ndarray:
-        """Number of each unit; new ones are filtered forward."""
-        for u in units:
-            if u not in self.unit:
-                self.add(u)
-        return np.fromiter(map(self.unit.__getitem__, units), np.int64, len(units))
+        """Number of each unit; the distinct ones are filtered forward and replace those of the block before."""
+        distinct = list(dict.fromkeys(units))
+        size = np.fromiter(map(len, distinct), np.int64, len(distinct))
+        order = np.argsort(-size, kind="stable")
+        size = size[order]
+        at = np.cumsum(size + 1) - size - 1
+        long = int(np.searchsorted(-size, -LONG_UNIT, "left"))
+        text = np.frombuffer("".join([distinct[i] for i in order[long:]]).encode("utf-32-le"), np.uint32)
+        rows = [e for j in range(long) for e in self.filter_long(distinct[order[j]], int(at[j]))]
+        rows += self.filter_short(size[long:], text, at[long:])
+        place, serial, cum, prob, back, piece = (np.concatenate([r[i] for r in rows]) if rows else np.zeros(0, np.int64) for i in range(6))
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(place, minlength=int((size + 1).sum())))])
+        to = bounds[place] + serial
+        flat = [np.empty_like(x) for x in (cum, back, piece, prob)]
+        # an edge's position plus its cumulative probability is one increasing key over all edges
+        for out, x in zip(flat, (place + np.minimum(cum, 1.0), back, piece, np.log(np.maximum(prob, 1e-300))), strict=True):
+            out[to] = x
+        self.arrays = (at, size, bounds, *flat)
+        number = np.empty(len(order), np.int64)
+        number[order] = np.arange(len(order))
+        if len(distinct) == len(units):
+            return number
+        known = dict(zip(distinct, number.tolist(), strict=True))
+        return np.fromiter(map(known.__getitem__, units), np.int64, len(units))
 
     def sample(self, n: np.ndarray, key: np.ndarray, serial: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Backward sampling of all occurrences. ``n``: unit numbers; ``key``/``serial``: row key and number of the
         unit in its row. Returns (occurrence, piece code, log probability) in text order."""
-        if self.arrays is None:
-            # an edge's position plus its cumulative probability is one increasing key over all edges
-            bounds = np.array(self.edge_at, np.int64)
-            where = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-            self.arrays = (np.array(self.at), np.array(self.size, np.int64), bounds,
-                           where + np.minimum(np.array(self.cum), 1.0), np.array(self.back),
-                           np.array(self.piece, np.int32), np.log(np.maximum(np.array(self.prob), 1e-300)))
         at, size, bounds, cum, back, piece, logp = self.arrays
         pos, first = size[n], at[n]
         live = np.flatnonzero(pos > 0)
@@ -231,8 +293,6 @@ def sample_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             text = pc.fill_null(batch.column(1), "")
             keys = batch.column(2).to_numpy(zero_copy_only=False).astype(np.uint64)
             for lo, hi in blocks(text, BLOCK_BYTES):
-                if len(lattice.unit) > CACHE_UNITS:
-                    lattice.forget()
                 units, which, counts = unit_table(text.slice(lo, hi - lo))
                 doc = np.repeat(np.arange(hi - lo), counts)
                 serial = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
