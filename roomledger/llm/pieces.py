@@ -132,7 +132,7 @@ class Lattice:
             mantissa, exponent = np.frexp(total)
             alpha.append(mantissa)
             power.append(top + exponent)
-            out.append((first[unit] + p, serial, run / total[unit], share / total[unit], back, code))
+            out.append((first[unit] + p, serial.astype(np.int16), run / total[unit], share / total[unit], back.astype(np.int16), code.astype(np.int32)))
         return out
 
     def filter_long(self, unit: str, first: int) -> list[tuple]:
@@ -160,7 +160,8 @@ class Lattice:
             for k, (share, span, found) in enumerate(edges):
                 run += share
                 rows.append((first + p, k, run / total, share / total, span, found))
-        return [tuple(map(np.array, zip(*rows, strict=True)))]
+        kinds = (np.int64, np.int16, np.float64, np.float64, np.int16, np.int32)
+        return [tuple(map(np.array, zip(*rows, strict=True), kinds))]
 
     def numbers(self, units: list[str]) -> np.ndarray:
         """Number of each unit; the distinct ones are filtered forward and replace those of the block before."""
@@ -173,13 +174,19 @@ class Lattice:
         text = np.frombuffer("".join([distinct[i] for i in order[long:]]).encode("utf-32-le"), np.uint32)
         rows = [e for j in range(long) for e in self.filter_long(distinct[order[j]], int(at[j]))]
         rows += self.filter_short(size[long:], text, at[long:])
-        place, serial, cum, prob, back, piece = (np.concatenate([r[i] for r in rows]) if rows else np.zeros(0, np.int64) for i in range(6))
+        rows = list(zip(*rows, strict=True)) if rows else [[np.zeros(0, np.int64)]] * 6
+        place = np.concatenate(rows[0])
         bounds = np.concatenate([[0], np.cumsum(np.bincount(place, minlength=int((size + 1).sum())))])
-        to = bounds[place] + serial
-        flat = [np.empty_like(x) for x in (cum, back, piece, prob)]
+        to = bounds[place] + np.concatenate(rows[1])
+
+        def laid_out(parts: list[np.ndarray]) -> np.ndarray:
+            out = np.empty(len(to), parts[0].dtype)
+            out[to] = np.concatenate(parts)
+            return out
+
         # an edge's position plus its cumulative probability is one increasing key over all edges
-        for out, x in zip(flat, (place + np.minimum(cum, 1.0), back, piece, np.log(np.maximum(prob, 1e-300))), strict=True):
-            out[to] = x
+        key = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds)) + np.minimum(laid_out(rows[2]), 1.0)
+        flat = (key, laid_out(rows[4]), laid_out(rows[5]), np.log(np.maximum(laid_out(rows[3]), 1e-300)))
         self.arrays = (at, size, bounds, *flat)
         number = np.empty(len(order), np.int64)
         number[order] = np.arange(len(order))
