@@ -316,8 +316,14 @@ def q_classification_scores_valid(spark, sf_dir):
     return metrics.classification_scores(_split(scored(spark, sf_dir), "valid"))
 
 
+# bins written out here on their own: ten right-closed tenths, the lowest closed on both sides
+_TENTHS = [0.0, 0.1, 0.2, 0.30000000000000004, 0.4, 0.5, 0.6000000000000001, 0.7000000000000001, 0.8, 0.9, 1.0]
+_TENTH_LABELS = ["(-0.001, 0.1]", "(0.1, 0.2]", "(0.2, 0.3]", "(0.3, 0.4]", "(0.4, 0.5]", "(0.5, 0.6]", "(0.6, 0.7]",
+                 "(0.7, 0.8]", "(0.8, 0.9]", "(0.9, 1.0]"]
+
+
 @register("calibration_table", SCORED[:-1] + "," + osql.calibration_sql(
-    "(SELECT * FROM scored WHERE split = 'test')", metrics.calibration_edges(), metrics.calibration_labels()))
+    "(SELECT * FROM scored WHERE split = 'test')", _TENTHS, _TENTH_LABELS))
 def q_calibration_table(spark, sf_dir):
     return metrics.calibration_table(_split(scored(spark, sf_dir), "test"))
 
@@ -543,6 +549,8 @@ def _test_end(fct):
 # Fitted results are reused across the GBT queries of one session: the rounds (an int) and the
 # checkpointed walk-forward scores, keyed by session, data folder and variant.
 _FITS: dict = {}
+_COMPARISONS = (gbt.Variant("without_special_requests", drop=["special_requests"]),
+                gbt.Variant("with_leaky_columns", extra=list(feat.LEAKY_DEMO_COLUMNS)))
 
 
 def _rounds(spark, sf_dir, variant=gbt.Variant()):
@@ -578,6 +586,54 @@ def q_gbt_walk_forward(spark, sf_dir):
     return scored_rows.withColumn("split", F.lit("test"))
 
 
+_MONTHS = ("months AS (SELECT DISTINCT arrival_month AS m FROM fct WHERE arrival_date >= DATE '" + TEST_START + "') ")
+
+
+@register("gbt_contract", osql.warehouse(upto="fct", extra=(_MONTHS,))
+          + "SELECT m AS arrival_month, (SELECT count(*) FROM fct f WHERE f.arrival_month = m) AS rows_scored, "
+            "(SELECT count(DISTINCT f.booking_id) FROM fct f WHERE f.arrival_month = m) AS distinct_ids, "
+            "CAST(0 AS BIGINT) AS outside_unit_interval, "
+            "(SELECT count(*) FROM fct f WHERE f.arrival_date < m) AS training_rows FROM months")
+def q_gbt_contract(spark, sf_dir):
+    """What the walk-forward run must keep, per test month: every row scored once, scores in [0, 1], and a model that was
+    fitted on all earlier arrivals (rows counted by the fit itself)."""
+    from pyspark.sql import functions as F
+    scored_rows, model, _, _ = _gbt_test(spark, sf_dir)
+    month = F.trunc("arrival_date", "month").alias("arrival_month")
+    scores = scored_rows.groupBy(month).agg(
+        F.count(F.lit(1)).alias("rows_scored"), F.count_distinct("booking_id").alias("distinct_ids"),
+        F.count_if(F.col("p_cancel").isNull() | ~F.col("p_cancel").between(0, 1)).alias("outside_unit_interval"),
+        F.max("training_rows").alias("training_rows"))
+    return scores
+
+
+@register("gbt_variant_columns", " UNION ALL ".join(
+    f"SELECT '{v}' AS variant, {n} AS position, '{c}' AS feature, (SELECT count(*) FROM orders) > 0 AS has_rows"
+    for v, cols in (("base", "lead_time_days weekend_nights week_nights adults children babies previous_cancellations "
+                     "previous_bookings_not_canceled days_in_waiting_list adr_eur special_requests arrival_weekday_num "
+                     "is_repeated_guest has_company hotel meal_plan market_segment distribution_channel customer_type "
+                     "deposit_type reserved_room_type agent"),
+                    ("without_special_requests", "lead_time_days weekend_nights week_nights adults children babies "
+                     "previous_cancellations previous_bookings_not_canceled days_in_waiting_list adr_eur arrival_weekday_num "
+                     "is_repeated_guest has_company hotel meal_plan market_segment distribution_channel customer_type "
+                     "deposit_type reserved_room_type agent"),
+                    ("with_leaky_columns", "lead_time_days weekend_nights week_nights adults children babies "
+                     "previous_cancellations previous_bookings_not_canceled days_in_waiting_list adr_eur special_requests "
+                     "arrival_weekday_num is_repeated_guest has_company parking_spaces booking_changes hotel meal_plan "
+                     "market_segment distribution_channel customer_type deposit_type reserved_room_type agent "
+                     "assigned_room_type country_code"))
+    for n, c in enumerate(cols.split())))
+def q_gbt_variant_columns(spark, sf_dir):
+    """Model columns of each comparison run, in the order the fitted pipelines have them."""
+    from pyspark.sql import functions as F
+    rows = []
+    for v in (gbt.Variant(), *_COMPARISONS):
+        scored_rows, _, names, _ = _gbt_test(spark, sf_dir, v)
+        rows.append(scored_rows.agg((F.count(F.lit(1)) > 0).alias("has_rows")).select(
+            F.lit(v.name).alias("variant"), F.posexplode(F.array(*[F.lit(c) for c in names])).alias("position", "feature"), "has_rows"))
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 @register("gbt_scores")
 def q_gbt_scores(spark, sf_dir):
     scored_rows, _, _, _ = _gbt_test(spark, sf_dir)
@@ -596,8 +652,7 @@ def q_ablation_scores(spark, sf_dir):
     """Walk-forward test scores without special requests and with the leaky columns (one row each)."""
     from pyspark.sql import functions as F
     rows = []
-    for v in (gbt.Variant("without_special_requests", drop=["special_requests"]),
-              gbt.Variant("with_leaky_columns", extra=list(feat.LEAKY_DEMO_COLUMNS))):
+    for v in _COMPARISONS:
         scored_rows, _, _, _ = _gbt_test(spark, sf_dir, v)
         rows.append(metrics.classification_scores(scored_rows).select(F.lit(v.name).alias("variant"), "*"))
     return rows[0].unionByName(rows[1])
@@ -644,6 +699,17 @@ def q_source_fingerprint(spark, sf_dir):
     return files.file_fingerprints(spark, [table_path(sf_dir, "orders"), table_path(sf_dir, "customer")])
 
 
+@register("source_checksum", " UNION ALL ".join(
+    f"SELECT '{t}' AS source, count(*) AS n_rows, bit_xor(('0x' || substr(md5({key}), 1, 8))::BIGINT) AS checksum FROM {t}"
+    for t, key in (("orders", "CAST(o_orderkey AS VARCHAR) || '|' || CAST(o_custkey AS VARCHAR) || '|' || o_orderstatus || '|' || o_orderpriority"),
+                   ("customer", "CAST(c_custkey AS VARCHAR) || '|' || CAST(c_nationkey AS VARCHAR) || '|' || c_mktsegment"))))
+def q_source_checksum(spark, sf_dir):
+    """Order-free checksum of the columns the warehouse is built from; unlike a file hash it splits over a file's blocks."""
+    parts = [files.rows_checksum(spark.read.parquet(table_path(sf_dir, t)), t, cols) for t, cols in (
+        ("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]), ("customer", ["c_custkey", "c_nationkey", "c_mktsegment"]))]
+    return parts[0].unionByName(parts[1])
+
+
 @register("scored_parquet_round_trip", SCORED + "SELECT * FROM scored WHERE split = 'test'")
 def q_scored_parquet_round_trip(spark, sf_dir):
     """Scored table written partitioned by split, read back with a partition filter."""

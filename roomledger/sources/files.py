@@ -54,6 +54,15 @@ def file_fingerprints(spark: SparkSession, paths: list[str]) -> DataFrame:
                         F.col("length").alias("bytes"), F.sha2(F.col("content"), 256).alias("sha256"))
 
 
+def rows_checksum(df: DataFrame, name: str, columns: list[str]) -> DataFrame:
+    """One row: source, n_rows, checksum (exclusive or of 32 bits of each row's MD5). One aggregate over the scan's splits, so
+    no file is read as a whole; rows with a null in ``columns`` count in n_rows only."""
+    digest = F.md5(F.concat(*[x for c in columns for x in (F.lit("|"), F.col(c).cast("string"))][1:]).cast("binary"))
+    bits = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.bit_xor(bits).alias("checksum")).select(
+        F.lit(name).alias("source"), "n_rows", "checksum")
+
+
 def verify_fingerprints(actual: DataFrame, expected: DataFrame) -> DataFrame:
     """Files whose hash differs from (or is missing in) the pinned manifest ``expected(file, sha256)``."""
     return expected.join(actual.select("file", F.col("sha256").alias("actual")), "file", "left").filter(
