@@ -18,6 +18,17 @@ def test_fingerprint_equals_hashlib(spark):
     assert files.verify_fingerprints(files.file_fingerprints(spark, [path]), expected).count() == 1
 
 
+def test_rows_checksum_ignores_order_and_sees_changes(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "k long, v string")
+    bits = 0
+    for k, v in ((1, "a"), (2, "b")):
+        bits ^= int(hashlib.md5(f"{k}|{v}".encode()).hexdigest()[:8], 16)
+    sums = [files.rows_checksum(x, "t", ["k", "v"]).first() for x in (df, df.orderBy("v").repartition(3), df.where("k < 3"))]
+    assert sums[0] == sums[1] == ("t", 3, bits)
+    assert sums[2] == ("t", 2, bits)
+    assert files.rows_checksum(df.where("k = 1"), "t", ["k", "v"]).first().checksum != bits
+
+
 def test_both_null_tokens_read_as_null(spark):
     path = scratch_path(spark, "tokens")
     df = spark.createDataFrame([("x", None, None), ("y", "1", "2")], "a string, b string, c string")
