@@ -1,15 +1,17 @@
 """Personal data by patterns and a semi-Markov conditional random field (operator 6).
 
 Patterns give the base spans of four kinds. The field adds spans the patterns do not reach (other separators,
-missing country codes, masked signs). It runs on islands: stretches of words that hold a digit or an at sign,
-one space apart. An island is cut into units (digit runs, letter runs, single signs); a segmentation labels
+missing country codes, masked signs). It runs on islands: stretches of words that hold a digit, an at sign or a masked
+one ("(at)", "[at]"), one space apart; where a masked sign opens or ends its word, the word one space beside it belongs
+to the island too. An island is cut into units (digit runs, letter runs, single signs); a segmentation labels
 each unit as outside or groups up to MAX_UNITS units as an entity of a kind. Features look at the whole
 candidate span (digits, groups, signs, checksum, borders, context). Viterbi over segments picks boundaries and kinds
-jointly. Text outside islands cannot hold a candidate, so decoding islands alone is exact.
+jointly. Candidates are segments of islands; a candidate holds digits or a sign, so text without either has none.
 
 Training (exact segment log-likelihood, forward-backward) uses a bounded sample: islands of at most
 SAMPLE_DOCS documents, the base spans being the labels, and copies of these with the entity rewritten in ways
-the patterns miss. Added spans never overlap base spans.
+the patterns miss. Islands that hold a masked sign already are left out, as no pattern labels them. Added spans never
+overlap base spans.
 
 Defined results: null or empty text has no spans (the digest of the empty list); repeated rows get equal results; a
 table without any base span adds none; extra columns are ignored.
@@ -40,7 +42,7 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-TRIGGER = re.compile(r"[0-9@]")
+TRIGGER = re.compile(r"[0-9@]|[(\[]at[)\]]")
 
 
 def luhn(digits: str) -> bool:
@@ -92,22 +94,29 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
 # ---- islands, units, candidate segments ----------------------------------------------------------------------
 
 SPACES = frozenset(" \t\n\x0b\x0c\r")
+BLANKS = SPACES | {""}
 UNIT = re.compile(r"[0-9]+|[A-Za-z]+|[^0-9A-Za-z]")
 BLANK = re.compile(r"[\x20\x09-\x0D]")
 
 
 def islands(text: str) -> list[tuple[int, int]]:
-    """Stretches of words that hold a digit or an at sign, one space apart. A word's part more than MAX_WORD
-    characters in front of its first such sign is left out (no entity is that long)."""
+    """Stretches of words that hold a digit or an at sign (plain or masked), one space apart, with the words beside
+    a masked sign. A word's part more than MAX_WORD characters in front of its first such sign is left out (no entity
+    is that long)."""
     out: list[list[int]] = []
     at, n = 0, len(text)
     while m := TRIGGER.search(text, at):
-        s = m.start()
-        low = max(out[-1][1] if out else 0, s - MAX_WORD)
+        s, floor = m.start(), out[-1][1] if out else 0
+        if m.end() - s > 1 and s - 1 > floor and text[s - 1] == " " and text[s - 2] not in SPACES:
+            s -= 1
+        low = max(floor, s - MAX_WORD)
         while s > low and text[s - 1] not in SPACES:
             s -= 1
         stop = BLANK.search(text, m.end())
         e = stop.start() if stop else n
+        while MASKED.fullmatch(text, e - 4, e) and text[e:e + 1] == " " and text[e + 1:e + 2] not in BLANKS:
+            stop = BLANK.search(text, e + 1)
+            e = stop.start() if stop else n
         if out and s - out[-1][1] <= 1 and text[out[-1][1]:s] in ("", " "):
             out[-1][1] = e
         else:
@@ -161,7 +170,7 @@ WIDTH = int(OFFSETS[-1]) + 1  # the last one is the bias
 def candidates(text: str, s: int, e: int) -> tuple[list[int], list[list[tuple[int, list[int]]]]]:
     """Unit bounds of an island and, for each unit end, the candidate segments (first unit, features) there.
 
-    A candidate holds four digits or more, or an at sign (plain or masked), at least a digit or letter at its
+    A candidate holds four digits or more, or a whole at sign (plain or masked), at least a digit or letter at its
     ends or an opening sign, and no line end.
     """
     bounds = [s] + [s + m.end() for m in UNIT.finditer(text[s:e])]
@@ -169,6 +178,8 @@ def candidates(text: str, s: int, e: int) -> tuple[list[int], list[list[tuple[in
     good_start = [u[0].isalnum() or u in "+(_%" for u in units]
     good_end = [u[-1].isalnum() or u == ")" for u in units]
     number = [len(u) if u[0].isdigit() else 0 for u in units]
+    sign_end = [i + 1 if u == "@" else i + 3 if u in "([" and MASKED.match(text, bounds[i], e) else MAX_UNITS + len(units)
+                for i, u in enumerate(units)]
     out: list[list[tuple[int, list[int]]]] = [[]]
     for j in range(1, len(units) + 1):
         here = []
@@ -176,7 +187,7 @@ def candidates(text: str, s: int, e: int) -> tuple[list[int], list[list[tuple[in
             digits, sign = 0, False
             for i in range(j - 1, max(-1, j - 1 - MAX_UNITS), -1):
                 digits += number[i]
-                sign = sign or units[i] == "@" or units[i] == "at" and 0 < i and units[i - 1] in "(["
+                sign = sign or sign_end[i] <= j
                 if good_start[i] and (digits >= 4 or sign):
                     here.append((i, [*features(text, bounds[i], bounds[j]), WIDTH - 1]))
         out.append(here)
@@ -251,7 +262,7 @@ def rewrites(span: str, kind: str, rng: np.random.Generator) -> str:
     """The entity in a form that the patterns miss."""
     pick = int(rng.integers(3))
     if kind == "email":
-        return span.replace("@", ("(at)", "[at]", "[at]")[pick])
+        return span.replace("@", ("(at)", "[at]", " [at] ")[pick])
     if kind == "ip":
         return span.replace(".", ("[.]", "(.)", "[.]")[pick])
     digits = only_digits(span)
@@ -271,6 +282,8 @@ def fit(texts: list[str], seed: int = 9, per_kind: int = 150, outside: int = 300
             continue
         spans = base_spans(text)
         for s, e in islands(text):
+            if MASKED.search(text, s, e):
+                continue
             inner = [x for x in spans if s <= x[0] and x[2] <= e]
             kind = inner[0][1] if inner else None
             if e - s > 400 or taken[kind] >= (per_kind if kind else outside):

@@ -368,3 +368,31 @@ def test_pipeline_stages(frames, spark):
             before = docs.count()
             assert docs.where("n_chars <> coalesce(length(text), 0)").count() == 0
     assert docs.agg(F.max(F.col("offset") + F.col("length"))).first()[0] <= 4096
+
+
+def test_masked_addresses_without_digits_are_found():
+    from roomledger.llm import personal_data as P
+    texts = [f"wer {w}.{w}@mail{n % 9 or ''}.example.com und +1 ({200 + n}) 555-{1000 + n} the 10.{n}.{n}.7 x"
+             for n in range(150) for w in ("ab" * (1 + n % 4),)]
+    field = P.Field(P.fit(texts))
+    for masked in ("jane.doe(at)example.com", "jane.doe[at]example.com", "jane [at] example.com", "jane9 [at] example.com",
+                   "jane (at) mail.example.com", "jane[at] example.com", "jane9[at] example.com", "jane (at)example.com"):
+        for text in (masked, f"please write to {masked} for more", f"one\n{masked}\ntwo"):
+            spans = P.all_spans(text, field)[1]
+            assert [(text[s:e], k) for s, k, e in spans] == [(masked, "email")], text
+    for text in ("we met (at noon) there", "see you [at] home", "(at)", "[at] ", " (at)  x", "no sign at all"):
+        assert P.all_spans(text, field)[1] == []
+    rng = random.Random(5)
+    for _ in range(3000):  # every word with a sign, and the words beside a masked one, lie in islands
+        text = "".join(rng.choice(("(at)", "[at]", "ab", "c.", "7", "@", " ", " ", "\n", "(at", "]")) for _ in range(rng.randint(0, 25)))
+        inside = {i for s, e in P.islands(text) for i in range(s, e)}
+        words = [m.span() for m in WORD.finditer(text)]
+        want = set()
+        for i, (s, e) in enumerate(words):
+            if re.search(r"[0-9@]|[(\[]at[)\]]", text[s:e]):
+                want |= set(range(s, e))
+                if i and re.match(r"[(\[]at[)\]]", text[s:e]) and text[words[i - 1][1]:s] == " ":
+                    want |= set(range(*words[i - 1]))
+                if i + 1 < len(words) and re.search(r"[(\[]at[)\]]$", text[s:e]) and text[e:words[i + 1][0]] == " ":
+                    want |= set(range(*words[i + 1]))
+        assert want == {i for i in inside if text[i] not in " \n"}, text
