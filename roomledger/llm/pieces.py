@@ -10,7 +10,8 @@ does not depend on partitions, order or retries.
 
 Weights: the vocabulary holds no probabilities, only merge ranks; a piece of rank r weighs
 (r + RANK_SHIFT) ** -ZIPF, and the byte fallback BYTE_WEIGHT a byte. ``temperature`` raises all weights to
-its inverse. Characters without any piece, and those only, are written as byte pieces.
+its inverse. Characters without any piece, and those only, are written as byte pieces. The mark itself, where the text
+holds it, is such a character, as its pieces stand for spaces: it becomes LITERAL, which no piece holds and no text can.
 
 Defined results: null or empty text has no pieces; equal rows get equal samples; extra columns are ignored;
 decoding gives the text back exactly (null as empty), spaces and line ends included.
@@ -31,6 +32,7 @@ from pyspark.sql import types as T
 from roomledger.llm.common import BLOCK_BYTES, blocks, documents, mix64, resolved
 
 MARK = "▁"  # written for a space
+LITERAL = "\udc81"  # stands for a MARK of the text; a lone surrogate, so it is no character of any text
 ZIPF, RANK_SHIFT, BYTE_WEIGHT = 1.0, 10.0, 1e-6
 # Longer units are filtered one by one, shorter ones side by side.
 LONG_UNIT = 64
@@ -149,7 +151,7 @@ class Lattice:
                     edges.append((share, p - s, known[0]))
             if not edges or edges[-1][1] != 1:
                 c = unit[p - 1]
-                share = alpha[p - 1] * self.byte_weight ** len(c.encode())
+                share = alpha[p - 1] * self.byte_weight ** len(c.encode("utf-8", "surrogatepass"))
                 total += share
                 edges.append((share, 1, -1 - ord(c)))
             alpha.append(total)
@@ -171,7 +173,7 @@ class Lattice:
         size = size[order]
         at = np.cumsum(size + 1) - size - 1
         long = int(np.searchsorted(-size, -LONG_UNIT, "left"))
-        text = np.frombuffer("".join([distinct[i] for i in order[long:]]).encode("utf-32-le"), np.uint32)
+        text = np.frombuffer("".join([distinct[i] for i in order[long:]]).encode("utf-32-le", "surrogatepass"), np.uint32)
         rows = [e for j in range(long) for e in self.filter_long(distinct[order[j]], int(at[j]))]
         rows += self.filter_short(size[long:], text, at[long:])
         rows = list(zip(*rows, strict=True)) if rows else [[np.zeros(0, np.int64)]] * 6
@@ -228,7 +230,7 @@ UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 def split_units(text: str) -> list[str]:
     """Units in whose front every segmentation has a boundary. A space mark opens the text."""
-    return UNIT.findall(MARK + text.replace(" ", MARK)) if text else []
+    return UNIT.findall(MARK + text.replace(MARK, LITERAL).replace(" ", MARK)) if text else []
 
 
 def unit_table(text: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -255,7 +257,7 @@ def spread_bytes(who: np.ndarray, codes: np.ndarray, first_byte: int) -> tuple[n
     odd = np.flatnonzero(codes < 0)
     if not len(odd):
         return who, codes
-    data = [chr(-1 - int(c)).encode() for c in codes[odd]]
+    data = [chr(-1 - int(c)).replace(LITERAL, MARK).encode() for c in codes[odd]]
     times = np.ones(len(codes), np.int64)
     times[odd] = [len(d) for d in data]
     out = np.repeat(codes, times)
