@@ -17,6 +17,9 @@ from roomledger.llm.packing import pack_documents
 from roomledger.llm.personal_data import find_personal_data
 from roomledger.llm.quality_classifier import THRESHOLD, quality_scores, training_labels
 
+# The near-duplicate stage links word shingles as training-data pipelines do; op8 has a contract of its own (3 words, 85 %).
+NEAR_SHINGLE, NEAR_PERCENT = 5, 80
+
 
 def resized(docs: DataFrame, names: list[str]) -> DataFrame:
     """``docs`` with n_chars (if there) set to the text's length."""
@@ -42,8 +45,9 @@ def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates."""
-    extra = near_duplicates(docs).where(~F.col("kept")).select(
+    """The document with the smallest id of each group of near-duplicates: a similarity of NEAR_PERCENT of shingles of
+    NEAR_SHINGLE words."""
+    extra = near_duplicates(docs, shingle=NEAR_SHINGLE, percent=NEAR_PERCENT).where(~F.col("kept")).select(
         F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
     return docs.join(extra, F.col("doc_id").eqNullSafe(F.col("__id"))
                      & (F.xxhash64(F.col("text").cast("string")) == F.col("__hash")), "left_anti")
