@@ -45,12 +45,28 @@ def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates: a similarity of NEAR_PERCENT of shingles of
-    NEAR_SHINGLE words."""
-    extra = near_duplicates(docs, shingle=NEAR_SHINGLE, percent=NEAR_PERCENT).where(~F.col("kept")).select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    return docs.join(extra, F.col("doc_id").eqNullSafe(F.col("__id"))
-                     & (F.xxhash64(F.col("text").cast("string")) == F.col("__hash")), "left_anti")
+    """One row of each group of near-duplicates (a similarity of NEAR_PERCENT of shingles of NEAR_SHINGLE words): the one
+    with the smallest id (null ids last), then the smallest text hash. Rows of equal id and text are one document, also
+    when it has no words; if their further columns differ, the smallest hash of these stays."""
+    near = near_duplicates(docs, shingle=NEAR_SHINGLE, percent=NEAR_PERCENT)
+    keyed = stored(near.groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "component").agg(
+        F.count("*").alias("__n")), "near-keys")
+    best = keyed.where(F.col("component").isNotNull()).groupBy("component").agg(
+        F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__hash")).alias("best"))
+    best = best.select(F.col("best.__id").alias("id"), F.col("best.__hash").alias("hash"), F.lit(True).alias("best"))
+    stays = F.col("component").isNull() | F.col("best").isNotNull()
+    marked = stored(keyed.join(best, F.col("__id").eqNullSafe(F.col("id")) & (F.col("__hash") == F.col("hash")), "left").select(
+        "__id", "__hash", stays.alias("__stays"), "__n").where(~F.col("__stays") | (F.col("__n") > 1)), "near-marked")
+    text_hash = F.xxhash64(F.col("text").cast("string"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (text_hash == F.col("__hash"))
+    single = docs.join(marked, same, "left_anti")
+    repeated = marked.where("__stays")
+    if repeated.isEmpty():
+        return single
+    further = F.to_json(F.struct(F.lit(0).alias("__0"), *[c for c in docs.columns if c not in ("doc_id", "text")]))
+    folded = docs.join(repeated, same, "left_semi").groupBy("doc_id", text_hash.alias("__hash")).agg(
+        F.min_by(F.struct(*docs.columns), F.xxhash64(further)).alias("__row")).select("__row.*")
+    return single.unionByName(folded)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,3 +46,40 @@ def test_the_stage_links_five_word_shingles_from_80_percent(spark):
     got = {r.doc_id for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()}
     want = {d for d in sets if not any(e < d and 100 * len(sets[d] & sets[e]) >= 80 * len(sets[d] | sets[e]) for e in sets)}
     assert got == want and len(want) == 24
+
+
+def test_one_row_of_each_group_stays(spark):
+    import corpus_pipeline
+    rng = random.Random(8)
+
+    def near(words, n=1):
+        return " ".join([*words, *(f"x{rng.randrange(10 ** 6)}" for _ in range(n))])
+
+    bases = [[f"w{rng.randrange(10 ** 6)}" for _ in range(80)] for _ in range(6)]
+    rows = [(5, " ".join(bases[0]))] * 40  # a row repeated
+    rows += [(7, near(bases[0])), (9, " ".join(bases[0]))]
+    rows += [(3, " ".join(bases[1])), (3, near(bases[1])), (3, near(bases[1], 2))]  # one id, near texts
+    rows += [(None, " ".join(bases[2])), (None, near(bases[2])), (None, " ".join(bases[2]))]  # all ids null
+    rows += [(None, " ".join(bases[3])), (2, near(bases[3])), (2, near(bases[3], 2))]  # some ids null
+    rows += [(None, " ".join(bases[4])), (4, " ".join(bases[5]))]  # alone
+    rows += [(30, ""), (30, ""), (31, ""), (32, None), (32, None), (None, " \n"), (None, " \n")]  # no words: linked with nothing
+    rows = [(d, t, ("b", "a")[i % 2], len(t or "")) for i, (d, t) in enumerate(rows)]
+    sets = [shingles(r[1], 5) for r in rows]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            linked = 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) if sets[i] and sets[j] else rows[i][:2] == rows[j][:2]
+            if linked:
+                root = [root[j] if x == root[i] else x for x in root]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long").repartition(6)
+    got = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert got.columns == docs.columns
+    found = [tuple(r) for r in got.collect()]
+    number = {r: root[i] for i, r in enumerate(rows)}
+    assert sorted(number[r] for r in found) == sorted(set(root))  # each group once
+    for r in found:
+        ids = {rows[i][0] for i in range(len(rows)) if root[i] == number[r]}
+        assert r[0] == min((d for d in ids if d is not None), default=None)
+    again = corpus_pipeline.one_of_each_group(spark, docs.repartition(3), "").collect()
+    assert sorted(map(str, found)) == sorted(str(tuple(r)) for r in again)
+    assert corpus_pipeline.one_of_each_group(spark, docs.limit(0), "").count() == 0
