@@ -6,13 +6,14 @@ what it finds is the proposal. One full pass over all documents then counts exac
 the negative border: all words, and every occurring phrase of k words whose two phrases of k - 1 words are proposed
 while it is not itself. A border phrase that proves frequent is a failure of the sample: a further full pass counts what
 becomes possible with it, until a pass brings no failure. The result is exact whatever the sample holds; the sample only
-decides how many passes there are (at most one for each length after the first).
+decides how many passes there are (at most ``LONGEST``).
 
-The proposal reaches the tasks as a Bloom filter of fixed size (``FILTER_BITS``, 16 MB), the only thing broadcast. A
-phrase is by definition proposed if the filter holds it, in the pass that counts as in the check for failures, so a
-false positive costs work and no correctness; a filter that a huge vocabulary fills up degrades to counting more.
-Counting is by exact word codes within a block (hashes are only used for the filter), folded per block and task before
-the shuffle, where phrases travel as text. A very common word or phrase is thus one row per block.
+Counting passes shuffle one (64-bit hash, count) row per distinct phrase and task. Hash collisions can only raise a count,
+so the phrases whose hash reaches the threshold include every frequent one; a last pass counts exactly these by their text.
+The proposal and the phrases of the last pass reach the tasks as Bloom filters of fixed size (``FILTER_BITS``, 16 MB),
+the only things broadcast. A phrase is by definition proposed if the filter holds it, when counting as when looking for
+failures, so a false positive costs work and no correctness; a filter that a huge vocabulary fills up degrades to counting
+more. Within a block equal phrases are found by exact word codes. A very common word or phrase is one row per task.
 
 Scores need the counts of the parts of each candidate; they are joined on (lang, part), the parts' table salted
 ``SALT``-fold since common words begin or end many phrases. The longest lists are cut per (lang, hash) before per lang.
@@ -23,6 +24,9 @@ name; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -33,13 +37,12 @@ from pyspark.sql import types as T
 from roomledger.llm.common import blocks, documents, flat_bytes, mix64, resolved, stored, word_hashes
 
 LEAST, LONGEST, TOP, SCALE, COVERED_PERCENT = 30, 4, 2000, 2_000_000, 80
-SAMPLE_ONE_IN, SAMPLE_LEAST = 4, 3
+SAMPLE_ONE_IN, SAMPLE_LEAST = 4, 4
 FILTER_BITS, PROBES, SALT = 1 << 27, 3, 8
-COUNT_BLOCK_BYTES = 8 << 20
+COUNT_BLOCK_BYTES, FOLD_ROWS = 4 << 20, 2_000_000
 BREAKS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 COUNTS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("k", T.IntegerType()),
-                       T.StructField("phrase", T.StringType()), T.StructField("hash", T.LongType()),
-                       T.StructField("n", T.LongType())])
+                       T.StructField("phrase", T.StringType()), T.StructField("n", T.LongType())])
 
 
 class WordRuns:
@@ -71,9 +74,6 @@ class PhraseFilter:
     def __init__(self, bits: np.ndarray):
         self.bits = bits
 
-    def __contains__(self, h):  # one hash
-        return bool(self.has(np.array([h], np.uint64))[0])
-
     def has(self, h: np.ndarray) -> np.ndarray:
         out = np.ones(len(h), bool)
         for at in probes(h, 64 * len(self.bits)):
@@ -82,81 +82,127 @@ class PhraseFilter:
 
 
 def probes(h: np.ndarray, bits: int) -> list[np.ndarray]:
-    """Bit numbers of each hash."""
-    out, x = [], h.astype(np.uint64)
+    """Bit numbers of each hash (its lowest bit, which marks phrases of the greatest length, aside)."""
+    out, x = [], h.astype(np.uint64) >> np.uint64(1)
     for _ in range(PROBES):
         x = mix64(x + np.uint64(0x9E3779B97F4A7C15))
         out.append(x & np.uint64(bits - 1))
     return out
 
 
-def block_counts(text: pa.Array, lang: pa.Array, now: PhraseFilter | None, past: PhraseFilter | None, lengths: range):
-    """Counts (lang, k, phrase, hash, n) of a block's phrases of the given lengths. Words always count when k = 1 is asked for.
-    A longer phrase counts if both phrases inside it (without its last, its first word) are in ``now`` and not both in
-    ``past``."""
-    words = WordRuns(text)
-    if not len(words.codes):
-        return
-    langs = pc.dictionary_encode(pc.fill_null(lang.cast(pa.string()), "und"))
-    lang_of = langs.indices.to_numpy(zero_copy_only=False)[words.row].astype(np.int64)
-    size = len(words.vocab)
-    word_hash = word_hashes(words.vocab)[words.codes]
-    ids, at = lang_of * size + words.codes, np.arange(len(words.codes))  # phrases by position of their first word
-    hashes = mix64(word_hash ^ mix64(word_hashes(langs.dictionary)[lang_of]))
-    new_now = new_past = None
-    for k in range(1, max(lengths) + 1):
-        if k > 1:
-            # phrases of k words begin where one of k - 1 words does and the next one starts a word later
-            place = np.full(len(words.codes), -1, np.int64)
-            place[at] = np.arange(len(at))
-            last = at + k - 1
-            keep = last < len(words.codes)
-            keep[keep] = words.run[at[keep]] == words.run[last[keep]]
-            follow = np.where(keep, place[np.minimum(at + 1, len(place) - 1)], -1)
-            keep &= follow >= 0
-            left, right = np.flatnonzero(keep), follow[keep]
-            counted = new_now[left] & new_now[right]
-            if past is not None:
-                again = new_past[left] & new_past[right]
-            ids = ids[left] * size + words.codes[last[left]]
-            hashes = mix64(hashes[left] * np.uint64(0x9E3779B97F4A7C15) + word_hash[last[left]] + np.uint64(k))
-            at = at[left]
-            at, ids, hashes = at[counted], ids[counted], hashes[counted]
-            fresh = ~again[counted] if past is not None else np.ones(len(at), bool)
-        else:
-            fresh = np.ones(len(at), bool)
-        if not len(at):
+class Level(NamedTuple):
+    """Distinct phrases of k words of a block: position of their first occurrence, hash, count, whether they are new
+    (not yet counted in an earlier pass)."""
+    k: int
+    where: np.ndarray
+    hash: np.ndarray
+    n: np.ndarray
+    new: np.ndarray
+
+
+class Block:
+    """Phrases of a block of texts. Equal phrases are found by exact codes; hashes only serve the filters."""
+
+    def __init__(self, text: pa.Array, lang: pa.Array):
+        self.words = WordRuns(text)
+        langs = pc.dictionary_encode(pc.fill_null(lang.cast(pa.string()), "und"))
+        self.langs = langs.dictionary
+        self.lang_of = langs.indices.to_numpy(zero_copy_only=False)[self.words.row]
+
+    def levels(self, now: PhraseFilter | None, past: PhraseFilter | None, longest: int) -> Iterator[Level]:
+        """All words; of longer phrases those whose two phrases without the last and without the first word are in
+        ``now``. They are new unless both are in ``past``."""
+        words, size = self.words, len(self.words.vocab)
+        if not len(words.codes):
             return
-        _, first, inverse, n = np.unique(ids, return_index=True, return_inverse=True, return_counts=True)
-        ids = inverse.astype(np.int64)  # dense again, so that ids * size stays below 64 bits
-        if k in lengths:
-            emit = fresh[first]
-            where = at[first[emit]]
-            parts = [words.vocab.take(pa.array(words.codes[where + j])) for j in range(k)]
-            phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if k > 1 else parts[0]
-            yield [langs.dictionary.take(pa.array(lang_of[where])), pa.array(np.full(len(where), k, np.int32)),
-                   phrase.cast(pa.string()), pa.array(hashes[first[emit]].view(np.int64)), pa.array(n[emit].astype(np.int64))]
-        if k < max(lengths):
-            new_now = now.has(hashes[first])[inverse]
-            if past is not None:
-                new_past = past.has(hashes[first])[inverse]
-
-
-def phrase_counts(df: DataFrame, now, past, lengths: range) -> DataFrame:
-    """One pass: exact counts per (lang, k, phrase, hash) of what ``now`` and ``past`` (broadcast bitmaps) admit.
-    ``df`` has columns (text, lang)."""
+        word_hash = word_hashes(words.vocab)[words.codes]
+        ids, at = self.lang_of.astype(np.int64) * size + words.codes, np.arange(len(words.codes), dtype=np.int32)
+        hashes = mix64(word_hash ^ mix64(word_hashes(self.langs)[self.lang_of]))
+        new = np.ones(len(at), bool)
+        for k in range(1, longest + 1):
+            coded = pc.dictionary_encode(pa.array(ids))
+            ids = coded.indices.to_numpy(zero_copy_only=False)  # dense, so that ids * size stays below 64 bits
+            n = np.bincount(ids, minlength=len(coded.dictionary))
+            first = np.empty(len(n), np.int64)
+            first[ids[::-1]] = np.arange(len(ids) - 1, -1, -1)
+            distinct = hashes[first]
+            yield Level(k, at[first], distinct, n, new[first])
+            if k == longest:
+                return
+            in_now = now.has(distinct)[ids]
+            in_past = past.has(distinct)[ids] if past is not None else None
+            # a phrase of k + 1 words begins where one of k words does and another follows a word later, in one piece
+            place = np.full(len(words.codes) + 1, -1, np.int32)
+            place[at] = np.arange(len(at), dtype=np.int32)
+            follow = place[at + 1]
+            last = np.minimum(at + k, len(words.codes) - 1)
+            left = np.flatnonzero((follow >= 0) & in_now & in_now[follow] & (words.run[at] == words.run[last]) & (last == at + k))
+            if not len(left):
+                return
+            new = np.ones(len(left), bool) if past is None else ~(in_past[left] & in_past[follow[left]])
+            last, at = last[left], at[left]
+            hashes = mix64(hashes[left] * np.uint64(0x9E3779B97F4A7C15) + word_hash[last] + np.uint64(k + 1))
+            ids = ids[left].astype(np.int64) * size + words.codes[last]
+
+    def phrases(self, level: Level, rows: np.ndarray) -> list[pa.Array]:
+        """Arrays lang, k, phrase, n of some of a level's phrases."""
+        where = level.where[rows]
+        parts = [self.words.vocab.take(pa.array(self.words.codes[where + j])) for j in range(level.k)]
+        phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if level.k > 1 else parts[0]
+        return [self.langs.take(pa.array(self.lang_of[where])), pa.array(np.full(len(where), level.k, np.int32)),
+                phrase.cast(pa.string()), pa.array(level.n[rows].astype(np.int64))]
+
+
+def folded(hashes: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
+    """Counts by hash of several blocks in one."""
+    coded = pc.dictionary_encode(pa.array(np.concatenate(hashes).view(np.int64)))
+    n = np.bincount(coded.indices.to_numpy(zero_copy_only=False), weights=np.concatenate(counts))
+    return pa.RecordBatch.from_arrays([coded.dictionary, pa.array(n.astype(np.int64))], ["hash", "n"])
+
+
+def hashed_counts(df: DataFrame, now, past, shortest: int, longest: int, greatest: int) -> DataFrame:
+    """One pass: counts (hash, n) of the phrases of ``shortest`` to ``longest`` words that ``now`` and ``past`` (broadcast
+    bitmaps) make worth counting and earlier passes have not counted. Hashes of phrases of ``greatest`` words, which no other
+    phrase depends on, are odd, all others even. ``df`` has columns (text, lang)."""
 
     def run(batches):
         has_now = PhraseFilter(now.value) if now is not None else None
         has_past = PhraseFilter(past.value) if past is not None else None
+        hashes, counts, rows = [], [], 0
+        for batch in batches:
+            text, lang = batch.column(0), batch.column(1)
+            for lo, hi in blocks(text, COUNT_BLOCK_BYTES):
+                for level in Block(text.slice(lo, hi - lo), lang.slice(lo, hi - lo)).levels(has_now, has_past, longest):
+                    if level.k >= shortest:
+                        hashes.append(level.hash[level.new] & ~np.uint64(1) | np.uint64(level.k == greatest))
+                        counts.append(level.n[level.new])
+                        rows += len(hashes[-1])
+                if rows >= FOLD_ROWS:
+                    yield folded(hashes, counts)
+                    hashes, counts, rows = [], [], 0
+        if rows:
+            yield folded(hashes, counts)
+
+    return df.mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+
+
+def phrase_counts(df: DataFrame, heavy, longest: int) -> DataFrame:
+    """One pass: exact counts (lang, k, phrase, n) of the phrases in ``heavy`` (a broadcast bitmap), and under k = 0 the
+    number of words per lang."""
+
+    def run(batches):
+        has = PhraseFilter(heavy.value)
         for batch in batches:
             text, lang = batch.column(0), batch.column(1)
             for lo, hi in blocks(text, COUNT_BLOCK_BYTES):
-                for arrays in block_counts(text.slice(lo, hi - lo), lang.slice(lo, hi - lo), has_now, has_past, lengths):
-                    yield pa.RecordBatch.from_arrays(arrays, COUNTS.names)
+                block = Block(text.slice(lo, hi - lo), lang.slice(lo, hi - lo))
+                for level in block.levels(has, None, longest):
+                    yield pa.RecordBatch.from_arrays(block.phrases(level, np.flatnonzero(has.has(level.hash))), COUNTS.names)
+                n = np.bincount(block.lang_of, minlength=len(block.langs))
+                yield pa.RecordBatch.from_arrays([block.langs, pa.array(np.zeros(len(n), np.int32)),
+                                                  pa.array([""] * len(n), pa.string()), pa.array(n.astype(np.int64))], COUNTS.names)
 
-    counted = df.mapInArrow(run, COUNTS)
-    return counted.groupBy("lang", "k", "phrase", "hash").agg(F.sum("n").alias("n"))
+    return df.mapInArrow(run, COUNTS).groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
 
 
 def filter_of(hashes: DataFrame, old: np.ndarray | None, bits: int) -> np.ndarray:
@@ -181,60 +227,35 @@ def filter_of(hashes: DataFrame, old: np.ndarray | None, bits: int) -> np.ndarra
 
 def frequent_phrases(df: DataFrame, least: int = LEAST, longest: int = LONGEST, one_in: int = SAMPLE_ONE_IN,
                      sample_least: int = SAMPLE_LEAST, filter_bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame, int]:
-    """``df`` has columns (text, lang). Returns the stored table (lang, k, phrase, n) of all phrases of 1 to ``longest``
-    words with n >= ``least``, the stored table (lang, n) of words per lang, and the number of full passes."""
+    """``df`` has columns (text, lang). Returns the table (lang, k, phrase, n) of all phrases of 1 to ``longest`` words
+    with n >= ``least``, the table (lang, n) of words per lang, and the number of full counting passes."""
     context = df.sparkSession.sparkContext
     sample = df.where(F.pmod(F.xxhash64("text", "lang"), F.lit(one_in)) == 0)
-    bits, sent = None, None
-
-    def send(new):
-        nonlocal sent
+    bits = sent = past = None
+    for k in range(1, longest):  # proposals of up to longest - 1 words decide what is counted
+        bits = filter_of(hashed_counts(sample, sent, None, k, k, longest).where(F.col("n") >= sample_least), bits, filter_bits)
         if sent is not None:
             sent.destroy()
-        sent = context.broadcast(new)
-        return sent
-
-    for k in range(1, longest):  # proposals of up to longest - 1 words decide what is counted
-        found = phrase_counts(sample, sent, None, range(k, k + 1)).where(F.col("n") >= sample_least)
-        bits = filter_of(found, bits, filter_bits)
-        send(bits)
-    tables, words, past, passes = [], None, None, 0
+        sent = context.broadcast(bits)
+    heavy, passes = None, 0
     while True:
-        lengths = range(1, longest + 1) if past is None else range(2, longest + 1)
-        counted = phrase_counts(df, sent, past, lengths)
-        if past is None:  # words are counted for n as well, whatever their frequency
-            counted = stored(counted.where((F.col("n") >= least) | (F.col("k") == 1)), "phrases")
-            words = stored(counted.where(F.col("k") == 1).groupBy("lang").agg(F.sum("n").alias("n")), "words")
-            counted = counted.where(F.col("n") >= least)
-        else:
-            counted = stored(counted.where(F.col("n") >= least), "phrases")
-        tables.append(counted.select("lang", "k", "phrase", "n"))
+        counted = hashed_counts(df, sent, past, 1 if past is None else 2, longest, longest)
+        counted = stored(counted.where(F.col("n") >= least), "heavy")
         passes += 1
-        failed = counted.where(F.col("k") < longest).mapInArrow(missing_from(sent), COUNTS)
-        old, new = bits, filter_of(failed, bits, filter_bits)
+        heavy = filter_of(counted, heavy, filter_bits)
+        # phrases of the border that proved frequent join the proposal
+        new = filter_of(counted.where(F.col("hash") % 2 == 0), bits, filter_bits)
         if past is not None:
             past.destroy()
-        if passes > longest or (new == old).all():
+        if (new == bits).all() or passes == longest:
             break
-        past, sent = sent, None
-        bits = new
-        send(new)
+        past, bits = sent, new
+        sent = context.broadcast(new)
     sent.destroy()
-    found = tables[0]
-    for t in tables[1:]:
-        found = found.unionByName(t)
-    return found, words, passes
-
-
-def missing_from(sent):
-    """Rows of a count table whose phrase is not in the broadcast filter: failures of the border."""
-
-    def run(batches):
-        has = PhraseFilter(sent.value).has
-        for batch in batches:
-            yield batch.filter(pa.array(~has(batch.column(3).to_numpy(zero_copy_only=False).view(np.uint64))))
-
-    return run
+    held = context.broadcast(heavy)
+    found = stored(phrase_counts(df, held, longest).where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
+    held.destroy()
+    return (found.where((F.col("k") > 0) & (F.col("n") >= least)), found.where(F.col("k") == 0).select("lang", "n"), passes)
 
 
 def scored(found: DataFrame, least: int = LEAST, salt: int = SALT) -> DataFrame:
