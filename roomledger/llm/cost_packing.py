@@ -170,7 +170,8 @@ def pack_balanced(tokens: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     sent = spark.sparkContext.broadcast([((p[:, 0] << RANK_BITS) + p[:, 2], p) for p in levels])
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     ranks = sizes.select("part", "length", F.coalesce(before, F.lit(0)).alias("before"))
-    slim = tokens.join(ranks, ["part", "length"]).select(
+    # the ranks grow with the corpus: always a shuffle join, the same plan at every size
+    slim = tokens.join(ranks.hint("merge"), ["part", "length"]).select(
         "id", "doc_tokens", "start", "length", (F.col("before") + F.col("nth")).alias("rank"), "ids")
     schema = T.StructType([slim.schema["id"]] + [T.StructField(n, T.LongType()) for n in (
         "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
