@@ -4,9 +4,10 @@ A phrase cannot be more frequent than the phrases inside it. So a sample of the
 hash of the row) is mined first, level by level, at a threshold lowered far enough that few frequent phrases are missed;
 what it finds is the proposal. One full pass over all documents then counts exactly every proposed phrase together with
 the negative border: all words, and every occurring phrase of k words whose two phrases of k - 1 words are proposed
-while it is not itself. A border phrase that proves frequent is a failure of the sample: a further full pass counts what
-becomes possible with it, until a pass brings no failure. The result is exact whatever the sample holds; the sample only
-decides how many passes there are (at most ``LONGEST``).
+while it is not itself. A border phrase that proves frequent is a failure of the sample. Then an expansion pass counts all
+phrases that hold a failure and whose phrases of one word less are proposed, failures or again hold one. This closes the
+search: a frequent phrase not counted at first has a part that was not proposed, and so, going on to its parts, holds a
+failure, as do all its parts that were not counted at first. The result is exact whatever the sample holds.
 
 Counting passes shuffle one (64-bit hash, count) row per distinct phrase and task. Hash collisions can only raise a count,
 so the phrases whose hash reaches the threshold include every frequent one; a last pass counts exactly these by their text.
@@ -38,7 +39,7 @@ from roomledger.llm.common import blocks, documents, flat_bytes, mix64, resolved
 
 LEAST, LONGEST, TOP, SCALE, COVERED_PERCENT = 30, 4, 2000, 2_000_000, 80
 SAMPLE_ONE_IN, SAMPLE_LEAST = 4, 4
-FILTER_BITS, PROBES, SALT = 1 << 27, 3, 8
+FILTER_BITS, PROBES, SALT, LONG_WORD = 1 << 27, 3, 8, 256
 COUNT_BLOCK_BYTES, FOLD_ROWS = 4 << 20, 2_000_000
 BREAKS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 COUNTS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("k", T.IntegerType()),
@@ -68,6 +69,27 @@ class WordRuns:
         self.run = np.cumsum(kinds == 2)[starts] + self.row if len(starts) else self.row
 
 
+def bulk_hashes(vocab: pa.Array) -> np.ndarray:
+    """64-bit hash of each vocabulary entry, eight bytes of all entries at a time; entries over ``LONG_WORD`` bytes one by one."""
+    raw, bounds = flat_bytes(vocab)
+    raw = np.concatenate([raw, np.zeros(8, np.uint8)])
+    size = np.diff(bounds)
+    h = mix64(size.astype(np.uint64) + np.uint64(1))
+    far = size > LONG_WORD
+    open_ = np.flatnonzero(~far & (size > 0))
+    byte = np.arange(8)
+    for start in range(0, LONG_WORD, 8):
+        if not len(open_):
+            break
+        chunk = raw[(bounds[open_] + start)[:, None] + byte]
+        chunk[byte >= (size[open_] - start)[:, None]] = 0
+        h[open_] = mix64(h[open_] * np.uint64(0x9E3779B97F4A7C15) ^ chunk.view(np.uint64)[:, 0])
+        open_ = open_[size[open_] > start + 8]
+    if far.any():
+        h[far] = word_hashes(vocab.filter(pa.array(far)))
+    return h
+
+
 class PhraseFilter:
     """Bloom filter over 64-bit hashes; the words of the bitmap are set by :func:`filter_of`."""
 
@@ -110,15 +132,19 @@ class Block:
         self.lang_of = langs.indices.to_numpy(zero_copy_only=False)[self.words.row]
 
     def levels(self, now: PhraseFilter | None, past: PhraseFilter | None, longest: int) -> Iterator[Level]:
-        """All words; of longer phrases those whose two phrases without the last and without the first word are in
-        ``now``. They are new unless both are in ``past``."""
+        """All words; of longer phrases those whose two phrases without the last and without the first word are in ``now``.
+
+        With ``past`` given, phrases in ``now`` but not in ``past`` are failures. A phrase that holds a failure may be
+        frequent whatever ``past`` says, so it stands in for one in ``now``; a phrase is new unless both its phrases are in
+        ``past``, which is when the earlier pass counted it.
+        """
         words, size = self.words, len(self.words.vocab)
         if not len(words.codes):
             return
-        word_hash = word_hashes(words.vocab)[words.codes]
+        word_hash = bulk_hashes(words.vocab)[words.codes]
         ids, at = self.lang_of.astype(np.int64) * size + words.codes, np.arange(len(words.codes), dtype=np.int32)
-        hashes = mix64(word_hash ^ mix64(word_hashes(self.langs)[self.lang_of]))
-        new = np.ones(len(at), bool)
+        hashes = mix64(word_hash ^ mix64(bulk_hashes(self.langs)[self.lang_of]))
+        new, holds = np.ones(len(at), bool), None
         for k in range(1, longest + 1):
             coded = pc.dictionary_encode(pa.array(ids))
             ids = coded.indices.to_numpy(zero_copy_only=False)  # dense, so that ids * size stays below 64 bits
@@ -129,17 +155,24 @@ class Block:
             yield Level(k, at[first], distinct, n, new[first])
             if k == longest:
                 return
-            in_now = now.has(distinct)[ids]
-            in_past = past.has(distinct)[ids] if past is not None else None
+            in_now = may = now.has(distinct)[ids]
+            if past is not None:
+                in_past = past.has(distinct)[ids]
+                holds = (in_now & ~in_past) if holds is None else holds | (in_now & ~in_past)
+                may = in_now | holds
             # a phrase of k + 1 words begins where one of k words does and another follows a word later, in one piece
             place = np.full(len(words.codes) + 1, -1, np.int32)
             place[at] = np.arange(len(at), dtype=np.int32)
             follow = place[at + 1]
             last = np.minimum(at + k, len(words.codes) - 1)
-            left = np.flatnonzero((follow >= 0) & in_now & in_now[follow] & (words.run[at] == words.run[last]) & (last == at + k))
+            left = np.flatnonzero((follow >= 0) & may & may[follow] & (words.run[at] == words.run[last]) & (last == at + k))
             if not len(left):
                 return
-            new = np.ones(len(left), bool) if past is None else ~(in_past[left] & in_past[follow[left]])
+            follow = follow[left]
+            if past is not None:
+                new, holds = ~(in_past[left] & in_past[follow]), holds[left] | holds[follow]
+            else:
+                new = np.ones(len(left), bool)
             last, at = last[left], at[left]
             hashes = mix64(hashes[left] * np.uint64(0x9E3779B97F4A7C15) + word_hash[last] + np.uint64(k + 1))
             ids = ids[left].astype(np.int64) * size + words.codes[last]
@@ -231,26 +264,21 @@ def frequent_phrases(df: DataFrame, least: int = LEAST, longest: int = LONGEST,
     with n >= ``least``, the table (lang, n) of words per lang, and the number of full counting passes."""
     context = df.sparkSession.sparkContext
     sample = df.where(F.pmod(F.xxhash64("text", "lang"), F.lit(one_in)) == 0)
-    bits = sent = past = None
+    bits = sent = None
     for k in range(1, longest):  # proposals of up to longest - 1 words decide what is counted
         bits = filter_of(hashed_counts(sample, sent, None, k, k, longest).where(F.col("n") >= sample_least), bits, filter_bits)
         if sent is not None:
             sent.destroy()
         sent = context.broadcast(bits)
-    heavy, passes = None, 0
-    while True:
-        counted = hashed_counts(df, sent, past, 1 if past is None else 2, longest, longest)
-        counted = stored(counted.where(F.col("n") >= least), "heavy")
-        passes += 1
-        heavy = filter_of(counted, heavy, filter_bits)
-        # phrases of the border that proved frequent join the proposal
-        new = filter_of(counted.where(F.col("hash") % 2 == 0), bits, filter_bits)
-        if past is not None:
-            past.destroy()
-        if (new == bits).all() or passes == longest:
-            break
-        past, bits = sent, new
-        sent = context.broadcast(new)
+    counted = stored(hashed_counts(df, sent, None, 1, longest, longest).where(F.col("n") >= least), "heavy")
+    heavy, passes = filter_of(counted, None, filter_bits), 1
+    # phrases of the border that proved frequent; those of the greatest length lead to no other
+    failed = filter_of(counted.where(F.col("hash") % 2 == 0), bits, filter_bits)
+    if (failed != bits).any():
+        past, sent = sent, context.broadcast(failed)
+        more = stored(hashed_counts(df, sent, past, 2, longest, longest).where(F.col("n") >= least), "more")
+        heavy, passes = filter_of(more, heavy, filter_bits), 2
+        past.destroy()
     sent.destroy()
     held = context.broadcast(heavy)
     found = stored(phrase_counts(df, held, longest).where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
