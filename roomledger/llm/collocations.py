@@ -14,7 +14,7 @@ so the phrases whose hash reaches the threshold include every frequent one; a la
 The proposal and the phrases of the last pass reach the tasks as Bloom filters of fixed size (``FILTER_BITS``, 16 MB),
 the only things broadcast. A phrase is by definition proposed if the filter holds it, when counting as when looking for
 failures, so a false positive costs work and no correctness; a filter that a huge vocabulary fills up degrades to counting
-more. Within a block equal phrases are found by exact word codes. A very common word or phrase is one row per task.
+more. Within a block equal phrases are found by exact word codes. A very common word or phrase is a few rows per task.
 
 Scores need the counts of the parts of each candidate; they are joined on (lang, part), the parts' table salted
 ``SALT``-fold since common words begin or end many phrases. The longest lists are cut per (lang, hash) before per lang.
@@ -40,7 +40,7 @@ from roomledger.llm.common import blocks, documents, flat_bytes, mix64, resolved
 LEAST, LONGEST, TOP, SCALE, COVERED_PERCENT = 30, 4, 2000, 2_000_000, 80
 SAMPLE_ONE_IN, SAMPLE_LEAST = 4, 4
 FILTER_BITS, PROBES, SALT, LONG_WORD = 1 << 27, 3, 8, 256
-COUNT_BLOCK_BYTES, FOLD_ROWS = 4 << 20, 2_000_000
+COUNT_BLOCK_BYTES, FOLD_ROWS = 2 << 20, 800_000
 BREAKS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 COUNTS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("k", T.IntegerType()),
                        T.StructField("phrase", T.StringType()), T.StructField("n", T.LongType())])
@@ -60,13 +60,13 @@ class WordRuns:
         heads = bounds[:-1][np.diff(bounds) > 0]
         first[heads] = inside[heads]
         starts = np.flatnonzero(first)
-        before = np.cumsum(inside) - inside
-        offsets = np.append(before[starts], inside.sum()).astype(np.int64)
+        size = np.add.reduceat(inside, starts, dtype=np.int64) if len(starts) else starts  # word bytes up to the next word
+        offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
         flat = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(raw[inside]))
         coded = pc.dictionary_encode(flat)
-        self.vocab, self.codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        self.row = np.searchsorted(bounds, starts, "right") - 1
-        self.run = np.cumsum(kinds == 2)[starts] + self.row if len(starts) else self.row
+        self.vocab, self.codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+        self.row = (np.searchsorted(bounds, starts, "right") - 1).astype(np.int32)
+        self.run = np.searchsorted(np.flatnonzero(kinds == 2), starts) + self.row
 
 
 def bulk_hashes(vocab: pa.Array) -> np.ndarray:
@@ -213,10 +213,12 @@ def hashed_counts(df: DataFrame, now, past, shortest: int, longest: int, greates
                 if rows >= FOLD_ROWS:
                     yield folded(hashes, counts)
                     hashes, counts, rows = [], [], 0
+                    pa.default_memory_pool().release_unused()
         if rows:
             yield folded(hashes, counts)
 
-    return df.mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    # the tasks have folded their rows: no second hash table in front of the shuffle
+    return df.mapInArrow(run, "hash long, n long").repartition("hash").groupBy("hash").agg(F.sum("n").alias("n"))
 
 
 def phrase_counts(df: DataFrame, heavy, longest: int) -> DataFrame:
