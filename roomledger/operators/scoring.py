@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from roomledger.operators.joins import lookup_join
 from roomledger.operators.splits import arrival_window, split_label
 
+# Fixed value: the columns of the scored file.
 SCORED_COLUMNS = ["booking_id", "split", "hotel", "arrival_date", "deposit_type", "nights", "adr_eur",
                   "room_revenue_eur", "is_canceled", "p_cancel"]
 

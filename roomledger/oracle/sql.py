@@ -1,9 +1,9 @@
 """DuckDB SQL for the booking fixture and the warehouse models, written from the models' definitions.
 
-These strings are the oracle: they are run by DuckDB against the same parquet tables and compared with
-the Spark results. They follow the SQL form of each model (window for twin rows, ``union all`` for the
-drivers, a direct 101-way threshold scan for the policy curve) so that they do not share a shortcut
-with the Spark implementation.
+These strings are the oracle: they are run by DuckDB against the same parquet tables and compared with the Spark results.
+Each model is written its own way, with other joins and groupings than the Spark form (identical rows by a join on the row's
+text, nights by a calendar, bands by a table of bounds, drivers by an unpivot, a direct 101-way scan for the policy
+curve), so that the two do not share a shortcut.
 """
 
 from __future__ import annotations
@@ -88,159 +88,136 @@ def raw_cte(faulty: bool = False, name: str = "raw") -> str:
 )"""
 
 
+# Raw name -> staged name of the whole-number columns.
+WHOLE = {
+    "lead_time": "lead_time_days", "stays_in_weekend_nights": "weekend_nights", "stays_in_week_nights": "week_nights",
+    "adults": "adults", "babies": "babies", "previous_cancellations": "previous_cancellations",
+    "previous_bookings_not_canceled": "previous_bookings_not_canceled", "booking_changes": "booking_changes",
+    "agent": "agent_id", "company": "company_id", "days_in_waiting_list": "days_in_waiting_list",
+    "required_car_parking_spaces": "parking_spaces", "total_of_special_requests": "special_requests",
+}
+SAME = ("booking_id hotel market_segment distribution_channel reserved_room_type assigned_room_type deposit_type "
+        "customer_type reservation_status").split()
+
+
 def stg_cte(src: str = "raw", name: str = "stg", adr_ceiling: float = 1000.0) -> str:
+    """Staged rows in three steps: values, what follows from them, and how often the whole row occurs (its JSON text
+    grouped and joined back)."""
+    whole = ", ".join(f"CAST({old} AS INTEGER) AS {new}" for old, new in WHOLE.items())
+    day = "lpad(CAST(CAST(arrival_date_day_of_month AS INTEGER) AS VARCHAR), 2, '0')"
+    key = "CAST(to_json({" + ", ".join(f"'{c.strip()}': {c.strip()}" for c in TWIN_COLS.split(",")) + "}) AS VARCHAR)"
     return f"""
-{name}_typed AS (
-    SELECT
-        booking_id,
-        hotel,
-        is_canceled = 1 AS is_canceled,
-        reservation_status = 'No-Show' AS is_no_show,
-        lead_time::INTEGER AS lead_time_days,
-        make_date(arrival_date_year::INTEGER, month(strptime(arrival_date_month, '%B'))::INTEGER,
-                  arrival_date_day_of_month::INTEGER) AS arrival_date,
-        stays_in_weekend_nights::INTEGER AS weekend_nights,
-        stays_in_week_nights::INTEGER AS week_nights,
-        adults::INTEGER AS adults,
-        coalesce(children, 0)::INTEGER AS children,
-        babies::INTEGER AS babies,
-        CASE WHEN meal = 'Undefined' THEN 'SC' ELSE meal END AS meal_plan,
-        coalesce(country, 'UNK') AS country_code,
-        market_segment,
-        distribution_channel,
-        is_repeated_guest = 1 AS is_repeated_guest,
-        previous_cancellations::INTEGER AS previous_cancellations,
-        previous_bookings_not_canceled::INTEGER AS previous_bookings_not_canceled,
-        reserved_room_type,
-        assigned_room_type,
-        booking_changes::INTEGER AS booking_changes,
-        deposit_type,
-        agent::INTEGER AS agent_id,
-        company::INTEGER AS company_id,
-        days_in_waiting_list::INTEGER AS days_in_waiting_list,
-        customer_type,
-        adr::DOUBLE AS adr_eur,
-        required_car_parking_spaces::INTEGER AS parking_spaces,
-        total_of_special_requests::INTEGER AS special_requests,
-        reservation_status,
-        CAST(reservation_status_date AS DATE) AS reservation_status_date
+{name}_values AS (
+    SELECT {", ".join(SAME)}, {whole},
+           CAST(strptime(CAST(CAST(arrival_date_year AS INTEGER) AS VARCHAR) || arrival_date_month || {day}, '%Y%B%d') AS DATE) AS arrival_date,
+           CAST(ifnull(children, 0) AS INTEGER) AS children, CAST(adr AS DOUBLE) AS adr_eur,
+           ifnull(nullif(meal, 'Undefined'), CASE WHEN meal IS NOT NULL THEN 'SC' END) AS meal_plan, ifnull(country, 'UNK') AS country_code,
+           CAST(is_canceled AS BOOLEAN) AS is_canceled, CAST(is_repeated_guest AS BOOLEAN) AS is_repeated_guest,
+           reservation_status IN ('No-Show') AS is_no_show, CAST(reservation_status_date AS DATE) AS reservation_status_date
     FROM {src}
 ),
+{name}_follows AS (
+    SELECT v.*, weekend_nights + week_nights AS nights, adults + children + babies AS guests,
+           CAST(arrival_date - to_days(lead_time_days) AS DATE) AS booking_date,
+           if(is_canceled, reservation_status_date, NULL) AS cancellation_date, {key} AS row_text
+    FROM {name}_values v
+),
+{name}_often AS (SELECT row_text, count(*) AS times FROM {name}_follows GROUP BY row_text),
 {name} AS (
-    SELECT *,
-        CAST(arrival_date - lead_time_days AS DATE) AS booking_date,
-        weekend_nights + week_nights AS nights,
-        adults + children + babies AS guests,
-        adr_eur * (weekend_nights + week_nights) AS room_revenue_eur,
-        CASE WHEN is_canceled THEN reservation_status_date END AS cancellation_date,
-        CASE WHEN is_canceled THEN CAST(arrival_date - reservation_status_date AS INTEGER) END
-            AS cancelled_days_before_arrival,
-        adr_eur < 0 AS dq_negative_adr,
-        adr_eur > {float(adr_ceiling)!r} AS dq_adr_outlier,
-        adults + children + babies = 0 AS dq_zero_guests,
-        count(*) OVER (PARTITION BY {TWIN_COLS}) > 1 AS dq_identical_to_another_row
-    FROM {name}_typed
+    SELECT f.* EXCLUDE (row_text), nights * adr_eur AS room_revenue_eur,
+           CAST(date_diff('day', cancellation_date, arrival_date) AS INTEGER) AS cancelled_days_before_arrival,
+           sign(adr_eur) = -1 AS dq_negative_adr, NOT adr_eur <= {float(adr_ceiling)!r} AS dq_adr_outlier,
+           guests IN (0) AS dq_zero_guests, times >= 2 AS dq_identical_to_another_row
+    FROM {name}_follows f JOIN {name}_often USING (row_text)
 )"""
 
 
-LEAD_BAND_SQL = """CASE
-            WHEN lead_time_days <= 7 THEN '0-7 days'
-            WHEN lead_time_days <= 30 THEN '8-30 days'
-            WHEN lead_time_days <= 90 THEN '31-90 days'
-            WHEN lead_time_days <= 180 THEN '91-180 days'
-            WHEN lead_time_days <= 365 THEN '181-365 days'
-            ELSE '365+ days' END"""
-
-
 def fct_cte(src: str = "stg", name: str = "fct") -> str:
+    """Kept bookings; bands from a table of bounds, the two revenues by a factor of 0 or 1."""
     return f"""
+{name}_bands(at_least, below, lead_time_band) AS (
+    VALUES (-2147483648, 8, '0-7 days'), (8, 31, '8-30 days'), (31, 91, '31-90 days'), (91, 181, '91-180 days'),
+           (181, 366, '181-365 days'), (366, 2147483647, '365+ days')
+),
 {name} AS (
-    SELECT
-        booking_id, hotel, booking_date, arrival_date,
-        CAST(date_trunc('month', arrival_date) AS DATE) AS arrival_month,
-        dayname(arrival_date) AS arrival_weekday,
-        lead_time_days,
-        {LEAD_BAND_SQL} AS lead_time_band,
-        nights, weekend_nights, week_nights, adults, children, babies, guests, meal_plan, country_code,
-        market_segment, distribution_channel, customer_type, deposit_type, is_repeated_guest,
-        previous_cancellations, previous_bookings_not_canceled, reserved_room_type, assigned_room_type,
-        booking_changes, agent_id, company_id, days_in_waiting_list, parking_spaces, special_requests,
-        adr_eur, room_revenue_eur, is_canceled, is_no_show, reservation_status, cancellation_date,
-        cancelled_days_before_arrival,
-        CASE WHEN is_canceled THEN CAST(0 AS DOUBLE) ELSE room_revenue_eur END AS realized_revenue_eur,
-        CASE WHEN is_canceled THEN room_revenue_eur ELSE CAST(0 AS DOUBLE) END AS cancelled_revenue_eur,
-        dq_identical_to_another_row
-    FROM {src}
-    WHERE NOT dq_negative_adr AND NOT dq_adr_outlier AND NOT dq_zero_guests
+    SELECT k.* EXCLUDE (reservation_status_date, dq_negative_adr, dq_adr_outlier, dq_zero_guests),
+           make_date(CAST(year(arrival_date) AS INTEGER), CAST(month(arrival_date) AS INTEGER), 1) AS arrival_month,
+           strftime(arrival_date, '%A') AS arrival_weekday, d.lead_time_band,
+           room_revenue_eur * (1 - CAST(is_canceled AS INTEGER)) AS realized_revenue_eur,
+           room_revenue_eur * CAST(is_canceled AS INTEGER) AS cancelled_revenue_eur
+    FROM {src} k JOIN {name}_bands d ON lead_time_days >= d.at_least AND lead_time_days < d.below
+    WHERE (dq_negative_adr, dq_adr_outlier, dq_zero_guests) = (FALSE, FALSE, FALSE)
 )"""
 
 
 def nights_cte(src: str = "fct", name: str = "nights") -> str:
+    """A calendar joined by range: a stay holds the days from its arrival on, before its last day."""
     return f"""
+{name}_calendar AS (
+    SELECT CAST(unnest(generate_series(min(arrival_date), CAST(max(arrival_date + nights) AS DATE), INTERVAL 1 DAY)) AS DATE) AS stay_date FROM {src}
+),
 {name} AS (
-    SELECT b.booking_id, b.hotel, CAST(stay.night AS DATE) AS stay_date, b.is_canceled, b.adr_eur
-    FROM {src} AS b,
-         unnest(generate_series(CAST(b.arrival_date AS TIMESTAMP),
-                                CAST(b.arrival_date + (b.nights - 1) AS TIMESTAMP), INTERVAL 1 DAY)) AS stay(night)
-    WHERE b.nights > 0
+    SELECT booking_id, hotel, stay_date, is_canceled, adr_eur
+    FROM {name}_calendar JOIN {src} s ON stay_date >= s.arrival_date AND stay_date < s.arrival_date + s.nights
 )"""
 
 
 def occupancy_cte(src: str = "nights", name: str = "occupancy") -> str:
+    """One row per outcome first, then both outcomes side by side."""
     return f"""
+{name}_outcomes AS (SELECT hotel, stay_date, is_canceled AS lost, count(*) AS n, sum(adr_eur) AS eur FROM {src} GROUP BY ALL),
+{name}_days AS (SELECT DISTINCT hotel, stay_date FROM {name}_outcomes),
 {name} AS (
-    SELECT hotel, stay_date,
-        count(*) FILTER (WHERE NOT is_canceled) AS rooms_sold,
-        count(*) FILTER (WHERE is_canceled) AS rooms_cancelled,
-        count(*) AS rooms_booked,
-        coalesce(sum(adr_eur) FILTER (WHERE NOT is_canceled), 0) AS realized_revenue_eur,
-        coalesce(sum(adr_eur) FILTER (WHERE is_canceled), 0) AS cancelled_revenue_eur
-    FROM {src}
-    GROUP BY hotel, stay_date
+    SELECT d.hotel, d.stay_date, ifnull(s.n, 0) AS rooms_sold, ifnull(x.n, 0) AS rooms_cancelled, ifnull(s.n, 0) + ifnull(x.n, 0) AS rooms_booked,
+           ifnull(s.eur, 0) AS realized_revenue_eur, ifnull(x.eur, 0) AS cancelled_revenue_eur
+    FROM {name}_days d
+    LEFT JOIN {name}_outcomes s ON s.hotel = d.hotel AND s.stay_date = d.stay_date AND NOT s.lost
+    LEFT JOIN {name}_outcomes x ON x.hotel = d.hotel AND x.stay_date = d.stay_date AND x.lost
 )"""
 
 
 def monthly_cte(src: str = "fct", name: str = "monthly") -> str:
+    """Sums per hotel, month and outcome, put together from the two outcomes."""
     return f"""
+{name}_outcomes AS (
+    SELECT hotel, arrival_month, is_canceled AS lost, count(*) AS n, sum(CAST(is_no_show AS BIGINT)) AS away, sum(nights) AS nights,
+           sum(room_revenue_eur) AS eur
+    FROM {src} GROUP BY ALL
+),
+{name}_sides AS (
+    SELECT hotel, arrival_month, CAST(sum(n) AS BIGINT) AS bookings, CAST(sum(n * CAST(lost AS BIGINT)) AS BIGINT) AS cancellations,
+           CAST(sum(away) AS BIGINT) AS no_shows, CAST(max(if(lost, NULL, nights)) AS BIGINT) AS room_nights_sold,
+           ifnull(max(if(lost, NULL, eur)), 0) AS realized_revenue_eur, ifnull(max(if(lost, eur, NULL)), 0) AS cancelled_revenue_eur
+    FROM {name}_outcomes GROUP BY hotel, arrival_month
+),
 {name} AS (
-    SELECT hotel, arrival_month,
-        count(*) AS bookings,
-        count(*) FILTER (WHERE is_canceled) AS cancellations,
-        count(*) FILTER (WHERE is_no_show) AS no_shows,
-        avg(is_canceled::INTEGER) AS cancellation_rate,
-        CAST(sum(nights) FILTER (WHERE NOT is_canceled) AS BIGINT) AS room_nights_sold,
-        sum(realized_revenue_eur) AS realized_revenue_eur,
-        sum(cancelled_revenue_eur) AS cancelled_revenue_eur,
-        sum(realized_revenue_eur) / nullif(sum(nights) FILTER (WHERE NOT is_canceled), 0) AS realized_adr_eur
-    FROM {src}
-    GROUP BY hotel, arrival_month
+    SELECT *, cancellations / CAST(bookings AS DOUBLE) AS cancellation_rate,
+           realized_revenue_eur / nullif(room_nights_sold, 0) AS realized_adr_eur
+    FROM {name}_sides
 )"""
 
 
-DRIVER_DIMS_SQL = [
-    ("hotel", "hotel"),
-    ("market_segment", "market_segment"),
-    ("distribution_channel", "distribution_channel"),
-    ("deposit_type", "deposit_type"),
-    ("customer_type", "customer_type"),
-    ("lead_time_band", "lead_time_band"),
-    ("repeat_guest", "CASE WHEN is_repeated_guest THEN 'Repeat guest' ELSE 'First stay' END"),
-    ("previous_cancellations", "CASE WHEN previous_cancellations = 0 THEN 'None' ELSE '1 or more' END"),
-    ("special_requests", "CASE WHEN special_requests = 0 THEN 'None' ELSE '1 or more' END"),
-    ("arrival_month", "strftime(arrival_date, '%m-%b')"),
-]
-
-
 def drivers_cte(src: str = "fct", name: str = "drivers") -> str:
-    parts = [
-        f"""SELECT '{dim}' AS dimension, CAST({expr} AS VARCHAR) AS value, count(*) AS bookings,
-               count(*) FILTER (WHERE is_canceled) AS cancellations,
-               avg(is_canceled::INTEGER) AS cancellation_rate,
-               sum(cancelled_revenue_eur) AS cancelled_revenue_eur
-        FROM {src} GROUP BY 1, 2"""
-        for dim, expr in DRIVER_DIMS_SQL
-    ]
-    return f"\n{name} AS (\n        " + "\n        UNION ALL\n        ".join(parts) + "\n)"
+    """All slices as columns of text, turned into rows by one unpivot."""
+    return f"""
+{name}_wide AS (
+    SELECT hotel, market_segment, distribution_channel, deposit_type, customer_type, lead_time_band,
+           (['First stay', 'Repeat guest'])[1 + CAST(is_repeated_guest AS INTEGER)] AS repeat_guest,
+           (['None', '1 or more'])[1 + least(abs(previous_cancellations), 1)] AS previous_cancellations,
+           (['None', '1 or more'])[1 + least(abs(special_requests), 1)] AS special_requests,
+           strftime(arrival_date, '%m-%b') AS arrival_month, CAST(is_canceled AS BIGINT) AS lost, cancelled_revenue_eur AS eur
+    FROM {src}
+),
+{name}_long AS (
+    SELECT dimension, value, lost, eur FROM {name}_wide UNPIVOT INCLUDE NULLS (value FOR dimension IN (
+        hotel, market_segment, distribution_channel, deposit_type, customer_type, lead_time_band, repeat_guest,
+        previous_cancellations, special_requests, arrival_month))
+),
+{name} AS (
+    SELECT dimension, value, count(*) AS bookings, CAST(sum(lost) AS BIGINT) AS cancellations,
+           sum(lost) / CAST(count(*) AS DOUBLE) AS cancellation_rate, sum(eur) AS cancelled_revenue_eur
+    FROM {name}_long GROUP BY dimension, value
+)"""
 
 
 def with_ctes(*ctes: str) -> str:
