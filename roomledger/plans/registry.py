@@ -535,7 +535,7 @@ def q_indexed_categories(spark, sf_dir):
     return model.transform(te).select("booking_id", *[f"{c}_idx" for c in feat.CATEGORICAL])
 
 
-# ---- boosted-tree walk-forward (rows-only checks: no SQL oracle for a trained model) --------------------
+# ---- boosted-tree walk-forward (a whole trained model has no SQL oracle; its first splits do) ------------
 
 from roomledger.operators import gbt  # noqa: E402
 
@@ -556,7 +556,10 @@ _COMPARISONS = (gbt.Variant("without_special_requests", drop=["special_requests"
 def _rounds(spark, sf_dir, variant=gbt.Variant()):
     key = ("rounds", spark.sparkContext.applicationId, sf_dir, repr(variant))
     if key not in _FITS:
-        _FITS[key] = gbt.choose_rounds(facts(spark, sf_dir), VALID_START, TEST_START, variant)
+        run = gbt.probe(facts(spark, sf_dir), VALID_START, TEST_START, variant)
+        _FITS[key] = run.grow_until()
+        _FITS[("losses", *key[1:])] = run.losses
+        run.close()
     return _FITS[key]
 
 
@@ -642,9 +645,64 @@ def q_gbt_scores(spark, sf_dir):
 
 @register("feature_importance")
 def q_feature_importance(spark, sf_dir):
-    """Top-15 gain-style importances of the last month's model."""
-    _, model, names, _ = _gbt_test(spark, sf_dir)
-    return gbt.feature_importance(model, names)
+    """Top 15 features of the last month's model by total gain of their splits."""
+    _, model, _, _ = _gbt_test(spark, sf_dir)
+    return gbt.feature_importance(model)
+
+
+@register("gbt_splits")
+def q_gbt_splits(spark, sf_dir):
+    """Every split of every month's model: model, round, node, feature, gain, rows, side of missing values."""
+    _, model, _, _ = _gbt_test(spark, sf_dir)
+    return model.split_table()
+
+
+@register("gbt_validation_loss")
+def q_gbt_validation_loss(spark, sf_dir):
+    """Log loss on the valid rows after each round of the run that chose the rounds."""
+    _rounds(spark, sf_dir)
+    losses = _FITS[("losses", spark.sparkContext.applicationId, sf_dir, repr(gbt.Variant()))]
+    return spark.createDataFrame([(i + 1, x[0]) for i, x in enumerate(losses)], "round int, valid_log_loss double")
+
+
+# Columns whose bins are their distinct values, so that SQL finds the same cuts.
+_SPLIT_VARIANT = gbt.Variant("without_sketched_columns", drop=["lead_time_days", "adr_eur"])
+
+
+def _split_gains_sql() -> str:
+    nums = [c for c in feat.NUMERIC if c not in _SPLIT_VARIANT.drop]
+    cols = [(c, c in nums) for c in (*nums, *feat.CATEGORICAL)]
+    frame = ("fr AS (SELECT f.booking_id, CAST(f.is_canceled AS INTEGER) AS y, "
+             + ", ".join(f"{_FRAME_NUMERIC.get(c, 'f.' + c)} AS {c}" for c, _ in cols)
+             + f" FROM fct f LEFT JOIN vocab v ON f.agent_id = v.agent_id WHERE f.{_TRAIN})")
+    long = "lo AS (" + " UNION ALL ".join(
+        f"SELECT booking_id, y, {i} AS pos, '{c}' AS feature, CAST({c} AS VARCHAR) AS v, "
+        f"{f'CAST({c} AS DOUBLE)' if number else 'CAST(NULL AS DOUBLE)'} AS nv FROM fr" for i, (c, number) in enumerate(cols)) + ")"
+
+    def level(name: str, nodes: str) -> list[str]:
+        return [f"{name}_hist AS (SELECT node, pos, feature, v, nv, count(*) AS n, sum(p0 - y) AS g, count(*) * any_value(p0 * (1 - p0)) AS h "
+                f"FROM lo JOIN ({nodes}) USING (booking_id), p GROUP BY ALL)",
+                f"{name}_cuts AS (SELECT *, row_number() OVER w AS k, sum(n) OVER w AS nl, sum(g) OVER w AS gl, sum(h) OVER w AS hl, "
+                f"sum(n) OVER a AS nt, sum(g) OVER a AS gt, sum(h) OVER a AS ht FROM {name}_hist "
+                "WINDOW w AS (PARTITION BY node, feature ORDER BY coalesce(nv, g / h), v ROWS UNBOUNDED PRECEDING), a AS (PARTITION BY node, feature))",
+                f"{name}_best AS (SELECT *, gl * gl / (hl + 1) + (gt - gl) * (gt - gl) / (ht - hl + 1) - gt * gt / (ht + 1) AS gain "
+                f"FROM {name}_cuts WHERE nl >= 40 AND nt - nl >= 40 QUALIFY row_number() OVER (PARTITION BY node, feature ORDER BY gain DESC, k) = 1)"]
+
+    return osql.warehouse(upto="fct", extra=(
+        _VOCAB, frame, long, "p AS (SELECT avg(y) AS p0 FROM fr)", *level("r", "SELECT booking_id, 'root' AS node FROM fr"),
+        "top AS (SELECT feature, k FROM r_best ORDER BY gain DESC, pos LIMIT 1)",
+        "sides AS (SELECT lo.booking_id, CASE WHEN c.k <= top.k THEN 'left' ELSE 'right' END AS node FROM lo JOIN top USING (feature) "
+        "JOIN r_cuts c ON c.feature = lo.feature AND c.v = lo.v)", *level("s", "SELECT booking_id, node FROM sides"))) + (
+        "SELECT node, feature, round(gain, 4) AS gain, CAST(least(nl, nt - nl) AS BIGINT) AS n_small, CAST(greatest(nl, nt - nl) AS BIGINT) AS n_large "
+        "FROM (SELECT * FROM r_best UNION ALL SELECT * FROM s_best) WHERE gain > 1e-9")
+
+
+@register("gbt_split_gains", _split_gains_sql())
+def q_gbt_split_gains(spark, sf_dir):
+    """Best gain of each feature at the root of the first tree and at both children of its best split."""
+    from pyspark.sql import functions as F
+    found = gbt.first_split_gains(facts(spark, sf_dir), TEST_START, _SPLIT_VARIANT)
+    return found.where(F.col("gain") > 1e-9).withColumn("gain", F.round("gain", 4))
 
 
 @register("ablation_scores")
@@ -665,6 +723,13 @@ def q_random_split_scores(spark, sf_dir):
     return metrics.classification_scores(gbt.holdout_scores(fct, splits.shuffled_holdout(), _rounds(spark, sf_dir)))
 
 
+@register("random_split_leaky_scores")
+def q_random_split_leaky_scores(spark, sf_dir):
+    """The shuffled split with the leaky columns as well."""
+    fct = facts(spark, sf_dir)
+    return metrics.classification_scores(gbt.holdout_scores(fct, splits.shuffled_holdout(), _rounds(spark, sf_dir), _COMPARISONS[1]))
+
+
 # ---- sources and sinks (round trips through files in the shared scratch folder) ----------------------
 
 from roomledger.session import scratch_path, table_path  # noqa: E402
