@@ -35,6 +35,16 @@ def crc_fold(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(0))
 
 
+def give_back() -> None:
+    """Returns memory that Arrow and the allocator of this process hold without using it; called at the end of a task,
+    since workers live on and the next stage's tasks would come on top."""
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def blocks(text: pa.Array, max_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``max_bytes`` of text, one row at least."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -78,6 +88,7 @@ def map_text(df: DataFrame, text_col: str, keep: list[str] | None, fields: list[
                 arrays += [a if isinstance(a, pa.Array) else pa.array(a) for a in new]
                 yield pa.RecordBatch.from_arrays(arrays, [f"k{j}" for j in range(width)]
                                                  + [f"n{j}" for j in range(len(new))])
+        give_back()
 
     out = slim.mapInArrow(run, schema)
     return out.toDF(*names, *[n for n, _ in fields])

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roomledger.llm.common import blocks, documents, resolved, stored
+from roomledger.llm.common import blocks, documents, give_back, resolved, stored
 from roomledger.llm.token_ids import TokenIds
 
 CAPACITY, END_ID = 4096, 2
@@ -84,6 +84,7 @@ def token_table(df: DataFrame, id_col: str, text_col: str, tokenizer_path: str,
                 longs = [pa.array(x, pa.int64()) for x in (total, start, length, [part] * len(row), nth)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), *longs,
                                                   pa.array(ids, pa.binary())], schema.names)
+        give_back()
 
     return slim.mapInArrow(run, schema)
 

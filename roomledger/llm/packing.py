@@ -18,9 +18,7 @@ columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 import zlib
-from array import array
 from collections import defaultdict
 
 import numpy as np
@@ -30,71 +28,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roomledger.llm.common import Words, blocks, documents, resolved, stored
+from roomledger.llm.common import blocks, documents, give_back, resolved, stored
+from roomledger.llm.token_ids import TokenIds
 
 CAPACITY, END_ID = 4096, 1
-# Text bytes tokenised at once; encoded parts of words kept per task.
-TOKEN_BLOCK_BYTES = 6 << 20
-CACHE_WORDS = 400_000
-# The word pattern of the tokenizer file, for texts of the characters in PLAIN alone, where its
-# normalisation is lower-casing; any other text is given to the tokenizer whole.
-LETTERS = "a-zªµºß-öø-ɏ"
-DIGITS = "0-9²³¹¼-¾"
-WORD = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\s{DIGITS}{LETTERS}]+"
-NOT_PLAIN = "[^\t\n\r\x20-\x7e¡-¬®-įı-ɏ]|<\\|"
-
-
-class Encoder:
-    """Token ids of texts. Each distinct word of a block is looked up once; each distinct part of a word (letters,
-    digit, signs) is encoded once per task."""
-
-    def __init__(self, path: str):
-        import os
-
-        from tokenizers import Tokenizer
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model, self.split = self.tokenizer.model, self.tokenizer.pre_tokenizer
-        self.word, self.other = re.compile(WORD), re.compile(NOT_PLAIN)
-        self.known: dict[str, list[int]] = {}
-
-    def _part(self, part: str) -> list[int]:
-        """Ids of one part (the tokenizer's own split leaves it whole and maps its bytes)."""
-        ids = self.known.get(part)
-        if ids is None:
-            ids = [t.id for t in self.model.tokenize(part if part.isascii() else self.split.pre_tokenize_str(part)[0][0])]
-            if len(self.known) >= CACHE_WORDS:
-                self.known = {}
-            self.known[part] = ids
-        return ids
-
-    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of lower-cased words, one after the other, and their bounds."""
-        flat, size = array("I"), np.zeros(len(words) + 1, np.int64)
-        for i, word in enumerate(words):
-            if word.isalpha():
-                flat.extend(self._part(word))
-            else:
-                for part in self.word.findall(word):
-                    flat.extend(self._part(part))
-            size[i + 1] = len(flat)
-        return np.frombuffer(flat, np.uint32) if len(flat) else np.zeros(0, np.uint32), size
-
-    def __call__(self, text: pa.Array) -> list[bytes]:
-        """Little-endian 32-bit ids per text."""
-        odd = [i for i, t in enumerate(text.to_pylist()) if self.other.search(t)]
-        plain = np.ones(len(text), bool)
-        plain[odd] = False
-        words = Words(pc.utf8_lower(pc.if_else(pa.array(plain), text, "")))
-        ids, bounds = self._words(words.vocab.to_pylist())
-        sizes = np.diff(bounds)[words.codes]
-        places = np.cumsum(sizes) - sizes
-        flat = ids[np.repeat(bounds[:-1][words.codes] - places, sizes) + np.arange(int(sizes.sum()))].astype("<u4")
-        ends = np.concatenate([[0], np.cumsum(sizes)])[words.starts]
-        out = [flat[x:y].tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)]
-        for i in odd:
-            out[i] = np.array(self.tokenizer.encode(text[i].as_py(), add_special_tokens=False).ids, "<u4").tobytes()
-        return out
+# Text bytes tokenised at once.
+TOKEN_BLOCK_BYTES = 4 << 20
 
 
 def piece_table(df: DataFrame, id_col: str, text_col: str, tokenizer_path: str, capacity: int = CAPACITY,
@@ -111,7 +50,7 @@ def piece_table(df: DataFrame, id_col: str, text_col: str, tokenizer_path: str,
     tail, full = np.array([end_id], "<u4").tobytes(), 4 * capacity
 
     def run(batches):
-        encode = Encoder(tokenizer_path)
+        encode = TokenIds(tokenizer_path)
         for batch in batches:
             text = pc.fill_null(batch.column(1), "")
             for lo, hi in blocks(text, TOKEN_BLOCK_BYTES):
@@ -132,6 +71,7 @@ def piece_table(df: DataFrame, id_col: str, text_col: str, tokenizer_path: str,
                 if with_ids:
                     arrays.append(pa.array(ids, pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(arrays, [f.name for f in fields])
+        give_back()
 
     return slim.mapInArrow(run, T.StructType(fields))
 

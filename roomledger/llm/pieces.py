@@ -29,13 +29,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roomledger.llm.common import BLOCK_BYTES, blocks, documents, mix64, resolved
+from roomledger.llm.common import blocks, documents, give_back, mix64, resolved
 
 MARK = "▁"  # written for a space
 LITERAL = "\udc81"  # stands for a MARK of the text; a lone surrogate, so it is no character of any text
 ZIPF, RANK_SHIFT, BYTE_WEIGHT = 1.0, 10.0, 1e-6
 # Longer units are filtered one by one, shorter ones side by side.
 LONG_UNIT = 64
+# Text bytes whose lattice is held at once.
+PIECE_BLOCK_BYTES = 1 << 20
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -284,8 +286,9 @@ class Decoder:
 
 
 def sample_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str | None = None,
-                  seed: int = 7, temperature: float = 1.0) -> DataFrame:
-    """Columns id, ids (sampled piece ids), logprob (of the segmentation given the text)."""
+                  seed: int = 7, temperature: float = 1.0, decoded: bool = False) -> DataFrame:
+    """Columns id, ids (sampled piece ids), logprob (of the segmentation given the text); with ``decoded`` also decoded_crc32
+    and decoded_chars of the text that the ids give back, block by block in the same task."""
     if model_path is None:
         import public_tokenizers
         model_path = public_tokenizers.path("piece_bpe_32k.model")
@@ -294,14 +297,16 @@ def sample_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     slim = flat.select(F.col(f"c{id_at}").alias("id"), F.col(f"c{text_at}").cast("string").alias("text"),
                        F.xxhash64(F.lit(seed), F.col(f"c{id_at}").cast("string")).alias("key"))
     schema = T.StructType([T.StructField("id", slim.schema["id"].dataType),
-                           T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("logprob", T.DoubleType())])
+                           T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("logprob", T.DoubleType())]
+                          + [T.StructField(n, T.LongType()) for n in ("decoded_crc32", "decoded_chars") if decoded])
 
     def run(batches):
         lattice = Lattice(model_path, temperature)
+        decode = Decoder(model_path) if decoded else None
         for batch in batches:
             text = pc.fill_null(batch.column(1), "")
             keys = batch.column(2).to_numpy(zero_copy_only=False).astype(np.uint64)
-            for lo, hi in blocks(text, BLOCK_BYTES):
+            for lo, hi in blocks(text, PIECE_BLOCK_BYTES):
                 units, which, counts = unit_table(text.slice(lo, hi - lo))
                 doc = np.repeat(np.arange(hi - lo), counts)
                 serial = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -310,10 +315,14 @@ def sample_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 logprob = np.bincount(doc[who], logs, minlength=hi - lo)
                 who, codes = spread_bytes(who, codes, lattice.first_byte)
                 bounds = np.concatenate([[0], np.cumsum(np.bincount(doc[who], minlength=hi - lo))])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo),
-                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(codes, pa.int32())),
-                     pa.array(logprob + 0.0)], ["id", "ids", "logprob"])
+                arrays = [batch.column(0).slice(lo, hi - lo),
+                          pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(codes, pa.int32())), pa.array(logprob + 0.0)]
+                if decoded:
+                    texts = decode(codes, bounds)
+                    arrays += [pa.array([zlib.crc32(t) for t in texts], pa.int64()),
+                               pc.utf8_length(pa.array(texts, pa.binary()).view(pa.string())).cast(pa.int64())]
+                yield pa.RecordBatch.from_arrays(arrays, schema.names)
+        give_back()
 
     return slim.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
@@ -340,24 +349,5 @@ def decode_pieces(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", m
 
 def op2_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sampled segmentation of every document and the CRC-32 of the text decoded from it again."""
-    encoded = sample_pieces(documents(spark, sf_dir))
-    ids = encoded.schema["ids"].dataType
-    import public_tokenizers
-    path = public_tokenizers.path("piece_bpe_32k.model")
-    schema = T.StructType([encoded.schema["doc_id"], T.StructField("n_pieces", T.LongType()),
-                           T.StructField("logprob", T.DoubleType()), T.StructField("ids", ids),
-                           T.StructField("decoded_crc32", T.LongType()), T.StructField("decoded_chars", T.LongType())])
-
-    def back(batches):
-        decode = Decoder(path)
-        for batch in batches:
-            n = pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64)
-            bounds = np.concatenate([[0], np.cumsum(n)])
-            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-            texts = decode(flat, bounds)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n), batch.column(2), batch.column(1),
-                 pa.array([zlib.crc32(t) for t in texts], pa.int64()), pc.utf8_length(pa.array(texts, pa.binary()).view(pa.string())).cast(pa.int64())],
-                schema.names)
-
-    return encoded.mapInArrow(back, schema)
+    found = sample_pieces(documents(spark, sf_dir), decoded=True)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "logprob", "ids", "decoded_crc32", "decoded_chars")

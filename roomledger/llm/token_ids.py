@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 
 from roomledger.llm.common import Words
 
-CACHE_WORDS, CACHE_PARTS = 500_000, 50_000
+CACHE_WORDS, CACHE_PARTS = 400_000, 50_000
 # The word pattern of the tokenizer file, for texts of the characters in PLAIN alone, where its
 # normalisation is lower-casing; any other text is given to the tokenizer whole.
 LETTERS = "a-zªµºß-öø-ɏ"
