@@ -7,6 +7,9 @@ tables and further columns; texts that a stage changes get a new ``n_chars``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +24,19 @@ from roomledger.llm.quality_classifier import THRESHOLD, quality_scores, trainin
 NEAR_SHINGLE, NEAR_PERCENT = 5, 80
 
 
+def by_position(stage: Callable) -> Callable:
+    """The stage on columns named by position, except the first ``doc_id``, ``text`` and ``n_chars``: further columns may
+    have any name, also one that a stage uses itself, holds a dot or differs in case only."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = docs.columns
+        plain = [n if n in ("doc_id", "text", "n_chars") and names.index(n) == i else f"column_{i}" for i, n in enumerate(names)]
+        return stage(spark, docs.toDF(*plain), sf_dir).toDF(*names)
+
+    return run
+
+
 def resized(docs: DataFrame, names: list[str]) -> DataFrame:
     """``docs`` with n_chars (if there) set to the text's length."""
     if "n_chars" in docs.columns:
@@ -28,6 +44,7 @@ def resized(docs: DataFrame, names: list[str]) -> DataFrame:
     return docs.select(*names)
 
 
+@by_position
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the quality classifier does not reject."""
     labels = training_labels(documents(spark, sf_dir, "labels"))
@@ -35,6 +52,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return scored.where(F.col("__quality") >= THRESHOLD).drop("__quality")
 
 
+@by_position
 def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later copies of repeated line runs; a document that loses all its words that way goes."""
     deduped = dedup_lines(docs)
@@ -44,6 +62,7 @@ def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return changed.select(*docs.columns)
 
 
+@by_position
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates (a similarity of NEAR_PERCENT of shingles of NEAR_SHINGLE words): the one
     with the smallest id (null ids last), then the smallest text hash. Rows of equal id and text are one document, also
@@ -69,6 +88,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return single.unionByName(folded)
 
 
+@by_position
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data replaced by its kind."""
     masked = find_personal_data(docs, None, redacted="__masked")
