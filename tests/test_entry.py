@@ -5,7 +5,8 @@ import __spark_entry__ as entry
 
 ROWS_ONLY = {"gbt_rounds", "gbt_walk_forward", "gbt_scores", "feature_importance", "ablation_scores",
              "gbt_scored_bookings", "gbt_policy_curve",
-             "random_split_scores", "source_fingerprint"}
+             "random_split_scores", "random_split_leaky_scores",
+             "gbt_splits", "gbt_validation_loss", "source_fingerprint"}
 
 
 def test_entry_runs(spark):
