@@ -32,6 +32,8 @@ CODE_DIFF = np.array([[0, 1, 2, 6], [1, 0, 1, 2], [2, 1, 0, 1], [6, 2, 1, 0]], n
 HEADER_CAP = 12
 # Scores at and beyond the bound mean no likeness: about what unrelated digests reach.
 SCORE_BOUND = 160
+# Characters of a text that order rows of one id between partitions of the range shuffle.
+KEY_CHARS = 32
 
 
 def bucket_counts(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -168,19 +170,21 @@ def fingerprint_chain(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(parts, "id", "text").sortWithinPartitions("id", "text")
+    # Spark sends a sample of the range keys to the driver: of a text only a prefix, which sorts like the text.
+    ordered = rows.repartitionByRange(parts, F.col("id"), F.substring("text", 1, KEY_CHARS)).sortWithinPartitions("id", "text")
     id_type = rows.schema["id"].dataType
     schema = T.StructType([T.StructField("part", T.LongType()), T.StructField("kind", T.StringType()),
                            T.StructField("id", id_type), T.StructField("text", T.StringType())] + NEW)
     done = stored(ordered.mapInArrow(_walk, schema), "fingerprints")
     edge = done.where("kind <> 'row'").select("part", "kind", "id", "text")
-    order = Window.orderBy("part")  # two rows per partition of the shuffle
-    firsts = (edge.where("kind = 'first'").withColumn("n", F.row_number().over(order)).select("n", F.col("text").alias("following")))
-    lasts = edge.where("kind = 'last'").withColumn("n", F.row_number().over(order) + 1)
-    size = F.max("n").over(Window.partitionBy()) - 1
-    lasts = lasts.withColumn("n", F.when(F.col("n") > size, 1).otherwise(F.col("n")))
+    firsts = edge.where("kind = 'first'")
+    whole = Window.partitionBy()
+    # one number per partition of the shuffle goes through the window, the texts are joined to it
+    follow = firsts.select("part", F.coalesce(F.lead("part").over(Window.orderBy("part")), F.min("part").over(whole)).alias("next"))
+    lasts = edge.where("kind = 'last'").join(follow, "part").select("next", "id", "text")
+    firsts = firsts.select(F.col("part").alias("next"), F.col("text").alias("following"))
     close_schema = T.StructType([T.StructField("id", id_type), *NEW])
-    closed = lasts.join(firsts, "n").select("id", "text", "following").mapInArrow(_close, close_schema)
+    closed = lasts.join(firsts, "next").select("id", "text", "following").mapInArrow(_close, close_schema)
     return (done.where("kind = 'row'").select("id", *NAMES).unionByName(closed)
             .select(F.col("id").alias(id_col), *NAMES))
 
