@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import deque
 
 import numpy as np
 import pyarrow as pa
@@ -167,30 +168,36 @@ def features(text: str, s: int, e: int) -> list[int]:
 WIDTH = int(OFFSETS[-1]) + 1  # the last one is the bias
 
 
-def candidates(text: str, s: int, e: int) -> tuple[list[int], list[list[tuple[int, list[int]]]]]:
-    """Unit bounds of an island and, for each unit end, the candidate segments (first unit, features) there.
+def segments(text: str, s: int, e: int):
+    """Unit by unit of an island: the end of the unit and the candidate segments there, (units back, start, features).
 
     A candidate holds four digits or more, or a whole at sign (plain or masked), at least a digit or letter at its
-    ends or an opening sign, and no line end.
+    ends or an opening sign, and no line end. Only the last MAX_UNITS units are held, so an island of any length
+    takes time in proportion and memory of a constant size.
     """
-    bounds = [s] + [s + m.end() for m in UNIT.finditer(text[s:e])]
-    units = [text[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-    good_start = [u[0].isalnum() or u in "+(_%" for u in units]
-    good_end = [u[-1].isalnum() or u == ")" for u in units]
-    number = [len(u) if u[0].isdigit() else 0 for u in units]
-    sign_end = [i + 1 if u == "@" else i + 3 if u in "([" and MASKED.match(text, bounds[i], e) else MAX_UNITS + len(units)
-                for i, u in enumerate(units)]
-    out: list[list[tuple[int, list[int]]]] = [[]]
-    for j in range(1, len(units) + 1):
+    recent: deque = deque(maxlen=MAX_UNITS)  # (start, good start, digits, unit at whose end a sign from here is whole)
+    for j, m in enumerate(UNIT.finditer(text, s, e), 1):
+        unit, at = m.group(), m.start()
+        whole = j if unit == "@" else j + 2 if unit in "([" and MASKED.match(text, at, e) else None
+        recent.append((at, unit[0].isalnum() or unit in "+(_%", len(unit) if unit[0].isdigit() else 0, whole))
         here = []
-        if good_end[j - 1]:
+        if unit[-1].isalnum() or unit == ")":
             digits, sign = 0, False
-            for i in range(j - 1, max(-1, j - 1 - MAX_UNITS), -1):
-                digits += number[i]
-                sign = sign or sign_end[i] <= j
-                if good_start[i] and (digits >= 4 or sign):
-                    here.append((i, [*features(text, bounds[i], bounds[j]), WIDTH - 1]))
-        out.append(here)
+            for back, (start, good, number, at_sign) in enumerate(reversed(recent), 1):
+                digits += number
+                sign = sign or (at_sign is not None and at_sign <= j)
+                if good and (digits >= 4 or sign):
+                    here.append((back, start, [*features(text, start, m.end()), WIDTH - 1]))
+        yield m.end(), here
+
+
+def candidates(text: str, s: int, e: int) -> tuple[list[int], list[list[tuple[int, list[int]]]]]:
+    """Unit bounds of an island and, for each unit end, the candidate segments (first unit, features) there; for the
+    short islands of the training sample, which forward-backward reads twice."""
+    bounds, out = [s], [[]]
+    for j, (end, here) in enumerate(segments(text, s, e), 1):
+        bounds.append(end)
+        out.append([(j - back, f) for back, _, f in here])
     return bounds, out
 
 
@@ -206,25 +213,25 @@ class Field:
     def best(self, text: str, s: int, e: int) -> list[tuple[int, str, int]]:
         """Viterbi: (start, kind, end) of the entities of the best segmentation, if it is MARGIN better than
         none and all of its entities pay."""
-        bounds, ends = candidates(text, s, e)
-        top, back = [0.0], [None]
-        for j in range(1, len(bounds)):
-            best, choice = top[j - 1], None
-            if ends[j]:
-                table = self.scores(ends[j]) - MARGIN
-                start = np.array([i for i, _ in ends[j]])
-                total = table.max(axis=1) + np.array(top)[start]
+        top = deque([0.0], maxlen=MAX_UNITS + 1)  # best scores up to the last unit ends, latest last
+        chosen: dict[int, tuple[int, int, int, int]] = {}  # unit end: (first unit, kind, start, end)
+        j = 0
+        for end, here in segments(text, s, e):
+            j += 1
+            best = top[-1]
+            if here:
+                table = self.scores([(back, f) for back, _, f in here]) - MARGIN
+                total = table.max(axis=1) + np.array([top[-back] for back, _, _ in here])
                 k = int(total.argmax())
                 if total[k] > best:
-                    best, choice = float(total[k]), (int(start[k]), int(table[k].argmax()))
+                    best = float(total[k])
+                    chosen[j] = (j - here[k][0], int(table[k].argmax()), here[k][1], end)
             top.append(best)
-            back.append(choice)
-        found, j = [], len(bounds) - 1
+        found = []
         while j > 0:
-            if back[j]:
-                i, kind = back[j]
-                found.append((bounds[i], KINDS[kind], bounds[j]))
-                j = i
+            if j in chosen:
+                j, kind, start, end = chosen[j]
+                found.append((start, KINDS[kind], end))
             else:
                 j -= 1
         return found[::-1]
