@@ -3,7 +3,7 @@ tables and report documents."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -63,6 +63,47 @@ def rows_checksum(df: DataFrame, name: str, columns: list[str]) -> DataFrame:
         F.lit(name).alias("source"), "n_rows", "checksum")
 
 
+def row_digest(columns: list[str]) -> tuple[Column, Column]:
+    """Two 60-bit numbers out of a row's MD5. Each value is written with its length and a null by a sign of its own, so
+    neither a null nor a value moved to the next column gives an equal text."""
+    text = F.concat(*[F.when(F.col(c).isNull(), F.lit("-")).otherwise(
+        F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string"))) for c in columns])
+    md5 = F.md5(text.cast("binary"))
+    return tuple(F.conv(F.substring(md5, at, 15), 16, 10).cast("decimal(20,0)") for at in (1, 16))
+
+
+def unit_digests(df: DataFrame, unit: Column, columns: list[str] | None = None) -> DataFrame:
+    """(unit, n_rows, digest_a, digest_b) per unit of a table: a file, a folder or the table itself.
+
+    The digests are exact decimal sums of the row digests, so they do not depend on row order or on how files are split,
+    rows that occur several times count as often, and no file is read as one value: the scan splits files of any size
+    and folds each split to one row per unit before the shuffle. A file without rows has no unit.
+    """
+    a, b = row_digest(columns or df.columns)
+    sums = (df.select(unit.alias("unit"), a.alias("a"), b.alias("b")).groupBy("unit")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("a").alias("a"), F.sum("b").alias("b")))
+    return sums.select("unit", "n_rows", F.col("a").cast("string").alias("digest_a"), F.col("b").cast("string").alias("digest_b"))
+
+
+def file_digests(spark: SparkSession, path: str, unit: Column | None = None) -> DataFrame:
+    """:func:`unit_digests` of a parquet table by file name (or by ``unit``, made from ``_metadata``)."""
+    df = spark.read.parquet(path)
+    return unit_digests(df, F.col("_metadata.file_name") if unit is None else unit, df.columns)
+
+
+def check_manifest(found: DataFrame, manifest: DataFrame) -> DataFrame:
+    """(unit, rows_listed, rows_found, status) of every unit of the manifest or the delivery: ``ok``, ``missing``,
+    ``unlisted``, ``rows`` (another number of rows) or ``changed`` (as many rows, other contents)."""
+    m, f = manifest.alias("m"), found.alias("f")
+    status = (F.when(F.col("f.n_rows").isNull(), "missing").when(F.col("m.n_rows").isNull(), "unlisted")
+              .when(F.col("m.n_rows") != F.col("f.n_rows"), "rows")
+              .when((F.col("m.digest_a") != F.col("f.digest_a")) | (F.col("m.digest_b") != F.col("f.digest_b")), "changed")
+              .otherwise("ok"))
+    return m.join(f, F.col("m.unit").eqNullSafe(F.col("f.unit")), "full").select(
+        F.coalesce("m.unit", "f.unit").alias("unit"), F.col("m.n_rows").alias("rows_listed"),
+        F.col("f.n_rows").alias("rows_found"), status.alias("status"))
+
+
 def verify_fingerprints(actual: DataFrame, expected: DataFrame) -> DataFrame:
     """Files whose hash differs from (or is missing in) the pinned manifest ``expected(file, sha256)``."""
     return expected.join(actual.select("file", F.col("sha256").alias("actual")), "file", "left").filter(

@@ -2,6 +2,8 @@
 
 import hashlib
 
+from pyspark.sql import functions as F
+
 from roomledger.operators.rowid import with_row_id
 from roomledger.session import scratch_path
 from roomledger.sources import files
@@ -66,3 +68,37 @@ def test_read_table_orders_only_when_asked(spark):
     spark.range(0, 50).selectExpr("49 - id AS k").repartition(3).write.parquet(path)
     assert [r.k for r in files.read_table(spark, path, order_by=["k"]).collect()] == list(range(50))
     assert files.read_table(spark, path).count() == 50
+
+
+def test_manifest_check_sees_every_planted_fault(spark):
+    rows = [(i, None if i % 3 else f"v{i}", f"w{i}" if i % 2 else None, i / 4) for i in range(60)]
+    schema = "k long, a string, b string, x double"
+
+    def deliver(name, groups):
+        path = scratch_path(spark, name)
+        for unit, part in groups.items():
+            spark.createDataFrame(part, schema).repartition(2).write.parquet(f"{path}/unit={unit}")
+        return files.file_digests(spark, path, F.regexp_extract("_metadata.file_path", "/unit=([a-z_]+)/", 1))
+
+    clean = {u: rows[n * 10:n * 10 + 10] for n, u in enumerate(("same", "changed", "short", "twice", "moved", "gone"))}
+    faulty = {
+        "same": clean["same"][::-1],
+        "changed": [(10, "other", None, 2.5), *clean["changed"][1:]],
+        "short": clean["short"][1:],
+        "twice": [*clean["twice"][2:], clean["twice"][5], clean["twice"][5]],  # as many rows, one of them three times
+        "moved": [(k, b, a, x) for k, a, b, x in clean["moved"]],
+        "new": rows[:4]}
+    got = {r.unit: (r.rows_listed, r.rows_found, r.status)
+           for r in files.check_manifest(deliver("delivered", faulty), deliver("listed", clean)).collect()}
+    assert got == {"same": (10, 10, "ok"), "changed": (10, 10, "changed"), "short": (10, 9, "rows"), "twice": (10, 10, "changed"),
+                   "moved": (10, 10, "changed"), "gone": (10, None, "missing"), "new": (None, 4, "unlisted")}
+
+
+def test_file_digests_split_one_file_over_tasks(spark):
+    path = f"{SF_SMALL}/orders.parquet"
+    whole = files.file_digests(spark, path).collect()
+    rows = spark.read.parquet(path)
+    assert [r.unit for r in whole] == ["orders.parquet"]
+    spread = files.unit_digests(rows.repartition(5), F.lit("orders.parquet"), rows.columns).collect()
+    assert whole == spread
+    assert files.unit_digests(rows.limit(0), F.lit("x"), rows.columns).count() == 0
