@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from roomledger.functions import as_int, parse_month_name_date
 from roomledger.operators.rowid import with_row_id
+from roomledger.session import scratch_path
 
 DEFAULT_ADR_CEILING = 1000.0
 
@@ -90,18 +91,25 @@ def stage_bookings(raw: DataFrame, adr_ceiling: float = DEFAULT_ADR_CEILING) ->
 
 
 def flag_identical_rows(df: DataFrame, key: list[str], flag: str = "dq_identical_to_another_row") -> DataFrame:
-    """``count(*) over (partition by key) > 1`` without putting a whole group into one task.
+    """``count(*) over (partition by key) > 1`` in one read of ``df`` and without putting a whole group into one task.
 
-    A window would hash every row of a key to one task; if a third of the table is one repeated row,
-    that task gets a third of the table. Instead the keys are counted with a partial (map-side)
-    aggregate, which folds a hot key into one row per map task, and only keys seen more than once are
-    joined back, null-safe on every column like ``partition by``. AQE splits a hot key on the big side
-    of that join, or turns it into a broadcast join when the repeated-key table measures small.
+    The rows are written once to the shared folder with a 128-bit digest of ``key`` (null-safe). Counting then reads and
+    shuffles 16 bytes a row instead of the key columns; a partial (map-side) aggregate folds a hot key to one row per
+    task. Only rows of repeated digests are compared on the key columns themselves, so digests that collide change
+    nothing, and the confirmed keys are joined back, null-safe on every column like ``partition by``. AQE splits a
+    hot key on the big side of the joins, or broadcasts the repeated keys when their table measures small.
     """
-    repeated = (df.groupBy(*key).count().filter(F.col("count") > 1)
-                .select(*[F.col(c).alias(f"__twin_{n}") for n, c in enumerate(key)],
-                        F.lit(True).alias("__twin_hit")))
-    cond = [df[c].eqNullSafe(repeated[f"__twin_{n}"]) for n, c in enumerate(key)]
-    joined = df.join(repeated, cond, "left")
-    return joined.select(*[df[c] for c in df.columns],
+    nulls = F.concat(*[F.when(F.col(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in key])
+    names = ["__digest_a", "__digest_b"]
+    path = scratch_path(df.sparkSession, "rows-with-digest")
+    digested = df.select("*", F.xxhash64(nulls, *key).alias(names[0]), F.xxhash64(*reversed(key), nulls).alias(names[1]))
+    digested.write.parquet(path)
+    rows = df.sparkSession.read.schema(digested.schema).parquet(path)
+    repeated = rows.groupBy(*names).count().filter(F.col("count") > 1).select(*names)
+    confirmed = (rows.join(repeated, names, "left_semi").groupBy(*names, *key).count().filter(F.col("count") > 1)
+                 .select(*[F.col(c).alias(f"__twin_{n}") for n, c in enumerate([*names, *key])], F.lit(True).alias("__twin_hit")))
+    cond = ([rows[c] == confirmed[f"__twin_{n}"] for n, c in enumerate(names)]
+            + [rows[c].eqNullSafe(confirmed[f"__twin_{n}"]) for n, c in enumerate(key, len(names))])
+    joined = rows.join(confirmed, cond, "left")
+    return joined.select(*[rows[c] for c in df.columns],
                          F.coalesce(F.col("__twin_hit"), F.lit(False)).alias(flag))

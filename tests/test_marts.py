@@ -30,6 +30,28 @@ def test_identical_rows_are_null_safe_and_survive_a_hot_key(spark):
     assert out[1000] and out[1001] and not out[1002] and not out[1003]
 
 
+def test_identical_rows_with_colliding_digests(spark, monkeypatch):
+    from roomledger.operators import staging
+    rows = [(i, "ab"[i % 2] if i < 8 else f"x{i}", None if i == 9 else 1.5) for i in range(14)]
+    df = spark.createDataFrame(rows, "id long, k string, v double")
+    want = {i: i < 8 for i in range(14)}
+    monkeypatch.setattr(staging.F, "xxhash64", lambda *a: F.lit(7).cast("long"))
+    got = {r.id: r.twin for r in flag_identical_rows(df, ["k", "v"], "twin").collect()}
+    assert got == want
+    monkeypatch.undo()
+    assert {r.id: r.twin for r in flag_identical_rows(df, ["k", "v"], "twin").collect()} == want
+    assert flag_identical_rows(df.limit(0), ["k", "v"], "twin").count() == 0
+
+
+def test_identical_rows_are_flagged_in_one_read_of_the_sources(spark):
+    from roomledger.operators.staging import stage_bookings
+    from roomledger.sources.fixtures import load_raw_bookings
+    out = stage_bookings(load_raw_bookings(spark, SF_SMALL))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    leaves = out._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+    assert "o_orderkey" not in plan and "c_custkey" not in plan and leaves == 3
+
+
 def test_one_pass_drivers_equal_the_union_form(spark):
     fct = facts(spark, SF_SMALL)
     a = marts.cancellation_drivers(fct)
