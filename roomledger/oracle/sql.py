@@ -353,6 +353,39 @@ prior AS (
 )"""
 
 
+def backoff_cte(valid_start: str, test_start: str, keys: tuple[str, ...], weight: float, name: str = "scored") -> str:
+    """Back-off scores level by level; earlier bookings by a join on the months before, not by windows."""
+    out = ["""
+l0 AS (
+    SELECT m.arrival_month AS mo,
+        CAST(count(f.booking_id) FILTER (WHERE f.is_canceled) + 1 AS DOUBLE) / CAST(count(f.booking_id) + 2 AS DOUBLE) AS p
+    FROM (SELECT DISTINCT arrival_month FROM fct) m LEFT JOIN fct f ON f.arrival_month < m.arrival_month GROUP BY 1
+)"""]
+    for d in range(1, len(keys) + 1):
+        own, above = keys[:d], keys[:d - 1]
+        cols = ", ".join(own)
+        same = " AND ".join([f"s.{k} IS NOT DISTINCT FROM b.{k}" for k in own])
+        up = " AND ".join(["q.mo = s.mo", *[f"q.{k} IS NOT DISTINCT FROM s.{k}" for k in above]])
+        out.append(f"""
+s{d} AS (SELECT {cols}, arrival_month AS mo, count(*) AS n, count(*) FILTER (WHERE is_canceled) AS c FROM fct GROUP BY ALL),
+e{d} AS (
+    SELECT {", ".join(f"s.{k}" for k in own)}, s.mo, CAST(coalesce(sum(b.n), 0) AS DOUBLE) AS n, CAST(coalesce(sum(b.c), 0) AS DOUBLE) AS c
+    FROM s{d} s LEFT JOIN s{d} b ON {same} AND b.mo < s.mo GROUP BY ALL
+),
+l{d} AS (SELECT {", ".join(f"s.{k}" for k in own)}, s.mo, (s.c + {weight!r}::DOUBLE * q.p) / (s.n + {weight!r}::DOUBLE) AS p
+    FROM e{d} s JOIN l{d - 1} q ON {up})""")
+    on = " AND ".join(["q.mo = f.arrival_month", *[f"q.{k} IS NOT DISTINCT FROM f.{k}" for k in keys]])
+    out.append(f"""
+{name} AS (
+    SELECT f.booking_id,
+        CASE WHEN f.arrival_date >= DATE '{test_start}' THEN 'test'
+             WHEN f.arrival_date >= DATE '{valid_start}' THEN 'valid' END AS split,
+        f.hotel, f.arrival_date, f.deposit_type, f.nights, f.adr_eur, f.room_revenue_eur, f.is_canceled, q.p AS p_cancel
+    FROM fct f JOIN l{len(keys)} q ON {on} WHERE f.arrival_date >= DATE '{valid_start}'
+)""")
+    return ",".join(out)
+
+
 def scores_ctes(src: str, p: str = "") -> str:
     """CTEs ``{p}t .. {p}rec`` computing the score record over ``src`` (columns is_canceled, p_cancel)."""
     eps = "2.220446049250313e-16"

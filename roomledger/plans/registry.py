@@ -273,14 +273,14 @@ SCORED = osql.warehouse(upto="fct", extra=(osql.scored_cte(VALID_START, TEST_STA
 _SCORED: dict = {}
 
 
-def scored(spark, sf_dir):
+def scored(spark, sf_dir, scorer=scoring.prior_rate_scores):
     """The scored table of the session: written once (partitioned by split, A05) and read back (A06), as
     the scoring run hands it to the backtest."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, scorer.__name__)
     if key not in _SCORED:
         from roomledger.session import scratch_path
         path = scratch_path(spark, "scored-bookings")
-        table = scoring.scored_bookings(facts(spark, sf_dir), VALID_START, TEST_START)
+        table = scoring.scored_bookings(facts(spark, sf_dir), VALID_START, TEST_START, scorer)
         table.write.mode("overwrite").partitionBy("split").parquet(path)
         _SCORED[key] = spark.read.schema(table.schema).parquet(path).select(*table.columns)
     return _SCORED[key]
@@ -345,6 +345,50 @@ def q_forecast_error(spark, sf_dir):
     return metrics.forecast_error(metrics.weekly_forecast(_split(scored(spark, sf_dir), "test")))
 
 
+# the same evaluation over the back-off scorer, whose scores are many distinct values
+
+def _backoff_sql(*ctes):
+    return osql.warehouse(upto="fct", extra=(
+        osql.backoff_cte(VALID_START, TEST_START, ("market_segment", "customer_type", "lead_time_band", "country_code", "hotel",
+                                                   "meal_plan"), 10.0), *ctes))
+
+
+_BACKOFF_TEST = "(SELECT * FROM scored WHERE split = 'test')"
+
+
+def backoff_scored(spark, sf_dir, split=None):
+    table = scored(spark, sf_dir, scoring.backoff_scores)
+    return _split(table, split) if split else table
+
+
+@register("backoff_scored", _backoff_sql() + "SELECT * FROM scored")
+def q_backoff_scored(spark, sf_dir):
+    """Valid + test bookings scored by nested segment rates of earlier months, each shrunk to its parent."""
+    return backoff_scored(spark, sf_dir)
+
+
+@register("backoff_classification_scores", _backoff_sql()[:-1] + "," + osql.scores_sql(_BACKOFF_TEST))
+def q_backoff_classification_scores(spark, sf_dir):
+    return metrics.classification_scores(backoff_scored(spark, sf_dir, "test"))
+
+
+@register("backoff_calibration", _backoff_sql()[:-1] + "," + osql.calibration_sql(_BACKOFF_TEST, _TENTHS, _TENTH_LABELS))
+def q_backoff_calibration(spark, sf_dir):
+    return metrics.calibration_table(backoff_scored(spark, sf_dir, "test"))
+
+
+@register("backoff_weekly_forecast", _backoff_sql(osql.weekly_cte(_BACKOFF_TEST)) + "SELECT * FROM weekly")
+def q_backoff_weekly_forecast(spark, sf_dir):
+    return metrics.weekly_forecast(backoff_scored(spark, sf_dir, "test"))
+
+
+@register("backoff_policy_curve", _backoff_sql(
+    "e_test AS (SELECT * FROM scored WHERE split = 'test' AND deposit_type = 'No Deposit')",
+    osql.curve_cte("e_test", "c_test", policy.BASE_WALKAWAY, policy.BASE_RESALE)) + "SELECT * FROM c_test")
+def q_backoff_policy_curve(spark, sf_dir):
+    return policy.threshold_curve(policy.eligible(backoff_scored(spark, sf_dir, "test")))
+
+
 _TWIN_FCT = [c for c in TWIN_KEY if c != "reservation_status_date"]
 # written out here on its own: the highest quarter of the first 32 bits of md5('split-7:<id>')
 _HOLD = "('0x' || substr(md5('split-7:' || CAST(booking_id AS VARCHAR)), 1, 8))::BIGINT >= 3221225472"
@@ -775,6 +819,62 @@ def q_source_checksum(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+_DIGEST_COLUMNS = {"orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+                   "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]}
+
+
+def _digest_sql(table, columns):
+    text = " || ".join(f"coalesce(CAST(length(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns)
+    a, b = (f"CAST(sum(('0x' || substr(h, {at}, 15))::BIGINT) AS VARCHAR)" for at in (1, 16))
+    return f"SELECT '{table}' AS unit, count(*) AS n_rows, {a} AS digest_a, {b} AS digest_b FROM (SELECT md5({text}) AS h FROM {table})"
+
+
+@register("source_digests", " UNION ALL ".join(_digest_sql(t, c) for t, c in _DIGEST_COLUMNS.items()))
+def q_source_digests(spark, sf_dir):
+    """Order-free, null-safe digests of all columns of the tables the warehouse is built from."""
+    from pyspark.sql import functions as F
+    parts = [files.unit_digests(spark.read.parquet(table_path(sf_dir, t)), F.lit(t), cols) for t, cols in _DIGEST_COLUMNS.items()]
+    return parts[0].unionByName(parts[1])
+
+
+_LISTED = "listed AS (SELECT o_orderkey % 8 AS unit, o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders)"
+# the planted faults of q_manifest_check, and the check by comparing rows themselves
+_MANIFEST_SQL = f"""WITH {_LISTED},
+found AS (
+    SELECT unit, o_orderkey, o_custkey,
+        CASE WHEN o_orderkey % 1000 = 5 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
+        CASE WHEN o_orderkey % 1000 = 5 THEN o_orderstatus WHEN o_orderkey % 1000 = 1 THEN NULL ELSE o_orderpriority END AS o_orderpriority
+    FROM listed WHERE unit <> 4 AND o_orderkey % 1000 <> 2
+    UNION ALL SELECT l.* FROM listed l, range(2) WHERE o_orderkey % 1000 = 3
+    UNION ALL SELECT 9, o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM listed WHERE o_orderkey % 1000 = 7),
+a AS (SELECT unit, count(*) AS n FROM listed GROUP BY 1), b AS (SELECT unit, count(*) AS n FROM found GROUP BY 1),
+d AS (SELECT DISTINCT unit FROM ((SELECT * FROM listed EXCEPT ALL SELECT * FROM found) UNION ALL (SELECT * FROM found EXCEPT ALL SELECT * FROM listed)))
+SELECT CAST(coalesce(a.unit, b.unit) AS VARCHAR) AS unit, a.n AS rows_listed, b.n AS rows_found,
+    CASE WHEN b.n IS NULL THEN 'missing' WHEN a.n IS NULL THEN 'unlisted' WHEN a.n <> b.n THEN 'rows'
+         WHEN coalesce(a.unit, b.unit) IN (SELECT unit FROM d) THEN 'changed' ELSE 'ok' END AS status
+FROM a FULL JOIN b ON a.unit = b.unit"""
+
+
+@register("manifest_check", _MANIFEST_SQL)
+def q_manifest_check(spark, sf_dir):
+    """Orders delivered in eight shards with changed, missing, repeated and misplaced rows, a missing and an unlisted
+    shard, checked against the manifest of the clean shards (A02)."""
+    from pyspark.sql import functions as F
+    nth = F.col("o_orderkey") % 1000
+    listed = spark.read.parquet(table_path(sf_dir, "orders")).select(
+        (F.col("o_orderkey") % 8).alias("shard"), "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    faulty = listed.where((F.col("shard") != 4) & (nth != 2)).select(
+        F.explode(F.array_repeat("shard", F.when(nth == 3, 3).otherwise(1))).alias("shard"), "o_orderkey", "o_custkey",
+        F.when(nth != 5, F.col("o_orderstatus")).alias("o_orderstatus"),
+        F.when(nth == 5, F.col("o_orderstatus")).when(nth != 1, F.col("o_orderpriority")).alias("o_orderpriority"))
+    extra = listed.where(nth == 7).withColumn("shard", F.lit(9).cast("long"))
+    clean, delivered = scratch_path(spark, "manifest-clean"), scratch_path(spark, "manifest-delivered")
+    files.write_table(listed, clean, ["shard"])
+    files.write_table(faulty.unionByName(extra).repartition("o_custkey"), delivered, ["shard"])
+    shard = F.regexp_extract("_metadata.file_path", "/shard=([0-9]+)/", 1)
+    return files.check_manifest(files.file_digests(spark, delivered, shard), files.file_digests(spark, clean, shard))
+
+
 @register("scored_parquet_round_trip", SCORED + "SELECT * FROM scored WHERE split = 'test'")
 def q_scored_parquet_round_trip(spark, sf_dir):
     """Scored table written partitioned by split, read back with a partition filter."""
