@@ -979,3 +979,74 @@ def q_dq_run_log_warnings(spark, sf_dir):
     path = scratch_path(spark, "run-log")
     files.write_report(dq.run_log(_rule_results(spark, sf_dir)), path)
     return dq.warnings_from_run_log(files.read_report(spark, path, multiline=True))
+
+
+def _document_sql(sections):
+    """Rows of a document in SQL: (section, source, order, number fields, text fields) each."""
+    out = []
+    for name, src, order, numbers, texts in sections:
+        place = f"(SELECT *, row_number() OVER (ORDER BY {order}) - 1 AS item FROM {src})"
+        out += [f"SELECT '{name}' AS section, CAST(item AS BIGINT) AS item, '{f}' AS field, CAST({f} AS DOUBLE) AS value, "
+                f"CAST(NULL AS VARCHAR) AS label FROM {place}" for f in numbers]
+        out += [f"SELECT '{name}', CAST(item AS BIGINT), '{f}', CAST(NULL AS DOUBLE), CAST({f} AS VARCHAR) FROM {place}" for f in texts]
+    return "\nUNION ALL\n".join(out)
+
+
+_SCORE_FIELDS = ["roc_auc", "accuracy", "precision", "recall", "brier", "log_loss", "base_rate", "majority_class_accuracy", "n"]
+_SPLIT_SIZES = (f"(SELECT count(*) FILTER (WHERE arrival_date < DATE '{VALID_START}') AS fit, "
+                f"count(*) FILTER (WHERE arrival_date >= DATE '{VALID_START}' AND arrival_date < DATE '{TEST_START}') AS valid, "
+                f"count(*) FILTER (WHERE arrival_date < DATE '{TEST_START}') AS train, "
+                f"count(*) FILTER (WHERE arrival_date >= DATE '{TEST_START}') AS test FROM fct)")
+_WEEKLY_ERROR = ("(SELECT count(*) AS weeks, round(sum(abs(predicted - actual)) / sum(actual), 4) AS weighted_abs_error, "
+                 "round(sum(predicted), 1) AS total_predicted, sum(actual) AS total_actual, "
+                 "round((sum(predicted) - sum(actual)) / sum(actual), 4) AS total_error FROM weekly)")
+
+
+@register("model_report_round_trip", _backoff_sql(
+    osql.weekly_cte(_BACKOFF_TEST), *[osql.scores_ctes(f"(SELECT * FROM scored WHERE split = '{x}')", f"{x}_") for x in ("test", "valid")],
+    f"cal AS (WITH {osql.calibration_sql(_BACKOFF_TEST, _TENTHS, _TENTH_LABELS)})") + _document_sql([
+        ("split", _SPLIT_SIZES, "fit", ["fit", "valid", "train", "test"], []),
+        ("test", "test_rec", "n", _SCORE_FIELDS, []), ("valid", "valid_rec", "n", _SCORE_FIELDS, []),
+        ("calibration", "cal", "bin_index", ["bin_index", "n", "predicted", "actual"], ["bin"]),
+        ("weekly_forecast", _WEEKLY_ERROR, "weeks", ["weeks", "weighted_abs_error", "total_predicted", "total_actual", "total_error"], []),
+        ("weekly", "weekly", "hotel, week", ["bookings", "predicted", "actual"], ["hotel", "week"])]))
+def q_model_report_round_trip(spark, sf_dir):
+    """The whole metrics document of a scored run, written as JSON, read back and laid out in rows."""
+    from roomledger.plans.reports import document_rows, model_report
+    doc = model_report(facts(spark, sf_dir), backoff_scored(spark, sf_dir), VALID_START, TEST_START)
+    path = scratch_path(spark, "model-report")
+    files.write_report(doc, path)
+    return document_rows(spark.read.schema(doc.schema).json(path))
+
+
+_R4 = "round({0}, 4) AS {0}".format
+
+
+@register("dashboard_payload", osql.warehouse(upto="all", extra=(osql.rule_results_sql(FIRST_ARRIVAL, LAST_ARRIVAL),)) + _document_sql([
+    ("totals", "(SELECT count(*) AS bookings, round(avg(is_canceled::INTEGER), 4) AS cancellation_rate, "
+               "round(sum(cancelled_revenue_eur), 4) AS cancelled_revenue, round(sum(realized_revenue_eur), 4) AS realized_revenue, "
+               "min(arrival_date) AS first_arrival, max(arrival_date) AS last_arrival FROM fct)", "bookings",
+     ["bookings", "cancellation_rate", "cancelled_revenue", "realized_revenue"], ["first_arrival", "last_arrival"]),
+    ("quality", "(" + ORACLE["quality_counters"][len(STG):] + ")", "source_rows",
+     ["source_rows", "negative_adr", "adr_outlier", "zero_guests", "excluded", "identical_rows", "unknown_country"], []),
+    ("tests", f"(SELECT count(*) AS tests, count(*) FILTER (WHERE status = 'pass') AS passed, count(*) FILTER (WHERE status = 'warn') AS warned, "
+              f"count(*) FILTER (WHERE status IN ('fail', 'error')) AS failed, {WAREHOUSE_MODELS} AS models FROM results)", "tests",
+     ["tests", "passed", "warned", "failed", "models"], []),
+    ("warnings", "(SELECT test, failures FROM results WHERE status = 'warn')", "test", ["failures"], ["test"]),
+    ("monthly", f"(SELECT * REPLACE ({_R4('cancellation_rate')}, {_R4('realized_revenue_eur')}, {_R4('cancelled_revenue_eur')}, "
+                f"{_R4('realized_adr_eur')}) FROM monthly)", "hotel, arrival_month",
+     ["bookings", "cancellations", "no_shows", "cancellation_rate", "room_nights_sold", "realized_revenue_eur", "cancelled_revenue_eur",
+      "realized_adr_eur"], ["hotel", "arrival_month"]),
+    ("drivers", f"(SELECT * REPLACE ({_R4('cancellation_rate')}, {_R4('cancelled_revenue_eur')}) FROM drivers)", "dimension, value",
+     ["bookings", "cancellations", "cancellation_rate", "cancelled_revenue_eur"], ["dimension", "value"]),
+    ("cancel_timing", "(SELECT hotel, round(quantile_cont(cancelled_days_before_arrival, 0.5), 4) AS median_days, "
+                      "round(avg((cancelled_days_before_arrival <= 7)::INTEGER), 4) AS share_last_week "
+                      "FROM fct WHERE reservation_status = 'Canceled' GROUP BY hotel)", "hotel", ["median_days", "share_last_week"], ["hotel"])]))
+def q_dashboard_payload(spark, sf_dir):
+    """Every section of the page as one JSON document, written, read back and laid out in rows."""
+    from roomledger.plans.dashboard import dashboard_sections
+    from roomledger.plans.reports import dashboard_document, document_rows
+    doc = dashboard_document(dashboard_sections(materialized(spark, sf_dir), _rule_results(spark, sf_dir), WAREHOUSE_MODELS))
+    path = scratch_path(spark, "dashboard")
+    files.write_report(doc, path)
+    return document_rows(spark.read.schema(doc.schema).json(path))

@@ -49,3 +49,54 @@ def policy_report(valid: DataFrame, test: DataFrame, walkaway: float = policy.BA
         _rows(policy.sensitivity_from_buckets(vb, tb), "walkaway").scalar().alias("sensitivity"),
         _rows(curve, "threshold").scalar().alias("threshold_curve_base_case"),
     )
+
+
+def model_report(fct: DataFrame, scored: DataFrame, valid_start: str, test_start: str, **tables: DataFrame) -> DataFrame:
+    """The model run's whole metrics document (L07): split sizes, both periods' scores, the weekly table with its error and
+    the nested calibration table. Further small tables, such as importances or comparison runs, become lists under their names.
+
+    The scored rows are read for the scores, and once more for the weekly and the calibration sums; every list has at
+    most one entry per hotel and week, per bin, or per row of ``tables``.
+    """
+    from roomledger.operators import metrics, splits
+    from roomledger.session import checkpoint_root
+
+    checkpoint_root(scored.sparkSession)
+    test = scored.filter(F.col("split") == "test")
+    weekly = metrics.weekly_forecast(test).checkpoint(eager=True)
+    return _one(splits.split_sizes(fct, valid_start, test_start)).select(
+        F.col("v").alias("split"),
+        _one(metrics.classification_scores(test)).scalar().alias("test"),
+        _one(metrics.classification_scores(scored.filter(F.col("split") == "valid"))).scalar().alias("valid"),
+        _rows(metrics.calibration_table(test), "bin_index").scalar().alias("calibration"),
+        _one(metrics.forecast_error(weekly)).scalar().alias("weekly_forecast"),
+        _rows(weekly, "hotel").scalar().alias("weekly"),
+        *[_rows(df, df.columns[0]).scalar().alias(name) for name, df in tables.items()])
+
+
+def dashboard_document(sections: dict[str, DataFrame], single: tuple[str, ...] = ("totals", "quality", "tests")) -> DataFrame:
+    """The page payload as one document: ``single`` sections as one record, the others as lists sorted by their columns."""
+    first, *rest = [(_one(df) if name in single else _rows(df, df.columns[0]), name) for name, df in sections.items()]
+    return first[0].select(F.col("v").alias(first[1]), *[doc.scalar().alias(name) for doc, name in rest])
+
+
+def document_rows(doc: DataFrame) -> DataFrame:
+    """A one-row document of structs and lists of structs as rows (section, item, field, value, label): numbers in
+    ``value``, other fields as text in ``label``; ``item`` counts a list's entries from 0."""
+    parts = []
+    for f in doc.schema.fields:
+        listed = hasattr(f.dataType, "elementType")
+        entry = f.dataType.elementType if listed else f.dataType
+        rows = (doc.select(F.posexplode(f.name).alias("item", "e")) if listed
+                else doc.select(F.lit(0).alias("item"), F.col(f.name).alias("e")))
+        fields = []
+        for g in entry.fields:
+            number = g.dataType.simpleString() in ("int", "bigint", "double") or g.dataType.simpleString().startswith("decimal")
+            c = F.col("e").getField(g.name)
+            fields.append(F.struct(F.lit(g.name).alias("field"), (c.cast("double") if number else F.lit(None).cast("double")).alias("value"),
+                                   (F.lit(None).cast("string") if number else c.cast("string")).alias("label")))
+        parts.append(rows.select(F.lit(f.name).alias("section"), F.col("item").cast("long").alias("item"), F.inline(F.array(*fields))))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
