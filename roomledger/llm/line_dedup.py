@@ -7,7 +7,8 @@ document, a distinct, a sort of the distinct pairs and a join, until no rank spl
 
 Suffixes in rank order, ties by position, are the suffix array. The common prefix of neighbours follows
 from the rounds: ranks that never part mean the whole rest; ranks that part after m rounds mean fewer than
-2**m lines, compared directly. Only irreducible neighbours (different line in front) are compared; any other value is
+2**m lines; the first half of these is known to be equal, the rest is compared line by line, one row a line, so no task
+holds a document. Only irreducible neighbours (different line in front) are compared; any other value is
 the one of the position before, less one, so the compared lines stay within n log n. Neighbours whose common prefix
 has MIN_WORDS words or more are joined into intervals; all of an interval's suffixes share its smallest common
 prefix. Its first position is the original, and the run at every later one is deleted.
@@ -18,6 +19,10 @@ as a run's end: the shortest run of MIN_WORDS words that ends there is named by
 MIN_WORDS words or more lies in the shortest such run from the run's start, or in the shortest one that ends at the line
 itself; so both together delete exactly the union of all maximal repeated runs, first copies left out.
 
+The deleted line numbers go to the texts by one plan at every size: a Bloom filter of FILTER_WORDS longs (fixed, 4 MB) over
+the keys of documents that lose lines tells which texts may be concerned; these are joined by a shuffle, all others
+pass by unmoved. A crowded filter lets more texts into the join, the result is the same.
+
 Defined results: null and empty texts stay as they are; rows with equal id and text are one document and get the same
 result; null ids come first in the order; runs may repeat within a document; a document may lose all lines (empty text);
 extra columns are ignored.
@@ -25,33 +30,39 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roomledger.llm.common import documents, resolved, stored
 
 MIN_WORDS = 20
-# The table of deleted line numbers is broadcast to the documents up to this measured size, beyond it joined by a shuffle.
-BROADCAST_BYTES = 32 << 20
+# Longs of the Bloom filter over documents that lose lines, and its bits per document: 2 % false hits at 4 million of them.
+FILTER_WORDS, FILTER_HASHES = 1 << 19, 3
 SPACES = "[\\x20\\x09-\\x0D]+"
 
 
 def count_words(line: Column) -> Column:
-    return F.size(F.array_remove(F.split(line, SPACES), ""))
+    """Words of a line. Where single spaces part them, the spaces are counted; only other lines are split."""
+    odd = line.contains("  ") | line.startswith(" ") | line.endswith(" ") | line.rlike("[\\x09-\\x0D]") | (line == "")
+    spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
+    return F.when(~odd, spaces + 1).otherwise(F.size(F.array_remove(F.split(line, SPACES), "")))
 
 
 def repeated_lines(keyed: DataFrame) -> DataFrame:
     """Lines that occur twice or more (``keyed``: id, r, text): id, r, at, h, g, w; h and g identify the line."""
     lines = keyed.select("id", "r", F.posexplode(F.split("text", "\n")).alias("at", "line")).select(
         "id", "r", "at", F.xxhash64("line").alias("h"), F.hash("line").alias("g"), count_words(F.col("line")).alias("w"))
+    lines = stored(lines, "all-lines")  # hashes and counts only, so the texts are split once
     often = lines.groupBy("h", "g").agg(F.count("*").alias("n")).where("n > 1").select("h", "g")
     return lines.join(often, ["h", "g"]).dropDuplicates(["id", "r", "at"])
 
 
-def numbered(rows: DataFrame, a: str, b: str, name: str) -> DataFrame:
-    """``rows`` with the order number of their pair (a, b) as ``name`` (growing, with gaps)."""
-    pairs = rows.select(a, b).distinct().orderBy(a, b).withColumn(name, F.monotonically_increasing_id())
-    return rows.join(stored(pairs, "ranks"), [a, b]).drop(a, b)
+def numbered(rows: DataFrame, a: str, b: str, name: str) -> tuple[DataFrame, int]:
+    """``rows`` with the order number of their pair (a, b) as ``name`` (growing, with gaps), and the number of pairs."""
+    pairs = stored(rows.select(a, b).distinct().orderBy(a, b).withColumn(name, F.monotonically_increasing_id()), "ranks")
+    return rows.join(pairs, [a, b]).drop(a, b), pairs.count()
 
 
 def within(*order: str):
@@ -60,13 +71,14 @@ def within(*order: str):
 
 def suffix_ranks(rows: DataFrame) -> DataFrame:
     """Adds ``levels``, the ranks of each suffix after each doubling round, the last one being final."""
-    now = stored(numbered(rows, "h", "g", "rank").withColumn("levels", F.array("rank")), "suffixes")
-    kinds, step = now.agg(F.countDistinct("rank")).first()[0], 1
+    first, kinds = numbered(rows, "h", "g", "rank")
+    now, step = stored(first.withColumn("levels", F.array("rank")), "suffixes"), 1
     while kinds:
         ahead = F.max("rank").over(within("at").rangeBetween(step, step))
         pairs = now.withColumn("next", F.coalesce(ahead, F.lit(-1))).withColumnRenamed("rank", "here")
-        now = stored(numbered(pairs, "here", "next", "rank").withColumn("levels", F.concat("levels", F.array("rank"))), "suffixes")
-        before, kinds, step = kinds, now.agg(F.countDistinct("rank")).first()[0], 2 * step
+        before = kinds
+        ranked, kinds = numbered(pairs, "here", "next", "rank")
+        now, step = stored(ranked.withColumn("levels", F.concat("levels", F.array("rank"))), "suffixes"), 2 * step
         if kinds == before:
             break
     return now
@@ -104,22 +116,25 @@ def common_prefixes(array: DataFrame) -> DataFrame:
     rows = array.withColumn("m", F.when(F.col("prev").isNull(), 0).otherwise(same))
     tied = F.col("m") == F.size("levels")
     fresh = F.col("left").isNull() | ~F.col("left").eqNullSafe(F.col("prev.left"))
-    rows = rows.withColumn("known", F.when(F.col("m") < 2, F.col("m")).when(tied, F.col("stop") - F.col("at")))
+    # ranks equal in m rounds: the first 2**(m-1) lines are equal; within 2**m lines, or where a stretch ends, they part
+    half = F.pow(F.lit(2), F.col("m") - 1).cast("int")
+    limit = F.least(2 * half, F.col("stop") - F.col("at"), F.col("prev.stop") - F.col("prev.at"))
+    rows = rows.withColumn("half", half).withColumn("limit", limit)
+    rows = rows.withColumn("known", F.when(F.col("m") < 2, F.col("m")).when(tied, F.col("stop") - F.col("at"))
+                           .when(F.col("limit") <= F.col("half"), F.col("limit")))
     asked = rows.where(fresh & F.col("known").isNull()).select(
-        "id", "r", "at", "m", F.col("prev.id").alias("id2"), F.col("prev.r").alias("r2"), F.col("prev.at").alias("at2"))
-    texts = array.groupBy("id", "r").agg(F.sort_array(F.collect_list(F.struct("at", "line"))).alias("lines"))
-    texts = texts.select(F.col("id").alias("idt"), F.col("r").alias("rt"), F.col("lines.at").alias("ats"), F.col("lines.line").alias("seq"))
-
-    def part(at: str, m: str) -> Column:
-        """Up to 2**m repeated lines from line ``at`` on; what lies beyond the stretch is cut off below."""
-        return F.slice(F.col("seq"), F.array_position("ats", F.col(at)).cast("int"), F.pow(F.lit(2), F.col(m)).cast("int"))
-
-    one = asked.join(texts, F.col("id").eqNullSafe(F.col("idt")) & (F.col("r") == F.col("rt"))).select(
-        *asked.columns, part("at", "m").alias("one"))
-    two = one.join(texts, F.col("id2").eqNullSafe(F.col("idt")) & (F.col("r2") == F.col("rt"))).select(
-        "id", "r", "at", "one", part("at2", "m").alias("two"))
-    differs = F.array_position(F.zip_with("one", "two", lambda x, y: F.coalesce(x == y, F.lit(False))), False).cast("int")
-    answers = two.select("id", "r", "at", F.when(differs > 0, differs - 1).otherwise(F.size("one")).alias("found"))
+        "id", "r", "at", "limit", F.col("prev.id").alias("id2"), F.col("prev.r").alias("r2"), F.col("prev.at").alias("at2"),
+        F.explode(F.sequence(F.col("half"), F.col("limit") - 1)).alias("d"))
+    texts = array.select(F.col("id").alias("idt"), F.col("r").alias("rt"), F.col("at").alias("att"), F.element_at("levels", 1).alias("line"))
+
+    def with_line(pairs: DataFrame, id_: str, r: str, at: str, name: str) -> DataFrame:
+        """The line ``d`` lines behind ``at`` of that document; it exists, as the stretch goes on to there."""
+        return pairs.join(texts, F.col(id_).eqNullSafe(F.col("idt")) & (F.col(r) == F.col("rt")) & (F.col(at) + F.col("d") == F.col("att"))
+                          ).withColumnRenamed("line", name).drop("idt", "rt", "att")
+
+    pairs = with_line(with_line(asked, "id", "r", "at", "one"), "id2", "r2", "at2", "two")
+    answers = pairs.groupBy("id", "r", "at", "limit").agg(F.min(F.when(F.col("one") != F.col("two"), F.col("d"))).alias("differs")).select(
+        "id", "r", "at", F.coalesce("differs", "limit").alias("found"))
     answers = answers.select(F.col("id").alias("ida"), F.col("r").alias("ra"), F.col("at").alias("ata"), "found")
     rows = rows.join(answers, F.col("id").eqNullSafe(F.col("ida")) & (F.col("r") == F.col("ra")) & (F.col("at") == F.col("ata")),
                      "left").drop("ida", "ra", "ata")
@@ -192,6 +207,32 @@ def deleted_lines(keyed: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return gone.groupBy("id", "r").agg(F.sort_array(F.collect_set("at")).alias("gone"))
 
 
+def filter_places(key: Column) -> list[Column]:
+    """The bits of the Bloom filter that belong to a key."""
+    return [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(64 * FILTER_WORDS)) for i in range(FILTER_HASHES)]
+
+
+def bit_of(place: Column) -> Column:
+    """A long with the one bit set that ``place`` has in its word."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
+
+
+def key_filter(keys: DataFrame, key: str) -> DataFrame:
+    """One row: the Bloom filter of a long column as FILTER_WORDS longs."""
+    places = keys.select(F.explode(F.array(*filter_places(F.col(key)))).alias("place"))
+    words = places.groupBy(F.floor(F.col("place") / 64).cast("long").alias("word")).agg(F.bit_or(bit_of(F.col("place"))).alias("bits"))
+    every = keys.sparkSession.range(0, FILTER_WORDS, 1, 1).join(words, F.col("id") == F.col("word"), "left")
+    pairs = F.sort_array(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
+    return every.agg(pairs.alias("pairs")).select(F.col("pairs.bits").alias("filter"))
+
+
+def may_hold(filter_row: DataFrame, key: Column) -> Column:
+    """False for a key that the filter was not built from (true for a few of them)."""
+    words = filter_row.scalar()
+    hits = [F.get(words, F.floor(p / 64).cast("int")).bitwiseAND(bit_of(p)) != 0 for p in filter_places(key)]
+    return reduce(lambda x, y: x & y, hits)
+
+
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """All columns of ``df`` with the text's later copies deleted, and n_lines, n_deleted (long)."""
     id_at, text_at = resolved(df, id_col), resolved(df, text_col)
@@ -200,10 +241,11 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     flat = flat.withColumn("rk", F.xxhash64(key.cast("string"), text))
     keyed = flat.where(text.isNotNull() & (F.length(text) > 0)).select(key.alias("id"), F.col("rk").alias("r"), text.alias("text"))
     gone = stored(deleted_lines(keyed, min_words), "deleted")
-    rows, numbers = gone.agg(F.count("*"), F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()
-    if 64 * rows + 4 * numbers <= BROADCAST_BYTES:
-        gone = F.broadcast(gone)
-    out = flat.join(gone, key.eqNullSafe(F.col("id")) & (F.col("rk") == F.col("r")), "left")
+    concerned = may_hold(stored(key_filter(gone, "r"), "filter"), F.col("rk"))
+    # a merge join at every size: the table of line numbers grows with the corpus and is never broadcast
+    joined = flat.where(concerned).join(gone.hint("merge"), key.eqNullSafe(F.col("id")) & (F.col("rk") == F.col("r")), "left")
+    others = flat.where(~concerned).withColumn("gone", F.lit(None).cast(gone.schema["gone"].dataType))
+    out = joined.select(*flat.columns, "gone").unionByName(others)
     lines = F.split(text, "\n")
     kept = F.filter(lines, lambda x, i: ~F.array_contains(F.col("gone"), i))
     new = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(kept, "\n"))
