@@ -19,7 +19,7 @@ as a run's end: the shortest run of MIN_WORDS words that ends there is named by
 MIN_WORDS words or more lies in the shortest such run from the run's start, or in the shortest one that ends at the line
 itself; so both together delete exactly the union of all maximal repeated runs, first copies left out.
 
-The deleted line numbers go to the texts by one plan at every size: a Bloom filter of FILTER_WORDS longs (fixed, 4 MB) over
+The deleted line numbers go to the texts by one plan at every size: a Bloom filter of at most FILTER_WORDS rows of two longs (8 MB) over
 the keys of documents that lose lines tells which texts may be concerned; these are joined by a shuffle, all others
 pass by unmoved. A crowded filter lets more texts into the join, the result is the same.
 
@@ -38,7 +38,8 @@ from pyspark.sql import functions as F
 from roomledger.llm.common import documents, resolved, stored
 
 MIN_WORDS = 20
-# Longs of the Bloom filter over documents that lose lines, and its bits per document: 2 % false hits at 4 million of them.
+# Words (longs) of the Bloom filter over documents that lose lines, a row each, and its bits per document, all in one word:
+# about 3 % false hits at 3 million of them.
 FILTER_WORDS, FILTER_HASHES = 1 << 19, 3
 SPACES = "[\\x20\\x09-\\x0D]+"
 
@@ -207,30 +208,27 @@ def deleted_lines(keyed: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return gone.groupBy("id", "r").agg(F.sort_array(F.collect_set("at")).alias("gone"))
 
 
-def filter_places(key: Column) -> list[Column]:
-    """The bits of the Bloom filter that belong to a key."""
-    return [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(64 * FILTER_WORDS)) for i in range(FILTER_HASHES)]
+def filter_word(key: Column) -> Column:
+    """The word of the Bloom filter that a key's bits lie in."""
+    return F.pmod(F.xxhash64(key, F.lit(0)), F.lit(FILTER_WORDS))
 
 
-def bit_of(place: Column) -> Column:
-    """A long with the one bit set that ``place`` has in its word."""
-    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
+def filter_bits(key: Column) -> Column:
+    """A long with the FILTER_HASHES bits of a key set."""
+    places = [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(64)).cast("int") for i in range(1, FILTER_HASHES + 1)]
+    return reduce(lambda x, y: x.bitwiseOR(y), [F.call_function("shiftleft", F.lit(1).cast("long"), p) for p in places])
 
 
 def key_filter(keys: DataFrame, key: str) -> DataFrame:
-    """One row: the Bloom filter of a long column as FILTER_WORDS longs."""
-    places = keys.select(F.explode(F.array(*filter_places(F.col(key)))).alias("place"))
-    words = places.groupBy(F.floor(F.col("place") / 64).cast("long").alias("word")).agg(F.bit_or(bit_of(F.col("place"))).alias("bits"))
-    every = keys.sparkSession.range(0, FILTER_WORDS, 1, 1).join(words, F.col("id") == F.col("word"), "left")
-    pairs = F.sort_array(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
-    return every.agg(pairs.alias("pairs")).select(F.col("pairs.bits").alias("filter"))
+    """The Bloom filter of a long column: word, bits. At most FILTER_WORDS rows."""
+    return keys.groupBy(filter_word(F.col(key)).alias("word")).agg(F.bit_or(filter_bits(F.col(key))).alias("bits"))
 
 
-def may_hold(filter_row: DataFrame, key: Column) -> Column:
-    """False for a key that the filter was not built from (true for a few of them)."""
-    words = filter_row.scalar()
-    hits = [F.get(words, F.floor(p / 64).cast("int")).bitwiseAND(bit_of(p)) != 0 for p in filter_places(key)]
-    return reduce(lambda x, y: x & y, hits)
+def may_hold(rows: DataFrame, words: DataFrame, key: str, name: str) -> DataFrame:
+    """``rows`` with ``name``: false for a key that the filter was not built from (true for a few of them)."""
+    marked = rows.join(F.broadcast(words), filter_word(F.col(key)) == F.col("word"), "left")
+    mask = filter_bits(F.col(key))
+    return marked.withColumn(name, F.coalesce(F.col("bits").bitwiseAND(mask) == mask, F.lit(False))).drop("word", "bits")
 
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -241,10 +239,10 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     flat = flat.withColumn("rk", F.xxhash64(key.cast("string"), text))
     keyed = flat.where(text.isNotNull() & (F.length(text) > 0)).select(key.alias("id"), F.col("rk").alias("r"), text.alias("text"))
     gone = stored(deleted_lines(keyed, min_words), "deleted")
-    concerned = may_hold(stored(key_filter(gone, "r"), "filter"), F.col("rk"))
+    marked = may_hold(flat, stored(key_filter(gone, "r"), "filter"), "rk", "concerned")
     # a merge join at every size: the table of line numbers grows with the corpus and is never broadcast
-    joined = flat.where(concerned).join(gone.hint("merge"), key.eqNullSafe(F.col("id")) & (F.col("rk") == F.col("r")), "left")
-    others = flat.where(~concerned).withColumn("gone", F.lit(None).cast(gone.schema["gone"].dataType))
+    joined = marked.where("concerned").join(gone.hint("merge"), key.eqNullSafe(F.col("id")) & (F.col("rk") == F.col("r")), "left")
+    others = marked.where(~F.col("concerned")).select(*flat.columns).withColumn("gone", F.lit(None).cast(gone.schema["gone"].dataType))
     out = joined.select(*flat.columns, "gone").unionByName(others)
     lines = F.split(text, "\n")
     kept = F.filter(lines, lambda x, i: ~F.array_contains(F.col("gone"), i))

@@ -34,6 +34,7 @@ def test_long_document_of_few_lines_and_a_crowded_filter(spark, monkeypatch, wor
 
 def test_filter_holds_every_key(spark):
     keys = spark.range(2000).select(F.xxhash64("id").alias("k"))
-    made = L.key_filter(keys, "k").checkpoint()
-    assert keys.where(~L.may_hold(made, F.col("k"))).count() == 0
-    assert spark.range(10**6, 10**6 + 2000).where(L.may_hold(made, F.xxhash64("id"))).count() < 20
+    words = L.key_filter(keys, "k").checkpoint()
+    assert L.may_hold(keys, words, "k", "there").where("not there").count() == 0
+    others = spark.range(10**6, 10**6 + 2000).select(F.xxhash64("id").alias("k"))
+    assert L.may_hold(others, words, "k", "there").where("there").count() < 20
