@@ -1,9 +1,10 @@
 """Line dedup by a suffix array over line sequences (operator 9).
 
 The corpus is one sequence of line ids, document after document (by id, then text hash). Lines that occur once
-split it; the rest is ranked by prefix doubling: in round k a suffix's rank is the order of its first 2**k
-lines, and the next one ranks pairs (rank here, rank 2**k lines on). Each round is a window within the
-document, a distinct, a sort of the distinct pairs and a join, until no rank splits any more.
+split it; the rest is ranked by prefix doubling: at level k a suffix's rank is the order of its first 2**k
+lines, and the next one ranks pairs (rank here, rank 2**k lines on). A job makes two levels: it ranks the four ranks 2**k lines
+apart, whose first two name the level between. That is a window within the
+document, a distinct, a sort of the distinct keys and a join, until no rank splits any more.
 
 Suffixes in rank order, ties by position, are the suffix array. The common prefix of neighbours follows
 from the rounds: ranks that never part mean the whole rest; ranks that part after m rounds mean fewer than
@@ -60,10 +61,16 @@ def repeated_lines(keyed: DataFrame) -> DataFrame:
     return lines.join(often, ["h", "g"]).dropDuplicates(["id", "r", "at"])
 
 
-def numbered(rows: DataFrame, a: str, b: str, name: str) -> tuple[DataFrame, int]:
-    """``rows`` with the order number of their pair (a, b) as ``name`` (growing, with gaps), and the number of pairs."""
-    pairs = stored(rows.select(a, b).distinct().orderBy(a, b).withColumn(name, F.monotonically_increasing_id()), "ranks")
-    return rows.join(pairs, [a, b]).drop(a, b), pairs.count()
+def numbered(rows: DataFrame, keys: list[str], halves: int = 0) -> tuple[DataFrame, int]:
+    """``rows`` with the order number of their keys as ``rank`` (growing, with gaps), and the number of distinct keys.
+
+    ``halves`` > 0 also gives ``half``, the number of the first ``halves`` keys: the smallest rank that starts with them.
+    """
+    kinds = stored(rows.select(*keys).distinct().orderBy(*keys).withColumn("rank", F.monotonically_increasing_id()), "ranks")
+    named = kinds
+    if halves:
+        named = kinds.join(kinds.groupBy(*keys[:halves]).agg(F.min("rank").alias("half")), keys[:halves])
+    return rows.join(named, keys), kinds.count()
 
 
 def within(*order: str):
@@ -71,15 +78,18 @@ def within(*order: str):
 
 
 def suffix_ranks(rows: DataFrame) -> DataFrame:
-    """Adds ``levels``, the ranks of each suffix after each doubling round, the last one being final."""
-    first, kinds = numbered(rows, "h", "g", "rank")
-    now, step = stored(first.withColumn("levels", F.array("rank")), "suffixes"), 1
+    """Adds ``levels``, names of the first 1, 2, 4, ... lines of each suffix; ``rank``, the last of them, orders all rests."""
+    first, kinds = numbered(rows, ["h", "g"])
+    now, step = stored(first.withColumn("levels", F.array("rank")).drop("h", "g"), "suffixes"), 1
     while kinds:
-        ahead = F.max("rank").over(within("at").rangeBetween(step, step))
-        pairs = now.withColumn("next", F.coalesce(ahead, F.lit(-1))).withColumnRenamed("rank", "here")
+        quads = now
+        for i, name in enumerate(["two", "three", "four"], 1):
+            ahead = F.max("rank").over(within("at").rangeBetween(i * step, i * step))
+            quads = quads.withColumn(name, F.coalesce(ahead, F.lit(-1)))
         before = kinds
-        ranked, kinds = numbered(pairs, "here", "next", "rank")
-        now, step = stored(ranked.withColumn("levels", F.concat("levels", F.array("rank"))), "suffixes"), 2 * step
+        ranked, kinds = numbered(quads.withColumnRenamed("rank", "one"), ["one", "two", "three", "four"], halves=2)
+        ranked = ranked.withColumn("levels", F.concat("levels", F.array("half", "rank"))).drop("one", "two", "three", "four", "half")
+        now, step = stored(ranked, "suffixes"), 4 * step
         if kinds == before:
             break
     return now
