@@ -164,3 +164,23 @@ def bounded_sample(df: DataFrame, id_col: str, text_col: str, rows: int, max_cha
               .orderBy(F.xxhash64(F.col("__id").cast("string")), "__id").limit(rows))
     return df.join(F.broadcast(chosen), F.col(id_col) == F.col("__id"), "left_semi").where(
         F.length(text_col) <= max_chars)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, max_chars: int, id_col: str = "doc_id",
+                    text_col: str = "text") -> tuple[list[str], list[int]]:
+    """Texts and labels of at most ``rows`` documents of each label, smallest hash of the id first (null text: empty).
+
+    For fitting on a bounded sample only. Only documents of at most ``max_chars`` characters that exist are candidates, so
+    long or missing ones do not thin the sample out. Of repeated labels the lowest counts; of documents that repeat an id
+    further rows may come along, up to twice ``rows`` in all.
+    """
+    slim = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).where(F.length("text") <= max_chars)
+    marked = labels.groupBy(F.col("doc_id").alias("id")).agg(F.min(label).alias("y"))
+    fit_for_use = stored(marked.join(slim.select("id"), "id", "left_semi"), "labelled")  # ids and labels only
+    texts, ys = [], []
+    for y in (0, 1):
+        chosen = bounded_sample(fit_for_use.where(F.col("y") == y), "id", "y", rows, max_chars).select("id")
+        found = slim.join(F.broadcast(chosen), "id", "left_semi").orderBy("id", "text").limit(2 * rows).select("text").collect()
+        texts += [r[0] for r in found]
+        ys += [y] * len(found)
+    return texts, ys

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roomledger.llm.common import Words, bounded_sample, crc_fold, documents, flat_bytes, map_text
+from roomledger.llm.common import Words, crc_fold, documents, flat_bytes, labelled_sample, map_text
 
 PASSAGE, PAIR_BINS, HIDDEN, GATE = 64, 32, 24, 12
 SAMPLE_DOCS, SAMPLE_CHARS = 1200, 30_000
@@ -176,14 +176,8 @@ def score_texts(model: dict, text: pa.Array) -> np.ndarray:
 
 def fit_on_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id", text_col: str = "text") -> dict:
     """Model fitted on at most SAMPLE_DOCS documents of each label."""
-    marked = labels.groupBy(F.col("doc_id").alias("id")).agg(F.min(label).alias("y"))
-    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = []
-    for y in (0, 1):
-        chosen = bounded_sample(marked.where(F.col("y") == y), "id", "y", SAMPLE_DOCS, SAMPLE_CHARS).select("id")
-        rows += [(r[0] or "", y) for r in slim.join(F.broadcast(chosen), "id", "left_semi").where(
-            F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS).orderBy("id", "text").limit(2 * SAMPLE_DOCS).select("text").collect()]
-    return fit([t for t, _ in rows], np.array([y for _, y in rows]))
+    texts, ys = labelled_sample(docs, labels, label, SAMPLE_DOCS, SAMPLE_CHARS, id_col, text_col)
+    return fit(texts, np.array(ys))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, keep: list[str] | None, text_col: str = "text",
