@@ -27,6 +27,8 @@ PASSAGE, PAIR_BINS, HIDDEN, GATE = 64, 32, 24, 12
 SAMPLE_DOCS, SAMPLE_CHARS = 1200, 30_000
 EPOCHS, BATCH, RATE = 40, 64, 0.01
 THRESHOLD = 0.3
+# Text bytes scored at once: a block's passage features stay small beside what the worker holds from other stages.
+SCORE_BYTES = 256 << 10
 SYMBOLS = b"#*$%&|<>"
 
 
@@ -186,7 +188,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, keep: list[str] | None, t
     model = fit_on_sample(docs, labels, "quality", text_col=text_col)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     return map_text(docs, text_col, keep, [(score, T.DoubleType())],
-                    lambda: lambda text: [score_texts(sent.value, text)])
+                    lambda: lambda text: [score_texts(sent.value, text)], SCORE_BYTES)
 
 
 def training_labels(labels: DataFrame) -> DataFrame:
