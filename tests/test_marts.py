@@ -68,3 +68,29 @@ def test_staging_keeps_every_row_and_fct_drops_only_flagged(spark):
     assert raw.count() == stg.count()
     flagged = stg.filter(F.col("dq_negative_adr") | F.col("dq_adr_outlier") | F.col("dq_zero_guests")).count()
     assert marts.fct_bookings(stg).count() == stg.count() - flagged
+
+
+def test_rows_without_a_twin_are_not_shuffled(spark, monkeypatch):
+    from roomledger.operators import joins
+    rows = [(i, "ab"[i % 2] if i % 5 else None, i // 4 if i % 3 else None) for i in range(60)] + [(100, None, None), (101, "a", 700)]
+    df = spark.createDataFrame(rows, "id long, k string, v long")
+    twins = {r[0]: sum(r[1:] == o[1:] for o in rows) > 1 for r in rows}
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")  # as for tables too large for Spark's own estimate
+    try:
+        flagged = flag_identical_rows(df, ["k", "v"], "twin")
+        assert "SortMergeJoin" not in flagged._jdf.queryExecution().executedPlan().toString()
+        assert {r.id: r.twin for r in flagged.collect()} == twins
+        monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", -1)  # too many repeated digests: joins of all rows
+        assert {r.id: r.twin for r in flag_identical_rows(df, ["k", "v"], "twin").collect()} == twins
+    finally:
+        spark.conf.set(threshold, before)
+
+
+def test_a_model_is_written_when_asked_for(spark, tmp_path):
+    from roomledger.plans.warehouse import StoredWarehouse
+    from roomledger.sources.fixtures import load_raw_bookings
+    wh = StoredWarehouse(load_raw_bookings(spark, SF_SMALL), str(tmp_path))
+    assert wh.fct.count() > 0 and {p.name for p in tmp_path.iterdir()} == {"stg_bookings", "fct_bookings"}
+    assert wh.all().nights.count() > 0 and len(list(tmp_path.iterdir())) == 6
