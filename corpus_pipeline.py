@@ -22,6 +22,8 @@ from roomledger.llm.quality_classifier import THRESHOLD, quality_scores, trainin
 
 # The near-duplicate stage links word shingles as training-data pipelines do; op8 has a contract of its own (3 words, 85 %).
 NEAR_SHINGLE, NEAR_PERCENT = 5, 80
+# Packing comes last in executors that the stages before have filled, so its workers take less text and keep fewer words.
+PACKING_BLOCK_BYTES, PACKING_CACHE_WORDS = 1 << 20, 100_000
 
 
 def by_position(stage: Callable) -> Callable:
@@ -97,7 +99,8 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences of 4096 tokens."""
-    return pack_documents(docs).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    packed = pack_documents(docs, block_bytes=PACKING_BLOCK_BYTES, cache_words=PACKING_CACHE_WORDS)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 STAGES = [("quality", good_quality), ("lines", unrepeated_lines), ("near_duplicates", one_of_each_group),

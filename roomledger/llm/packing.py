@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roomledger.llm.common import blocks, documents, give_back, resolved, stored
-from roomledger.llm.token_ids import TokenIds
+from roomledger.llm.token_ids import CACHE_WORDS, TokenIds
 
 CAPACITY, END_ID = 4096, 1
 # Text bytes tokenised at once.
@@ -37,8 +37,10 @@ TOKEN_BLOCK_BYTES = 4 << 20
 
 
 def piece_table(df: DataFrame, id_col: str, text_col: str, tokenizer_path: str, capacity: int = CAPACITY,
-                end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
-    """One row per piece: id, piece, start, length, ids_crc32, and the ids themselves if asked for."""
+                end_id: int = END_ID, with_ids: bool = False, block_bytes: int = TOKEN_BLOCK_BYTES,
+                cache_words: int = CACHE_WORDS) -> DataFrame:
+    """One row per piece: id, piece, start, length, ids_crc32, and the ids themselves if asked for. ``block_bytes`` of text at once
+    and ``cache_words`` bound a worker's memory and change no result."""
     id_at, text_at = resolved(df, id_col), resolved(df, text_col)
     flat = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     slim = flat.select(F.col(f"c{id_at}").alias("id"), F.col(f"c{text_at}").cast("string").alias("text"))
@@ -50,10 +52,10 @@ def piece_table(df: DataFrame, id_col: str, text_col: str, tokenizer_path: str,
     tail, full = np.array([end_id], "<u4").tobytes(), 4 * capacity
 
     def run(batches):
-        encode = TokenIds(tokenizer_path)
+        encode = TokenIds(tokenizer_path, cache_words)
         for batch in batches:
             text = pc.fill_null(batch.column(1), "")
-            for lo, hi in blocks(text, TOKEN_BLOCK_BYTES):
+            for lo, hi in blocks(text, block_bytes):
                 row, piece, start, length, crc, ids = [], [], [], [], [], []
                 for i, data in enumerate(encode(text.slice(lo, hi - lo))):
                     data += tail
@@ -193,12 +195,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, rows_per_bucket: int = 500
 
 
 def pack_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer_path: str | None = None,
-                   capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+                   capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False, block_bytes: int = TOKEN_BLOCK_BYTES,
+                   cache_words: int = CACHE_WORDS) -> DataFrame:
     """Tokenises once (the pieces are stored in the shared folder), then packs."""
     if tokenizer_path is None:
         import public_tokenizers
         tokenizer_path = public_tokenizers.path("word_bpe_49k.json")
-    pieces = stored(piece_table(df, id_col, text_col, tokenizer_path, capacity, end_id, with_ids), "pieces")
+    pieces = stored(piece_table(df, id_col, text_col, tokenizer_path, capacity, end_id, with_ids, block_bytes, cache_words), "pieces")
     return pack(pieces, capacity).withColumnRenamed("id", id_col)
 
 

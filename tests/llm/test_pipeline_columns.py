@@ -34,3 +34,25 @@ def test_stages_keep_columns_of_any_name(spark):
             assert 6 not in by_id and {7, 8, 9} <= set(by_id)
         else:
             assert not re.search("jane.doe7@", by_id[9]) and by_id[0] == texts[0]
+
+
+def test_packing_in_small_blocks_gives_the_same_pieces(spark):
+    from roomledger.llm.packing import pack_documents
+    docs = spark.createDataFrame([(i, None if i == 5 else f"word{i} ünd {i * i} more-words! " * (i % 40)) for i in range(150)],
+                                 "doc_id long, text string")
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    whole = sorted(pack_documents(docs).select(*columns).collect())
+    assert sorted(pack_documents(docs, block_bytes=300, cache_words=20).select(*columns).collect()) == whole
+
+
+def test_packing_stage_bounds_its_workers(spark, monkeypatch):
+    import corpus_pipeline
+    seen = {}
+
+    def watched(docs, **bounds):
+        seen.update(bounds)
+        return spark.createDataFrame([], "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+
+    monkeypatch.setattr(corpus_pipeline, "pack_documents", watched)
+    corpus_pipeline.packed_sequences(spark, None, "")
+    assert seen["block_bytes"] <= 1 << 20 and seen["cache_words"] <= 100_000
