@@ -94,3 +94,25 @@ def test_a_model_is_written_when_asked_for(spark, tmp_path):
     wh = StoredWarehouse(load_raw_bookings(spark, SF_SMALL), str(tmp_path))
     assert wh.fct.count() > 0 and {p.name for p in tmp_path.iterdir()} == {"stg_bookings", "fct_bookings"}
     assert wh.all().nights.count() > 0 and len(list(tmp_path.iterdir())) == 6
+
+
+def test_keys_of_repeated_digests_move_once_by_digest(spark, monkeypatch):
+    """No window over the keys and no wide partial aggregate in front of their shuffle, unless a digest is hot."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from roomledger.operators import staging
+    rows = [(i, "ab"[i % 2] if i % 5 else None, i // 4 if i % 3 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, k string, v long")
+    twins = {r[0]: sum(r[1:] == o[1:] for o in rows) > 1 for r in rows}
+    plans, checkpoint = [], DataFrame.checkpoint
+
+    def watched(self, eager=True):
+        plans.append(self._jdf.queryExecution().optimizedPlan().toString())
+        return checkpoint(self, eager)
+
+    monkeypatch.setattr(DataFrame, "checkpoint", watched)
+    for hot in (staging.HOT_ROWS, 2):
+        monkeypatch.setattr(staging, "HOT_ROWS", hot)
+        plans.clear()
+        assert {r.id: r.twin for r in flag_identical_rows(df, ["k", "v"], "twin").collect()} == twins
+        assert not any("Window" in p for p in plans) and any("RepartitionByExpression" in p for p in plans)
